@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The workload is batch only: time is the integer column ``year`` and no step has a
+watermark, a time window or a late-data rule, so there is nothing to stream.
+"""
