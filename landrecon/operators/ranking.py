@@ -44,7 +44,8 @@ def extra_parties(df: DataFrame, keys: list[str], party: str) -> DataFrame:
     parties = df.select(*keys, party).distinct()
     first = parties.groupBy(*keys).agg(F.min(party).alias("_first"))
     later = attach(parties, first, keys, how="inner", null_safe=True)
-    return later.filter(F.col(party) > F.col("_first")).drop("_first")
+    unknown = F.col(party).isNull() & F.col("_first").isNotNull()
+    return later.filter((F.col(party) > F.col("_first")) | unknown).drop("_first")
 
 
 def repeats(df: DataFrame, columns: list[str], row_id: str) -> DataFrame:
