@@ -14,6 +14,14 @@ def noted(note: str | Column, cond: Column, text: str | Column) -> Column:
     return F.when(cond, pg_concat(current, added)).otherwise(current)
 
 
+def noted_all(note: str | Column, entries: list[tuple[Column, str | Column]]) -> Column:
+    """The note column with every text appended whose condition holds, in order."""
+    current = F.col(note) if isinstance(note, str) else note
+    texts = [F.when(cond, F.lit(t) if isinstance(t, str) else t) for cond, t in entries]
+    added = F.concat_ws("", *texts)
+    return F.when(added != "", pg_concat(current, added)).otherwise(current)
+
+
 def append_note(df: DataFrame, note: str, cond: Column, text: str | Column) -> DataFrame:
     return df.withColumn(note, noted(note, cond, text))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from landrecon.functions.choice import NON_SCHEME_USE
 from landrecon.functions.text import split_part
 from landrecon.operators.lookups import attach
-from landrecon.operators.notes import noted
+from landrecon.operators.notes import noted_all
 from landrecon.operators.rewrite import add_null_col
 from landrecon.plans.reconcile import EXCLUDED
 
@@ -119,7 +119,5 @@ def flag_errors(
         & ~owner_use.isin(*EXCLUDED, NON_SCHEME_USE)
         & ~user_use.isin(*EXCLUDED, NON_SCHEME_USE),
     }
-    note = F.col(log)
-    parts = [F.when(in_row.get(e, F.col(e) if e not in in_row else None), F.lit(FLAG_TEXTS[e])) for e in wanted]
-    added = F.concat_ws("", *parts)
-    return marked.withColumn(log, noted(note, added != "", added)).select(*columns)
+    entries = [(in_row[e] if e in in_row else F.col(e), FLAG_TEXTS[e]) for e in wanted]
+    return marked.withColumn(log, noted_all(log, entries)).select(*columns)

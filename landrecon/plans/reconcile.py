@@ -12,7 +12,7 @@ from landrecon.operators.filters import delete_where
 from landrecon.operators.joins import HOT_ROWS
 from landrecon.operators.lookups import attach
 from landrecon.operators.matching import Tier, prune_pairs, remove_matched, tiered_match
-from landrecon.operators.notes import merge_notes, noted
+from landrecon.operators.notes import merge_notes, noted, noted_all
 from landrecon.operators.rewrite import one_sided
 from landrecon.plans.clean import MEASURES
 from landrecon.session import stage
@@ -106,16 +106,20 @@ def one_sided_rows(owners: DataFrame, renters: DataFrame) -> DataFrame:
 
 def pair_notes(strict: bool = True) -> Column:
     """The pair's note with every assumption made by ``merge_pairs`` appended."""
-    note = F.col("change_note")
+    entries = []
     for area in MERGED_AREAS:
         owner, user = F.col(f"owner_{area}"), F.col(f"user_{area}")
         upper = "WHEN" if area == "verified_exclusion" else "when"
-        note = noted(note, owner > user, ASSUMED_AREA.format(area=area, side="owner", other="user", when="when"))
-        note = noted(note, owner < user, ASSUMED_AREA.format(area=area, side="user", other="owner", when=upper))
-    note = noted(note, F.col("owner_land_activity") != F.col("user_land_activity"), ACTIVITY_CHOSEN)
+        text = ASSUMED_AREA.format(area=area, side="owner", other="user", when="when")
+        entries.append((owner > user, text))
+        text = ASSUMED_AREA.format(area=area, side="user", other="owner", when=upper)
+        entries.append((owner < user, text))
+    differ = F.col("owner_land_activity") != F.col("user_land_activity")
     owner, user = F.col("owner_application_status"), F.col("user_application_status")
     renter_acts = user.like("%Action") if strict else user.contains("Action")
-    return noted(note, (owner.contains("Action") | renter_acts) & (owner != user), STATUS_CHOSEN)
+    acting = (owner.contains("Action") | renter_acts) & (owner != user)
+    entries += [(differ, ACTIVITY_CHOSEN), (acting, STATUS_CHOSEN)]
+    return noted_all("change_note", entries)
 
 
 def merge_pairs(pairs: DataFrame, strict: bool = True) -> DataFrame:
