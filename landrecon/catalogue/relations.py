@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landrecon.catalogue.registry import query
-from landrecon.functions.numbers import round2
 from landrecon.functions.rings import area_hectares
 from landrecon.operators import aggregates, joins, lookups, matching, ranking, setops, spatial
-from landrecon.plans import clean, commons, largest_use, metrics, reconcile
+from landrecon.plans import commons, largest_use, reconcile
 
 PY = ["hapar_id", "year"]
 FOUR = [*PY, "land_use", "land_use_area"]
@@ -18,12 +17,6 @@ def n_rows():
     return F.count(F.lit(1))
 
 
-def sides(t, *columns):
-    """Prepared owners and renters with the named columns, the renters' prefixed ``s_``."""
-    owners = t.perm.select(*columns)
-    return owners, t.seas.select(*columns)
-
-
 # --------------------------------------------------------------------------------- joins
 @query("J1_inner_join",
        """SELECT p.hapar_id, p.year, p.claim_id AS owner_id, s.claim_id AS user_id FROM perm p
@@ -91,10 +84,10 @@ def _(t):
 
 
 @query("J8_not_in_null_list",
-       "SELECT year, count(*) AS n FROM perm_raw WHERE hapar_id NOT IN (SELECT hapar_id FROM seas_raw) GROUP BY year", big="n")
+       "SELECT count(*) AS n FROM perm_raw WHERE hapar_id NOT IN (SELECT hapar_id FROM seas_raw)", big="n")
 def _(t):
     """A NULL on the list leaves nothing."""
-    return joins.not_in(t.perm_raw, "hapar_id", t.seas_raw).groupBy("year").agg(n_rows().alias("n"))
+    return joins.not_in(t.perm_raw, "hapar_id", t.seas_raw).agg(n_rows().alias("n"))
 
 
 @query("J9_exists_delete",
@@ -412,11 +405,9 @@ def _(t):
 
 
 # ------------------------------------------------------------------------------- windows
-@query("W1_dedupe",
-       f"""SELECT claim_id FROM seas_raw QUALIFY row_number() OVER (PARTITION BY {', '.join(c for c in clean.RENTER_IDENTITY if c not in ('bps_claimed_area', 'land_use_area'))} ORDER BY claim_id) = 1""")
+@query("W1_dedupe", "SELECT claim_id FROM seas_raw QUALIFY row_number() OVER (PARTITION BY hapar_id, year, land_use, land_leased_out ORDER BY claim_id) = 1")
 def _(t):
-    columns = [c for c in clean.RENTER_IDENTITY if c not in ("bps_claimed_area", "land_use_area")]
-    return ranking.dedupe(t.seas_raw, columns, ["claim_id"]).select("claim_id")
+    return ranking.dedupe(t.seas_raw, [*PY, "land_use", "land_leased_out"], ["claim_id"]).select("claim_id")
 
 
 @query("W2_with_totals",

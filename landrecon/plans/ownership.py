@@ -74,6 +74,12 @@ def _leased_array(n_no: Column, n_yes: Column) -> Column:
     return F.concat(F.array_repeat(F.lit("N"), n_no), F.array_repeat(F.lit("Y"), n_yes))
 
 
+def _businesses(side: str) -> Column:
+    """(side, business) entries of one side's array."""
+    known = F.coalesce(f"{side}_habus_id", F.array().cast("array<bigint>"))
+    return F.transform(known, lambda b: F.struct(F.lit(side).alias("side"), b.alias("business")))
+
+
 def property_rollup(overlay: DataFrame) -> DataFrame:
     """Areas, leased-out shares, distinct businesses and claims per property."""
     keys = ["property", "aw_area_ha"]
@@ -87,15 +93,7 @@ def property_rollup(overlay: DataFrame) -> DataFrame:
     )
     # Distinct businesses: one row per (property, business), reduced on the map side, counted
     # per side; the arrays themselves are never put together.
-    ids = F.concat(
-        *[
-            F.transform(
-                F.coalesce(f"{s}_habus_id", F.array().cast("array<bigint>")),
-                lambda b, s=s: F.struct(F.lit(s).alias("side"), b.alias("business")),
-            )
-            for s in SIDES
-        ]
-    )
+    ids = F.concat(*[_businesses(s) for s in SIDES])
     businesses = (
         overlay.select("property", F.explode(ids).alias("b"))
         .select("property", "b.side", "b.business")
