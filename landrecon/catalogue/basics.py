@@ -10,10 +10,9 @@ from landrecon.functions import arrays, choice, numbers, text
 from landrecon.operators import filters, notes, rewrite
 from landrecon.operators.ranking import top_k
 from landrecon.plans.commons import ELIGIBLE_CLAMPED, ELIGIBLE_RECOMPUTED
-from landrecon.session import shared_dir, stage
+from landrecon.session import new_path, stage
 from landrecon.sources import ids, sinks, tables
 from landrecon.sources.reference_lists import land_use_rank
-import uuid
 
 
 
@@ -62,7 +61,7 @@ def _(t):
 
 @query("S6_publish", "SELECT claim_id, land_use_area, year FROM perm", double="land_use_area")
 def _(t):
-    path = f"{shared_dir(t.spark)}/landrecon/published-{uuid.uuid4().hex}"
+    path = new_path(t.spark, "published")
     return sinks.publish(t.perm.select("claim_id", "land_use_area", "year"), path, ("year",))
 
 
@@ -75,7 +74,7 @@ def _(t):
 
 @query("S7_append_table", "SELECT claim_id, land_use FROM perm UNION ALL SELECT claim_id, land_use FROM seas")
 def _(t):
-    path = f"{shared_dir(t.spark)}/landrecon/appended-{uuid.uuid4().hex}"
+    path = new_path(t.spark, "appended")
     sinks.publish(t.perm.select("claim_id", "land_use"), path)
     sinks.append_table(t.seas.select("claim_id", "land_use"), path)
     return tables.load(t.spark, path)

@@ -14,7 +14,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 _local_dirs: dict[str, str] = {}
@@ -27,6 +26,7 @@ def build_session(cores: str = "*", app: str = "landrecon", memory: str = "8g")
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
@@ -58,12 +58,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder, below one folder per application."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/landrecon-{app}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write an intermediate result as Parquet and read it back.
 
     Cuts the lineage durably: lost executors re-read the files instead of recomputing the
     chain, later steps keep column pruning, and the planner sees true sizes.
     """
-    path = f"{shared_dir(df.sparkSession)}/landrecon/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
