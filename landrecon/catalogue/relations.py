@@ -514,7 +514,7 @@ def _(t):
 
 
 @query("G4_overlap_rollup",
-       f"""SELECT property, count(*) AS n_parcels, round(sum(area_overlap), 6) AS overlap, round(sum(area_overlap) / max(whole) * 100, 6) AS percent
+       f"""SELECT property, count(*) AS n_parcels, round(sum(area_overlap), 6) AS overlap, round(sum(area_overlap) / max(whole) * 100, 4) AS percent
            FROM (SELECT property, hapar_id, sum(area_overlap) AS area_overlap FROM ({_OVERLAP}) GROUP BY ALL)
            JOIN (SELECT property, sum((x1 - x0) * (y1 - y0)) * 0.0001 AS whole FROM property_shape GROUP BY property) USING (property)
            GROUP BY property""", big="n_parcels")
@@ -523,4 +523,4 @@ def _(t):
     whole = aggregates.holding_area(t.property_shape, ["property"], name="whole")
     sums = per_parcel.groupBy("property").agg(n_rows().alias("n_parcels"), F.sum("area_overlap").alias("o"))
     share = F.try_divide(F.col("o"), F.col("whole")) * 100
-    return sums.join(whole, "property").select("property", "n_parcels", F.round("o", 6).alias("overlap"), F.round(share, 6).alias("percent"))
+    return sums.join(whole, "property").select("property", "n_parcels", F.round("o", 6).alias("overlap"), F.round(share, 4).alias("percent"))

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from landrecon.operators.lookups import with_totals
+from landrecon.operators.lookups import attach, with_totals
 
 # Codes and phrases of the declaration forms.
 WAITING = "%Wait%"
@@ -39,7 +39,7 @@ def in_list(df: DataFrame, col: str, ref: DataFrame | Iterable[object], ref_col:
     """Rows whose value is on the list."""
     if isinstance(ref, DataFrame):
         keys = ref.select(F.col(ref_col or col).alias(col))
-        return df.join(keys, col, "left_semi")
+        return attach(df, keys, [col], "left_semi")
     return df.filter(F.col(col).isin(*ref))
 
 

@@ -57,12 +57,12 @@ def pair_join(
 
 
 def semi(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    return df.join(keys.select(*on), on, "left_semi")
+    return attach(df, keys.select(*on), on, "left_semi")
 
 
 def anti(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows without a match; a row with a NULL key has none and stays."""
-    return df.join(keys.select(*on), on, "left_anti")
+    return attach(df, keys.select(*on), on, "left_anti")
 
 
 def not_in(df: DataFrame, col: str, listed: DataFrame, listed_col: str | None = None) -> DataFrame:
@@ -76,7 +76,7 @@ def not_in(df: DataFrame, col: str, listed: DataFrame, listed_col: str | None =
     no_null = ~values.filter(F.col(col).isNull()).exists()
     empty = ~values.exists()
     kept = df.filter(no_null & (F.col(col).isNotNull() | empty))
-    return kept.join(values.filter(F.col(col).isNotNull()), col, "left_anti")
+    return anti(kept, values.filter(F.col(col).isNotNull()), [col])
 
 
 def only_in(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,7 +104,7 @@ def either_in(
     marked = df
     for name, expr in columns.items():
         probe = keys.select(F.col(listed_col).alias(f"_v_{name}"), F.lit(True).alias(f"_in_{name}"))
-        marked = marked.withColumn(f"_v_{name}", expr).join(probe, f"_v_{name}", "left")
+        marked = attach(marked.withColumn(f"_v_{name}", expr), probe, [f"_v_{name}"])
     found = reduce(lambda a, b: a | b, [F.coalesce(f"_in_{n}", F.lit(False)) for n in columns])
     return marked.filter(found).select(*df.columns)
 
@@ -162,4 +162,5 @@ def attach_fields(
     holdings: DataFrame, members: DataFrame, fields: DataFrame, holding: str, parcel: str
 ) -> DataFrame:
     """Field rows of a holding-level result, through the list of fields per holding."""
-    return fields.join(members.select(parcel, holding), parcel).join(holdings, holding)
+    listed = fields.join(members.select(parcel, holding), parcel)
+    return attach(listed, holdings, [holding], "inner")

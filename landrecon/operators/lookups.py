@@ -1,9 +1,13 @@
 """Group results beside their detail rows.
 
 A window over the group would put the whole group into one task. Here the group is reduced
-first, with partial sums on the map side, to one row per key, and the detail joins that row:
-adaptive execution broadcasts a small lookup by its measured size and otherwise may split a
-hot key's detail rows over many tasks.
+first, with partial sums on the map side, to one row per key, and the detail joins that row.
+
+Adaptive execution can split a hot key's detail rows over many tasks, but only where both
+sides of the join come straight out of a shuffle. A lookup that was grouped by the join keys
+would not: its rows already lie where the join wants them. All joins with lookups therefore
+carry one more key, ``_lane``, which is always 0 and only makes the lookup, the small side,
+take a shuffle of its own. A lookup that turns out small is broadcast by its measured size.
 """
 
 from __future__ import annotations
@@ -13,19 +17,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 from landrecon.operators.notes import noted
 
 
+def _with_lane(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumn("_lane", F.pmod(F.xxhash64(*keys), F.lit(1)))
+
+
 def attach(
     detail: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
-    """Join a lookup that has at most one row per key. ``null_safe`` lets NULL keys match."""
+    """Join a lookup that has at most one row per key (any number for semi- and anti-joins).
+    ``null_safe`` lets NULL keys match."""
+    left, right = _with_lane(detail, keys), _with_lane(lookup, keys)
     if not null_safe:
-        return detail.join(lookup, keys, how)
-    marked = lookup.select(
-        [F.col(c).alias(f"_key_{c}" if c in keys else c) for c in lookup.columns]
+        return left.join(right, [*keys, "_lane"], how).drop("_lane")
+    marked = right.select(
+        [F.col(c).alias(f"_key_{c}" if c in keys or c == "_lane" else c) for c in right.columns]
     )
-    cond = F.lit(True)
+    cond = F.col("_lane") == F.col("_key__lane")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    return detail.join(marked, cond, how).drop(*[f"_key_{k}" for k in keys])
+    extra = [f"_key_{k}" for k in [*keys, "_lane"]]
+    return left.join(marked, cond, how).drop("_lane", *extra)
 
 
 def with_totals(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from landrecon.functions.text import pair_id
 from landrecon.operators.filters import delete_where
-from landrecon.operators.joins import HOT_ROWS, anti, either_in, pair_join
+from landrecon.operators.joins import HOT_ROWS, anti, either_in, pair_join, semi
 from landrecon.operators.lookups import attach
 from landrecon.operators.rewrite import prefix_side
 from landrecon.session import stage
@@ -127,7 +127,7 @@ def repeated_side(pairs: DataFrame, side: str, row_id: str = "claim_id", more_th
     """Pairs whose row on one side appears in more than the given number of pairs."""
     key = f"{side}_{row_id}"
     often = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > more_than)
-    return pairs.join(often.select(key), key, "left_semi")
+    return semi(pairs, often, [key])
 
 
 def drop_weaker_pairs(pairs: DataFrame, row_id: str = "claim_id") -> DataFrame:
@@ -161,8 +161,8 @@ def split_one_sided(
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(owners with users, users with owners, owners alone, users alone), by the keys."""
     return (
-        owners.join(users.select(*keys), keys, "left_semi"),
-        users.join(owners.select(*keys), keys, "left_semi"),
+        semi(owners, users, keys),
+        semi(users, owners, keys),
         anti(owners, users, keys),
         anti(users, owners, keys),
     )
@@ -171,4 +171,4 @@ def split_one_sided(
 def single_claims(df: DataFrame, other: DataFrame, keys: list[str], parcel: str) -> DataFrame:
     """Rows alone within their keys, on parcels that the other table never mentions."""
     alone = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n = 1").select(*keys)
-    return anti(df, other, [parcel]).join(alone, keys, "left_semi")
+    return semi(anti(df, other, [parcel]), alone, keys)

@@ -9,6 +9,10 @@ from landrecon.functions.rings import (
 )
 
 
+# A grid cell that would compare more pairs than this is cut into finer cells.
+HOT_PAIRS = 1_000_000_000
+
+
 def collect_rings(df: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
     """All rings of a key as one multi-part value, with its area.
 
@@ -35,26 +39,65 @@ def _gridded(df: DataFrame, key: str, ring: str, side: str, cell: float) -> Data
     )
 
 
+def _subcell(position: Column, coarse: Column, cell: float, split: int) -> Column:
+    """Index of the fine cell, held inside the coarse cell against rounding."""
+    first = coarse * split
+    return F.least(F.greatest(F.floor(position / (cell / split)), first), first + split - 1)
+
+
+def _crowded(left: DataFrame, right: DataFrame, hot_pairs: int) -> DataFrame:
+    """Cells with more than ``hot_pairs`` comparisons. Each holds over sqrt(hot_pairs) polygons
+    of one table, so there are at most (rows) / sqrt(hot_pairs) of them."""
+    cell = ["_cx", "_cy"]
+    size = F.count(F.lit(1))
+    both = left.groupBy(*cell).agg(size.alias("_na")).join(right.groupBy(*cell).agg(size.alias("_nb")), cell)
+    return both.filter(F.col("_na") * F.col("_nb") > hot_pairs).select(*cell, F.lit(True).alias("_hot"))
+
+
+def _refined(df: DataFrame, crowded: DataFrame, side: str, cell: float, split: int) -> DataFrame:
+    """Put the polygons of crowded cells into the fine cells that they meet."""
+    box = F.col(f"box_{side}")
+    marked = df.join(F.broadcast(crowded), ["_cx", "_cy"], "left")
+    for axis in ("x", "y"):
+        coarse = F.col(f"_c{axis}")
+        fine = F.sequence(
+            _subcell(box[f"{axis}0"], coarse, cell, split), _subcell(box[f"{axis}1"], coarse, cell, split)
+        )
+        whole = F.array(F.lit(None).cast("bigint"))
+        marked = marked.withColumn(f"_s{axis}", F.explode(F.when(F.col("_hot"), fine).otherwise(whole)))
+    # A plain cell counts as its own only fine cell, below all real ones.
+    return marked.withColumns({s: F.coalesce(s, F.lit(-(2**62))) for s in ("_sx", "_sy")})
+
+
 def overlap_join(
     a: DataFrame, b: DataFrame, key_a: str, key_b: str, cell: float,
-    ring: str = "ring", rectangles: bool = False,
+    ring: str = "ring", rectangles: bool = False, hot_pairs: int = HOT_PAIRS, split: int = 8,
 ) -> DataFrame:
     """Pairs of polygons that overlap or touch, with both areas and the overlap, in hectares.
 
     Each polygon is put into every grid cell its bounding box meets, and cells are joined by
-    equality. A pair that shares several cells is kept in one only: that of the lower left
-    corner of the boxes' common part. Rings are axis-parallel rectangles (``rectangles``) or
-    convex; these are clipped against each other. ``cell`` should be a little larger than the
-    usual polygon.
+    equality. Cells that would take more than ``hot_pairs`` comparisons are cut into
+    ``split`` by ``split`` fine cells first. A pair that shares several cells is kept in one
+    only: that of the lower left corner of the boxes' common part. Rings are axis-parallel
+    rectangles (``rectangles``) or convex; these are clipped against each other. ``cell``
+    should be a little larger than the usual polygon.
     """
     left, right = _gridded(a, key_a, ring, "a", cell), _gridded(b, key_b, ring, "b", cell)
+    crowded = _crowded(left, right, hot_pairs)
+    fine_left = _refined(left, crowded, "a", cell, split)
+    fine_right = _refined(right, crowded, "b", cell, split).drop("_hot")
     p, q = F.col("box_a"), F.col("box_b")
     x0, y0 = F.greatest(p["x0"], q["x0"]), F.greatest(p["y0"], q["y0"])
     x1, y1 = F.least(p["x1"], q["x1"]), F.least(p["y1"], q["y1"])
-    candidates = left.join(right, ["_cx", "_cy"]).filter(
-        (x0 <= x1) & (y0 <= y1)
-        & (F.col("_cx") == F.floor(x0 / cell)) & (F.col("_cy") == F.floor(y0 / cell))
-    )
+
+    def here(axis: str, corner: Column) -> Column:
+        coarse = F.col(f"_c{axis}")
+        in_fine = F.col("_hot").isNull() | (F.col(f"_s{axis}") == _subcell(corner, coarse, cell, split))
+        return (coarse == F.floor(corner / cell)) & in_fine
+
+    candidates = fine_left.join(fine_right, ["_cx", "_cy", "_sx", "_sy"]).filter(
+        (x0 <= x1) & (y0 <= y1) & here("x", x0) & here("y", y0)
+    )
     if rectangles:
         measured = candidates.withColumn("area_overlap", (x1 - x0) * (y1 - y0))
     else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -97,10 +98,15 @@ def flag_errors(
     wanted = [e for e in FLAG_TEXTS if only is None or e in set(only)]
     marked = final if log in final.columns else add_null_col(final, log)
     columns = marked.columns
+    lookups = []
     if FROM_PARCEL & set(wanted):
-        marked = attach(marked, parcel_flags(final, wanted), PARCEL_YEAR)
+        lookups.append(parcel_flags(final, wanted))
     if FROM_PAIRS & set(wanted):
-        marked = attach(marked, pair_flags(pairs, wanted), PARCEL_YEAR)
+        lookups.append(pair_flags(pairs, wanted))
+    if lookups:
+        # Both are grouped by the same keys, so joining them first takes no further shuffle.
+        together = reduce(lambda a, b: a.join(b, PARCEL_YEAR, "full"), lookups)
+        marked = attach(marked, together, PARCEL_YEAR)
     for flag, (side, part, limit) in CLAIM_LIMITS.items():
         if flag not in wanted:
             continue

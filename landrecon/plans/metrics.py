@@ -8,6 +8,7 @@ from landrecon.functions.rings import area_hectares
 from landrecon.functions.numbers import round2
 from landrecon.operators.aggregates import bucket_count, distinct_per_group
 from landrecon.operators.filters import area_mismatch
+from landrecon.operators.joins import semi
 from landrecon.operators.lookups import attach
 from landrecon.operators.matching import repeated_side
 from landrecon.plans.reconcile import EXCLUDED
@@ -70,7 +71,7 @@ def flag_agreement(owners: DataFrame, renters: DataFrame) -> DataFrame:
 def matched_area(shapes: DataFrame, claims: DataFrame) -> DataFrame:
     """M6, M7: digitised area of the parcels that have a claim in the year, all years at once."""
     parcels = shapes.select(*PARCEL_YEAR, "digi_area").distinct()
-    found = parcels.join(claims.select(*PARCEL_YEAR), PARCEL_YEAR, "left_semi")
+    found = semi(parcels, claims, PARCEL_YEAR)
     return found.groupBy("year").agg(F.sum("digi_area").alias("digi_area"))
 
 

@@ -8,6 +8,7 @@ from landrecon.functions.arrays import array_cat, array_len, has_element, null_i
 from landrecon.functions.numbers import percent
 from landrecon.operators.aggregates import array_agg_distinct, holding_area, sum_if
 from landrecon.operators.joins import not_in
+from landrecon.operators.lookups import attach
 from landrecon.operators.spatial import overlap_join
 
 SIDES = ("owner", "user")
@@ -66,7 +67,7 @@ def property_overlay(
         .agg(F.max("area_b").alias("iacs_area_ha"), F.sum("area_overlap").alias("area_of_intersection"))
     )
     whole = holding_area(properties, ["property"], name="aw_area_ha")
-    return areas.join(whole, "property").join(ownership, "hapar_id")
+    return attach(attach(areas, whole, ["property"], "inner"), ownership, ["hapar_id"], "inner")
 
 
 def _leased_array(n_no: Column, n_yes: Column) -> Column:

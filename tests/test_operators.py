@@ -251,8 +251,8 @@ def test_union_years(frame, rows):
 
 # --------------------------------------------------------------------------------- spatial
 @pytest.mark.parametrize("cell", [3.0, 10.0, 200.0])
-@pytest.mark.parametrize("rectangles", [True, False])
-def test_overlap_against_brute_force(spark, rows, cell, rectangles):
+@pytest.mark.parametrize("rectangles, hot_pairs", [(True, 10**9), (True, 0), (True, 40), (False, 20)])
+def test_overlap_against_brute_force(spark, rows, cell, rectangles, hot_pairs):
     from landrecon.functions.rings import rect_ring
 
     rng = random.Random(7)
@@ -263,7 +263,7 @@ def test_overlap_against_brute_force(spark, rows, cell, rectangles):
     a, b = boxes(30) + [(30, 0, 0, 5, 5)], boxes(30) + [(30, 5, 0, 9, 5)]
     make = lambda data: spark.createDataFrame(data, "id int, x0 int, y0 int, x1 int, y1 int").select(
         "id", rect_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")).alias("ring"))
-    got = rows(spatial.overlap_join(make(a), make(b), "id", "id", cell, rectangles=rectangles), "key_a", "key_b", F.round(F.col("area_overlap") * 10000, 6))
+    got = rows(spatial.overlap_join(make(a), make(b), "id", "id", cell, rectangles=rectangles, hot_pairs=hot_pairs), "key_a", "key_b", F.round(F.col("area_overlap") * 10000, 6))
     expected = []
     for i, p0, q0, p1, q1 in a:
         for j, r0, s0, r1, s1 in b:
