@@ -335,9 +335,9 @@ def _(t):
     return t.perm_raw.select(*PY, "land_use").distinct()
 
 
-@query("A13_pct", "SELECT hapar_id, round(CAST(sum(land_use_area) AS DOUBLE) / nullif(CAST(sum(land_parcel_area) AS DOUBLE), 0) * 100, 6) AS percent FROM perm GROUP BY hapar_id")
+@query("A13_pct", "SELECT hapar_id, round(CAST(sum(land_use_area) AS DOUBLE) / nullif(CAST(sum(land_parcel_area) AS DOUBLE), 0) * 100, 9) AS percent FROM perm GROUP BY hapar_id")
 def _(t):
-    return aggregates.pct(t.perm, ["hapar_id"], "land_use_area", "land_parcel_area").withColumn("percent", F.round("percent", 6))
+    return aggregates.pct(t.perm, ["hapar_id"], "land_use_area", "land_parcel_area").withColumn("percent", F.round("percent", 9))
 
 
 @query("A14_two_level",
@@ -500,7 +500,7 @@ def _(t):
 @query("G2_collect_rings", "SELECT property, count(*) AS n_parts, sum((x1 - x0) * (y1 - y0)) AS area FROM property_shape GROUP BY property", big="n_parts")
 def _(t):
     rings = spatial.collect_rings(t.property_shape, ["property"])
-    return rings.select("property", F.size("rings").cast("bigint").alias("n_parts"), "area")
+    return rings.groupBy("property", "area").agg(F.sum(F.size("rings")).alias("n_parts"))
 
 
 @query("G3_overlap_join", _OVERLAP)
@@ -514,7 +514,7 @@ def _(t):
 
 
 @query("G4_overlap_rollup",
-       f"""SELECT property, count(*) AS n_parcels, round(sum(area_overlap), 6) AS overlap, round(sum(area_overlap) / max(whole) * 100, 4) AS percent
+       f"""SELECT property, count(*) AS n_parcels, round(sum(area_overlap), 6) AS overlap, round(sum(area_overlap) / max(whole) * 100, 9) AS percent
            FROM (SELECT property, hapar_id, sum(area_overlap) AS area_overlap FROM ({_OVERLAP}) GROUP BY ALL)
            JOIN (SELECT property, sum((x1 - x0) * (y1 - y0)) * 0.0001 AS whole FROM property_shape GROUP BY property) USING (property)
            GROUP BY property""", big="n_parcels")
@@ -523,4 +523,4 @@ def _(t):
     whole = aggregates.holding_area(t.property_shape, ["property"], name="whole")
     sums = per_parcel.groupBy("property").agg(n_rows().alias("n_parcels"), F.sum("area_overlap").alias("o"))
     share = F.try_divide(F.col("o"), F.col("whole")) * 100
-    return sums.join(whole, "property").select("property", "n_parcels", F.round("o", 6).alias("overlap"), F.round(share, 4).alias("percent"))
+    return sums.join(whole, "property").select("property", "n_parcels", F.round("o", 6).alias("overlap"), F.round(share, 9).alias("percent"))

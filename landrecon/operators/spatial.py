@@ -7,21 +7,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 from landrecon.functions.rings import (
     HECTARES_PER_M2, bounds, clip_convex, counter_clockwise, polygon_area,
 )
-
+from landrecon.operators.lookups import with_totals
 
 # A grid cell that would compare more pairs than this is cut into finer cells.
 HOT_PAIRS = 1_000_000_000
+# A multi-part value holds about this many rings at most.
+MAX_PARTS = 10_000
 
 
-def collect_rings(df: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
-    """All rings of a key as one multi-part value, with its area.
+def collect_rings(df: DataFrame, keys: list[str], ring: str = "ring", max_parts: int = MAX_PARTS) -> DataFrame:
+    """All rings of a key as a multi-part value, with the area of all of them.
 
-    The area is summed beside the collection, not from it.
+    The area is summed beside the collection, not from it. A key with more than ``max_parts``
+    rings comes out as several rows, numbered by ``part``, which together hold every ring: one
+    value of any size could not be built in one task.
     """
-    return df.groupBy(*keys).agg(
-        F.collect_list(ring).alias("rings"),
-        F.sum(polygon_area(F.col(ring))).alias("area"),
-    )
+    sums = {"_rings": F.count(F.lit(1)), "area": F.sum(polygon_area(F.col(ring)))}
+    sized = with_totals(df, keys, sums)
+    parts = F.ceil(F.col("_rings") / max_parts).cast("bigint")
+    part = F.pmod(F.xxhash64(*df.columns), parts).cast("int")
+    return sized.groupBy(*keys, part.alias("part"), "area").agg(F.collect_list(ring).alias("rings"))
 
 
 def _cells(low: Column, high: Column, cell: float) -> Column:

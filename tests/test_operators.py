@@ -272,3 +272,16 @@ def test_overlap_against_brute_force(spark, rows, cell, rectangles, hot_pairs):
                 expected.append((i, j, float(w * h)))
     assert got == sorted(expected, key=lambda r: [(False, str(v)) for v in r])
     assert (30, 30, 0.0) in got  # a shared edge counts as touching
+
+
+@pytest.mark.parametrize("max_parts, values", [(100, 2), (3, None)])
+def test_collected_rings_are_whole(spark, max_parts, values):
+    from landrecon.functions.rings import rect_ring
+
+    shapes = spark.range(40).select(
+        (F.col("id") % 20 == 0).alias("k"), "id", rect_ring(F.lit(0), F.lit(0), F.col("id"), F.lit(1)).alias("ring"))
+    out = spatial.collect_rings(shapes, ["k"], max_parts=max_parts).collect()
+    assert values is None or len(out) == values
+    assert values is not None or len(out) > 5
+    assert sum(len(r.rings) for r in out) == 40
+    assert {r.k: r.area for r in out} == {True: 20.0, False: 760.0}
