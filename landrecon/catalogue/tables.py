@@ -33,7 +33,7 @@ def plain(df: DataFrame) -> DataFrame:
 class Tables:
     """The given tables and all domain tables derived from them."""
 
-    _known: dict[tuple[str, str], "Tables"] = {}
+    _known: dict[tuple[str, int, str], "Tables"] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
@@ -41,12 +41,11 @@ class Tables:
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Tables":
-        key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+        """The same tables for the same session and folder, so that stages are shared."""
+        key = (spark.sparkContext.applicationId, id(spark), folder.rstrip("/"))
         if key not in cls._known:
             cls._known[key] = cls(spark, folder)
-        known = cls._known[key]
-        known.spark = tune(spark)
-        return known
+        return cls._known[key]
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"

@@ -272,3 +272,27 @@ def test_area_bands_at_the_edge(spark, frame, rows):
     shapes = frame("hapar_id long, year int, digi_area decimal(18,3)", (1, 2017, D("10.01")), (2, 2017, D("11.005")), (3, 2017, D(1)))
     assert rows(metrics.area_bands(final, shapes), "digi_area_match", "n") == [("< 0.01 difference", 1), ("> 0.1 difference", 2)]
     assert rows(metrics.area_bands(final, shapes, strict=False), "digi_area_match", "n") == [("< 0.01 difference", 2), ("unknown", 1)]
+
+
+# ----------------------------------------------------------------------------- invariants
+def test_row_order_is_irrelevant_and_every_claim_is_merged(spark):
+    """The whole chain on given data, once as it lies and once shuffled. Every prepared claim
+    is in the merged rows; only empty exclusions are dropped afterwards."""
+    from landrecon.catalogue.tables import Tables
+    from landrecon.session import stage
+
+    tables = Tables.of(spark, "/root/testdata/sf0.001")
+
+    def chain(order):
+        p, s = (order(df) for df in (tables.perm_raw, tables.seas_raw))
+        owners, renters = stage(clean.prepare_owners(p)), stage(clean.prepare_renters(s))
+        pairs, owners_left, renters_left = reconcile.match_owners_renters(owners, renters)
+        merged = reconcile.one_sided_rows(owners_left, renters_left).unionByName(reconcile.merge_pairs(pairs))
+        final = flags.flag_errors(reconcile.infer_and_equalise(merged), pairs)
+        return owners.select("claim_id").unionByName(renters.select("claim_id")), merged, final
+
+    claims, merged, first = chain(lambda df: df)
+    _, _, second = chain(lambda df: df.repartition(5, F.xxhash64("claim_id")).sortWithinPartitions(F.md5("claim_id")))
+    assert first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
+    present = merged.select(F.explode(F.split("claim_id", ", ")).alias("claim_id")).distinct()
+    assert claims.exceptAll(present).isEmpty() and present.exceptAll(claims).isEmpty()
