@@ -9,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from landrecon.catalogue import ORACLES as SQL, QUERIES as CATALOGUE
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = CATALOGUE, SQL
 
 
 @pytest.fixture(scope="module")
@@ -56,6 +57,11 @@ def test_plan_has_no_nested_loop_and_no_python(spark, name):
         assert word not in plan
 
 
+def test_entry_points_have_the_whole_catalogue():
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["hapar_id", "land_use", "largest_used_area"] and df.count() > 0
