@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe
+from landrecon.llm import bpe, packing
 from landrecon.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,9 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer)
