@@ -30,7 +30,7 @@ from landrecon.session import stage
 from landrecon.sources.ids import number_rows
 
 CAPACITY = 4096
-NODES = 50_000
+NODES = 5_000
 WIDTH = 3
 GROUP = 64
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe, packing
+from landrecon.llm import bpe, packing, simhash
 from landrecon.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer)
+
+
+@query("op6_simhash_near_dedup")
+def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
