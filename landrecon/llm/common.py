@@ -9,11 +9,27 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from landrecon.session import tune
+
 _CACHE = "_landrecon_worker_cache"
 
 
+# What one Arrow batch may hold, so that a Python task's memory does not depend on text lengths.
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on: adaptive execution, as everywhere, and small batches."""
+    for key, value in BATCH_SETTINGS.items():
+        spark.conf.set(key, value)
+    return tune(spark)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
