@@ -6,6 +6,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -56,3 +57,32 @@ def batches(rows: Iterator[pa.RecordBatch], fn: Callable[[pa.RecordBatch], pa.Re
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def whole_groups(rows: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """From a partition sorted by integer keys: tables of complete groups, and where each begins."""
+    held: list[pa.RecordBatch] = []
+
+    def changes(block: pa.Table) -> np.ndarray:
+        new = np.zeros(block.num_rows, dtype=bool)
+        new[0] = True
+        for key in keys:
+            column = block[key].to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        return np.flatnonzero(new)
+
+    for batch in rows:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        first, last = held[0], batch
+        if all(first[k][0] == last[k][last.num_rows - 1] for k in keys):
+            continue  # still one group
+        block = pa.Table.from_batches(held)
+        begin = changes(block)
+        cut = int(begin[-1])
+        yield block.slice(0, cut), begin[:-1]
+        held = block.slice(cut).combine_chunks().to_batches()
+    if held:
+        block = pa.Table.from_batches(held)
+        yield block, changes(block)

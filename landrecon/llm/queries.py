@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe, language, packing, simhash, toxicity
+from landrecon.llm import bpe, language, packing, simhash, toxicity, vectors
 from landrecon.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,28 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_language_id")
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
+
+
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, v -> NOT isfinite(v))) = 0 AND len(list_filter(embedding, v -> v <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id)::BIGINT AS n_links,
+  (SELECT min(b) FROM reach r WHERE r.a = v.vec_id) AS component_id,
+  v.vec_id = (SELECT min(b) FROM reach r WHERE r.a = v.vec_id) AS kept
+FROM embeddings v
+"""
+
+
+@query("op3_embedding_near_dedup", NEAR_VECTORS_SQL)
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
