@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe, language, packing, simhash, toxicity, vectors
+from landrecon.llm import bpe, language, packing, simhash, substrings, toxicity, vectors
 from landrecon.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,9 @@ FROM embeddings v
 @query("op3_embedding_near_dedup", NEAR_VECTORS_SQL)
 def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op10_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
