@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe, language, packing, simhash, substrings, toxicity, vectors
+from landrecon.llm import bpe, language, packing, pii, simhash, substrings, toxicity, vectors
 from landrecon.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,15 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substrings.remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_pii_boosted")
+def pii_boosted(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter(F.col("base.kind"), pii.equals(n))).cast("long").alias(f"n_{kind}")
+        for n, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.span_text("base"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans")
+    )
