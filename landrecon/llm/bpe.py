@@ -200,3 +200,8 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         return batches(part, run)
 
     return encoded.mapInArrow(run_all, f"{fields}, decoded binary")
+
+
+def encoder(ranks_path: str, pattern: str = public_tokenizers.PATTERN):
+    """For use in a task: gives the function from a whole text to its ids."""
+    return lambda: _encoding(ranks_path, pattern).encode_ordinary

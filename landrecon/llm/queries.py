@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe, language, packing, pii, simhash, substrings, toxicity, vectors
+from landrecon.llm import bpe, hamming, language, order, packing, pii, simhash, substrings, toxicity, vectors
 from landrecon.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,7 +61,7 @@ NEAR_VECTORS_SQL = """
 WITH RECURSIVE sound AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND list_count(embedding) = len(embedding)
-    AND len(list_filter(embedding, v -> NOT isfinite(v))) = 0 AND len(list_filter(embedding, v -> v <> 0)) > 0
+    AND len(list_filter(embedding, lambda v: NOT isfinite(v))) = 0 AND len(list_filter(embedding, lambda v: v <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.e, b.e) >= 0.93
@@ -98,3 +98,32 @@ def pii_boosted(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pii.span_text("base"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans")
     )
+
+
+NEAREST_CODES_SQL = """
+WITH whole AS (
+  SELECT vec_id AS id, list_transform(embedding[1:64], lambda v: (v >= 0)::INT) AS code FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) >= 64 AND list_count(embedding[1:64]) = 64
+), pairs AS (
+  SELECT q.id AS query_id, t.id AS neighbor_id,
+    list_sum(list_transform(list_zip(q.code, t.code), lambda p: (p[1] <> p[2])::INT))::INT AS distance
+  FROM whole q, whole t WHERE q.id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id)::INT AS rank FROM pairs
+)
+SELECT query_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op1_hamming_top_k", NEAREST_CODES_SQL)
+def hamming_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest sign codes of every vector whose id is divisible by 20, among all vectors."""
+    codes = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code"))
+    return hamming.nearest(codes, codes.filter(F.col("id") % 20 == 0))
+
+
+@query("op2_training_order")
+def training_order(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    stored = order.sequences(table(spark, folder, "documents"), bpe.encoder(ranks), end_id=50256)
+    return order.in_training_order(stored, key=2024)
