@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from landrecon.llm.common import batches
+from landrecon.operators.lookups import attach
 
 SAMPLE = 800
 CENTROIDS = 4
@@ -113,9 +114,14 @@ def fit(docs: DataFrame, learn_from: Column, sample: int = SAMPLE, k: int = CENT
     ).select("doc_id", "text", "lang")
     df, n = document_frequencies(known)
     idf = np.log((1 + n) / (1 + df)) + 1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    draw = F.xxhash64("doc_id")
     listed = docs.filter(learn_from & F.col("lang").isNotNull()).select("doc_id", "lang").distinct()
-    first = listed.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample).drop("_n")
+    # A language's rows are thinned by their hash to some more than the sample before they meet.
+    size = listed.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
+    share = F.lit(1.5 * sample) / F.col("_rows")
+    thin = attach(listed, size, ["lang"]).filter((draw / 2.0**64 + 0.5) <= share).drop("_rows")
+    order = Window.partitionBy("lang").orderBy(draw, "doc_id")
+    first = thin.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= sample).drop("_n")
     # At most ``sample`` ids a language.
     chosen = known.join(F.broadcast(first), ["doc_id", "lang"]).select("lang", "text")
 
