@@ -40,7 +40,7 @@ from landrecon.session import stage
 
 LENGTH = 50
 ANCHOR = 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_ENTRIES = 1 << 20
 # Samples per byte of text, for the number of buckets only.
 DENSITY = 1 / 16
@@ -61,7 +61,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    size = 1 << max(12, (n - 1).bit_length())
+    size = ceil(n / (1 << 20)) << 20
 
     def make():
         both = []
