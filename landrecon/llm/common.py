@@ -86,3 +86,9 @@ def whole_groups(rows: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tu
     if held:
         block = pa.Table.from_batches(held)
         yield block, changes(block)
+
+
+def nullable(column):
+    """A struct column whose fields admit NULL, as declared schemas do."""
+    fields = [column.type.field(i).with_nullable(True) for i in range(column.type.num_fields)]
+    return column.cast(pa.struct(fields))

@@ -34,8 +34,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
-from landrecon.llm.common import cached, texts
+from landrecon.llm.common import cached, nullable
 from landrecon.session import stage
 
 LENGTH = 50
@@ -296,15 +297,20 @@ def _locate(bounds: list[int]):
 
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, block_bytes: int = BLOCK_BYTES,
-    bucket_entries: int = BUCKET_ENTRIES, id_col: str = "doc_id", text_col: str = "text",
+    bucket_entries: int = BUCKET_ENTRIES, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, kept (binary), n_bytes, n_removed and n_spans per row."""
-    rows = texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    """doc_id, kept (binary), n_bytes, n_removed and n_spans per row, and ``carried``, a struct of
+    the columns to carry along if there are any."""
+    extra = [F.struct(*carry).alias("carried")] if carry else []
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *extra
+    )
     lengths = stage(rows.select("doc_id", F.octet_length("text").cast("long").alias("size")), "lengths")
     bounds, total = _block_bounds(lengths, block_bytes)
     bits = max(0, ceil(log2(max(1.0, total * DENSITY / bucket_entries))))
-    located = rows.select("doc_id", F.col("text").cast("binary").alias("text"), _locate(bounds)("doc_id").alias("block"))
+    located = rows.withColumns({"text": F.col("text").cast("binary"), "block": _locate(bounds)("doc_id")})
     blocks = located.groupBy("block")
+    along = ["carried"] if carry else []
 
     def read(table: pa.Table) -> Block:
         ids = table["doc_id"].fill_null(LAST_ID).to_numpy()
@@ -331,7 +337,8 @@ def remove_repeats(
 
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _OUT.empty_table()
+            whole = pa.schema([*_OUT, *[pa.field(c, nullable(table[c]).type) for c in along]])
+            return whole.empty_table()
         block = read(table)
         runs = block.runs()
         repeated, unsure = block.settle(runs, block.answers(answers, SETTLED, runs.bucket))
@@ -346,21 +353,30 @@ def remove_repeats(
         text = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(block.ids), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(kept)]
         )
-        return pa.table(
+        moved = table.select(["doc_id", *along]).take(pa.array(block.row_order))
+        out = pa.table(
             [
-                table["doc_id"].take(pa.array(block.row_order)), text.cast(pa.binary()),
+                moved["doc_id"], text.cast(pa.binary()),
                 pa.array(np.diff(block.offsets)), pa.array(removed.astype(np.int64)), pa.array(spans.astype(np.int64)),
             ],
             schema=_OUT,
         )
+        return out.append_column("carried", nullable(moved["carried"])) if along else out
 
     asked = blocks.applyInArrow(list_runs, _ROW_DDL)
     answered = asked.groupBy("bucket").applyInArrow(_answer, _ROW_DDL)
     open_asked = blocks.cogroup(answered.groupBy("block")).applyInArrow(list_windows, _ROW_DDL)
     settled = open_asked.groupBy("bucket").applyInArrow(_answer, _ROW_DDL)
-    return blocks.cogroup(settled.groupBy("block")).applyInArrow(
-        cut, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
-    )
+    schema = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
+    if carry:
+        schema += f", carried {dict(rows.dtypes)['carried']}"
+    return blocks.cogroup(settled.groupBy("block")).applyInArrow(cut, schema)
+
+
+@pandas_udf(StringType())
+def readable(data: pd.Series) -> pd.Series:
+    """Bytes as text; what is left of a character that was cut in two is dropped."""
+    return data.map(lambda b: b.decode("utf-8", "ignore"))
 
 
 _OUT = pa.schema(

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from landrecon.llm.common import batches, texts
+from landrecon.llm.common import batches, nullable, texts
 
 SAMPLE = 20_000
 BUCKETS = 1 << 20
@@ -189,9 +189,12 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Col
     return Machine(terms, *fit_machine([t for _, t in fitted], target, len(terms)))
 
 
-def score(docs: DataFrame, machine: Machine | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) per row; docs may have been read in any state."""
-    rows = texts(docs, id_col, text_col)
+def score(docs: DataFrame, machine: Machine | None, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """The columns to keep, as they are, and score, per row."""
+    keep = ["doc_id"] if keep is None else keep
+    if machine is None:
+        return docs.select(*keep, F.lit(0.0).alias("score"))
+    rows = docs.select(F.struct(*keep).alias("kept"), F.coalesce(text_col, F.lit("")).alias("text"))
 
     def run_all(part):
         terms = _Terms({t: i for i, t in enumerate(machine.terms)})
@@ -199,13 +202,11 @@ def score(docs: DataFrame, machine: Machine | None, id_col: str = "doc_id", text
         def run(batch):
             logits = np.array([machine.logit(text_terms(t, terms)) for t in batch["text"].to_pylist()])
             scores = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
-            return pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "score": pa.array(scores, pa.float64())})
+            return pa.RecordBatch.from_pydict({"kept": nullable(batch["kept"]), "score": pa.array(scores, pa.float64())})
 
         return batches(part, run)
 
-    if machine is None:
-        return rows.select("doc_id", F.lit(0.0).alias("score"))
-    return rows.mapInArrow(run_all, f"doc_id {dict(rows.dtypes)['doc_id']}, score double")
+    return rows.mapInArrow(run_all, f"kept {dict(rows.dtypes)['kept']}, score double").select("kept.*", "score")
 
 
 def fold(doc_id: Column, folds: int = 5) -> Column:
