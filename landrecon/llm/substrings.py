@@ -41,7 +41,7 @@ from landrecon.session import stage
 
 LENGTH = 50
 ANCHOR = 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 BUCKET_ENTRIES = 1 << 20
 # Samples per byte of text, for the number of buckets only.
 DENSITY = 1 / 16
@@ -62,17 +62,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    size = ceil(n / (1 << 20)) << 20
-
-    def make():
-        both = []
-        for base in (BASE, pow(BASE, -1, 1 << 64)):
-            steps = np.full(size, base, dtype=np.uint64)
+    held = cached(("powers",), dict)  # one pair of tables, as long as the longest block so far
+    if len(held.get("up", ())) < n:
+        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
+            steps = np.full(n, base, dtype=np.uint64)
             steps[0] = 1
-            both.append(np.cumprod(steps, dtype=np.uint64))
-        return tuple(both)
-
-    return cached(("powers", size), make)
+            np.cumprod(steps, out=steps)
+            held[name] = steps
+    return held["up"], held["down"]
 
 
 def _byte_values() -> np.ndarray:
@@ -112,6 +109,7 @@ class Block:
         terms *= power[:total]
         self.sums = np.zeros(total + 1, dtype=np.uint64)
         np.cumsum(terms, out=self.sums[1:])
+        del terms
         # windows: positions from which ``length`` bytes fit into the text
         room = np.maximum(sizes - length + 1, 0)
         edge = np.zeros(total + 1, dtype=np.int8)
@@ -141,12 +139,13 @@ class Block:
         if width > step:
             least = np.minimum(least[: len(least) - (width - step)], least[width - step :])
         at = np.flatnonzero(self.windows[: len(least)])
-        where = least[at] & np.uint64(0xFFFFFFFF)
+        where = (least[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        del least
         new = np.ones(len(at), dtype=bool)
         new[1:] = (where[1:] != where[:-1]) | (at[1:] != at[:-1] + 1)
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(at)) - 1
-        first, last, place = at[begin], at[end[: len(begin)]], where[begin].astype(np.int64)
+        first, last, place = at[begin], at[end[: len(begin)]], where[begin]
         chosen = sample[place]
         shape = (place - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)
         kind = _mixed(self.prints(first, last + self.length) + shape)
@@ -193,7 +192,7 @@ class Block:
 
     def remove(self, starts: np.ndarray):
         """Kept bytes, number of removed bytes and of removed spans, per row in the given order."""
-        edge = np.zeros(len(self.data) + 1, dtype=np.int64)
+        edge = np.zeros(len(self.data) + 1, dtype=np.int32)
         np.add.at(edge, starts, 1)
         np.add.at(edge, starts + self.length, -1)
         gone = np.cumsum(edge[:-1]) > 0
