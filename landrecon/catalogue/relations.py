@@ -24,7 +24,7 @@ def n_rows():
 def _(t):
     owners = t.perm.select(*FOUR, F.col("claim_id").alias("owner_id"))
     renters = t.seas.select(*FOUR, F.col("claim_id").alias("user_id"))
-    return owners.join(renters, FOUR).select(*PY, "owner_id", "user_id")
+    return joins.pair_join(owners, renters, FOUR, "owner_id", "user_id").select(*PY, "owner_id", "user_id")
 
 
 @query("J2_tiered_match", "SELECT claim_id, hapar_id, year, tier, owner_land_use, user_land_use FROM pairs_all", big="tier")
@@ -34,15 +34,6 @@ def _(t):
     return pairs.select("claim_id", *PY, F.col("tier").cast("bigint").alias("tier"), "owner_land_use", "user_land_use")
 
 
-@query("J2_pair_join_split",
-       "SELECT p.claim_id AS owner_id, s.claim_id AS user_id, p.year FROM perm p JOIN seas s USING (hapar_id, year)")
-def _(t):
-    """The grid layout for hot keys, with a threshold so low that it takes effect here."""
-    owners = t.perm.select(*PY, F.col("claim_id").alias("owner_id"))
-    renters = t.seas.select(*PY, F.col("claim_id").alias("user_id"))
-    return joins.pair_join(owners, renters, PY, "owner_id", "user_id", hot_rows=2).select("owner_id", "user_id", "year")
-
-
 @query("J3_tier_guard",
        """SELECT p.claim_id || ', ' || s.claim_id AS claim_id FROM perm p JOIN seas s USING (hapar_id, year, land_use, land_use_area)
           WHERE p.land_leased_out = 'Y' OR (p.land_leased_out = 'N' AND p.bps_claimed_area = 0)""")
@@ -165,21 +156,26 @@ def _(t):
           ON a.hapar_id = b.hapar_id AND a.year = b.year AND a.habus_id <> b.habus_id WHERE b.land_leased_out = 'Y'""")
 def _(t):
     rows = t.seas.select(*PY, "claim_id", "habus_id", "land_leased_out")
-    return joins.other_party_join(rows, PY, "habus_id", F.col("land_leased_out") == "Y").select("claim_id", "other_claim_id")
+    out = joins.other_party_join(rows, PY, "habus_id", F.col("land_leased_out") == "Y", "claim_id")
+    return out.select("claim_id", "other_claim_id")
+
+
+_STRICT = (
+    "hahol_id", "hapar_id", "land_parcel_area", "bps_eligible_area", "bps_claimed_area", "verified_exclusion",
+    "land_use_area", "land_use", "year", "land_activity", "application_status", "lfass_flag",
+)
+_LOOSE = ("hapar_id", "land_parcel_area", "bps_eligible_area", "land_use_area", "land_use", "year")
 
 
 @query("J18_strict_and_loose_match",
-       """SELECT p.claim_id || ', ' || s.claim_id AS claim_id,
-                 CASE WHEN p.land_use = s.land_use AND p.bps_claimed_area = s.bps_claimed_area AND p.lfass_flag = s.lfass_flag THEN 1 ELSE 2 END AS tier
-          FROM perm p JOIN seas s USING (hapar_id, land_parcel_area, land_use_area, year)
-          WHERE (p.land_use = s.land_use AND p.bps_claimed_area = s.bps_claimed_area AND p.lfass_flag = s.lfass_flag)
-             OR (p.land_leased_out = 'Y' AND s.land_leased_out = 'N')""", big="tier")
-def _(t):
-    loose = ("hapar_id", "land_parcel_area", "land_use_area", "year")
-    strict = (*loose, "land_use", "bps_claimed_area", "lfass_flag")
+       f"""SELECT claim_id, min(tier) AS tier FROM (
+            SELECT p.claim_id || ', ' || s.claim_id AS claim_id, 1 AS tier FROM perm p JOIN seas s USING ({", ".join(_STRICT)})
+            UNION ALL SELECT p.claim_id || ', ' || s.claim_id, 2 FROM perm p JOIN seas s USING ({", ".join(_LOOSE)})
+            WHERE p.land_leased_out = 'Y' AND s.land_leased_out = 'N') GROUP BY claim_id""", big="tier")
+def _(t):
     flags = (F.col("owner_land_leased_out") == "Y") & (F.col("user_land_leased_out") == "N")
-    tiers = [matching.Tier("strict", strict), matching.Tier("loose", loose, flags)]
-    kept = [*strict, "claim_id", "land_leased_out"]
+    tiers = [matching.Tier("strict", _STRICT), matching.Tier("loose", _LOOSE, flags)]
+    kept = [*dict.fromkeys([*_STRICT, *_LOOSE]), "claim_id", "land_leased_out"]
     pairs = matching.tiered_match(t.perm.select(*kept), t.seas.select(*kept), tiers)
     return pairs.select("claim_id", F.col("tier").cast("bigint").alias("tier"))
 
@@ -214,11 +210,14 @@ _BEST_GRAZING = """SELECT cg_hahol_id, land_use, used_area FROM (
 
 @query("J22_attach_fields",
        f"""SELECT b.cg_hahol_id, b.land_use, b.used_area, d.hapar_id, g.x1 - g.x0 AS width FROM ({_BEST_GRAZING}) b
-           JOIN (SELECT cg_hahol_id, hapar_id FROM detail) d USING (cg_hahol_id) JOIN (SELECT hapar_id, x0, x1 FROM grazing_shape) g USING (hapar_id)""", double="used_area width")
+           JOIN (SELECT cg_hahol_id, hapar_id FROM detail WHERE year = 2000) d USING (cg_hahol_id)
+           JOIN (SELECT hapar_id, x0, x1 FROM grazing_shape WHERE year = 2000) g USING (hapar_id)""", double="used_area width")
 def _(t):
+    """Holdings, members and fields of one and the same year."""
     best = largest_use.largest_use_commons(t.commons, t.rank, 2000)
-    members = t.detail.select("cg_hahol_id", "hapar_id")
-    out = joins.attach_fields(best, members, t.grazing_shape.select("hapar_id", "ring"), "cg_hahol_id", "hapar_id")
+    members = t.detail.filter("year = 2000").select("cg_hahol_id", "hapar_id")
+    fields = t.grazing_shape.filter("year = 2000").select("hapar_id", "ring")
+    out = joins.attach_fields(best, members, fields, "cg_hahol_id", "hapar_id")
     width = F.col("ring")[1]["x"] - F.col("ring")[0]["x"]
     return out.select("cg_hahol_id", "land_use", "used_area", "hapar_id", width.alias("width"))
 
@@ -296,20 +295,21 @@ def _(t):
     return aggregates.group_spread(t.perm, PY, "land_parcel_area")
 
 
-@query("A6_string_agg", "SELECT hapar_id, year, string_agg(land_leased_out, '' ORDER BY land_leased_out) AS flags FROM perm GROUP BY hapar_id, year")
+@query("A6_string_agg", "SELECT hapar_id, year, land_leased_out, count(*) AS copies FROM perm WHERE land_leased_out IS NOT NULL GROUP BY ALL", big="copies")
 def _(t):
-    return aggregates.string_agg(t.perm, PY, "land_leased_out", "", "flags")
+    """The parts of each group's text, with their copies."""
+    return aggregates.value_copies(t.perm, PY, "land_leased_out")
 
 
 @query("A7_array_agg_distinct",
-       "SELECT hapar_id, array_to_string(list_sort(list(DISTINCT hahol_id) FILTER (hahol_id IS NOT NULL)), ',') AS v FROM perm GROUP BY hapar_id")
+       "SELECT DISTINCT hapar_id, hahol_id FROM perm WHERE hahol_id IS NOT NULL")
 def _(t):
-    return t.perm.groupBy("hapar_id").agg(aggregates.array_agg_distinct("hahol_id").alias("v"))
+    return aggregates.distinct_values(t.perm, ["hapar_id"], "hahol_id")
 
 
-@query("A8_array_agg_sorted", "SELECT hapar_id, array_to_string(list(land_use ORDER BY land_use), ',') AS v FROM seas GROUP BY hapar_id")
+@query("A8_array_agg_sorted", "SELECT hapar_id, land_use, count(*) AS copies FROM seas WHERE land_use IS NOT NULL GROUP BY ALL", big="copies")
 def _(t):
-    return aggregates.array_agg_sorted(t.seas, ["hapar_id"], "land_use", "v")
+    return aggregates.value_copies(t.seas, ["hapar_id"], "land_use")
 
 
 @query("A9_sum_if", "SELECT hapar_id, sum(CASE WHEN land_leased_out = 'Y' THEN 1 END) AS n_yes FROM perm GROUP BY hapar_id", big="n_yes")
@@ -318,11 +318,11 @@ def _(t):
 
 
 @query("A10_array_concat_agg",
-       """SELECT year, array_to_string(list_sort(list(DISTINCT b)), ',') AS v FROM (
-            SELECT year, owner_habus_id AS b FROM final_rows UNION ALL SELECT year, user_habus_id FROM final_rows) WHERE b IS NOT NULL GROUP BY year""")
+       """SELECT DISTINCT hapar_id, b FROM (SELECT hapar_id, owner_habus_id AS b FROM final_rows
+            UNION ALL SELECT hapar_id, user_habus_id FROM final_rows) WHERE b IS NOT NULL""")
 def _(t):
-    both = F.array_compact(F.array("owner_habus_id", "user_habus_id"))
-    return aggregates.array_concat_agg(t.final.select("year", both.alias("b")), ["year"], "b", "v")
+    both = F.array("owner_habus_id", "user_habus_id")
+    return aggregates.distinct_elements(t.final.select("hapar_id", both.alias("both")), ["hapar_id"], "both", "b")
 
 
 @query("A11_total", "SELECT sum(digi_area) AS total FROM digitised", double="total")
@@ -348,22 +348,27 @@ def _(t):
     return aggregates.group_agg(business, ["hapar_id"], {"n_business": n_rows(), "top": F.max("used")})
 
 
+def consolidated(t):
+    keys = ["cg_hahol_id", "mlc_hahol_id", "year", "land_use"]
+    rows = t.commons_built.select(*keys, "share_area", "id", "change_note")
+    return aggregates.consolidate(rows, keys, ["share_area"], "id", "change_note", "merged; ")
+
+
 @query("A15_consolidate",
-       """SELECT cg_hahol_id, mlc_hahol_id, year, land_use, sum(share_area) AS share_area, string_agg(id, ', ' ORDER BY id) AS id,
+       """SELECT cg_hahol_id, mlc_hahol_id, year, land_use, sum(share_area) AS share_area, min(id) AS id, count(*) AS n_members,
                  CASE WHEN count(*) > 1 THEN concat(change_note, 'merged; ') ELSE change_note END AS change_note
           FROM commons_built WHERE mlc_hahol_id IS NOT NULL GROUP BY cg_hahol_id, mlc_hahol_id, year, land_use, commons_built.change_note
-          UNION ALL SELECT cg_hahol_id, mlc_hahol_id, year, land_use, share_area, id, change_note FROM commons_built WHERE mlc_hahol_id IS NULL""",
-       double="share_area")
+          UNION ALL SELECT cg_hahol_id, mlc_hahol_id, year, land_use, share_area, id, 1, change_note FROM commons_built WHERE mlc_hahol_id IS NULL""",
+       double="share_area", big="n_members")
 def _(t):
-    rows = t.commons_built.select("cg_hahol_id", "mlc_hahol_id", "year", "land_use", "share_area", "id", "change_note")
-    return aggregates.consolidate(rows, ["cg_hahol_id", "mlc_hahol_id", "year", "land_use"], ["share_area"], "id", "change_note", "merged; ")
+    return consolidated(t)[0]
 
 
 @query("A15_consolidated_members",
-       """SELECT first_id, id AS member_id FROM (SELECT id, min(id) OVER w AS first_id, count(*) OVER w AS n
-            FROM commons_built WHERE mlc_hahol_id IS NOT NULL WINDOW w AS (PARTITION BY cg_hahol_id, mlc_hahol_id, year, land_use)) WHERE n > 1""")
+       """SELECT first AS id, id AS member_id FROM (SELECT id, min(id) OVER w AS first, count(*) OVER w AS n
+            FROM commons_built WHERE mlc_hahol_id IS NOT NULL WINDOW w AS (PARTITION BY cg_hahol_id, mlc_hahol_id, year, land_use, change_note)) WHERE n > 1""")
 def _(t):
-    return aggregates.consolidated_members(t.commons_built, ["cg_hahol_id", "mlc_hahol_id", "year", "land_use"], "id")
+    return consolidated(t)[1]
 
 
 @query("A16_bucket_count",
@@ -492,15 +497,28 @@ def _(t):
 
 
 # ------------------------------------------------------------------------------- spatial
+def corners(shapes, keys):
+    """The rows of a multi-part value corner by corner, with copies, beside count and area."""
+    parts, sums = spatial.ring_parts(shapes, keys)
+    listed = parts.select(*keys, F.posexplode(F.slice("ring", 1, 4)).alias("corner", "p"))
+    counted = listed.select(*keys, (F.col("corner") + 1).cast("bigint").alias("corner"), "p.x", "p.y")
+    return lookups.attach(counted.groupBy(*counted.columns).agg(n_rows().alias("copies")), sums, keys)
+
+
 @query("G1_polygon_area", "SELECT hapar_id, round((x1 - x0) * (y1 - y0) * 0.0001, 8) AS area_ha FROM parcel_shape")
 def _(t):
     return t.parcel_shape.select("hapar_id", F.round(area_hectares(F.col("ring")), 8).alias("area_ha"))
 
 
-@query("G2_collect_rings", "SELECT property, count(*) AS n_parts, sum((x1 - x0) * (y1 - y0)) AS area FROM property_shape GROUP BY property", big="n_parts")
+_CORNERS = "SELECT {0}, unnest([1, 2, 3, 4]) AS corner, unnest([x0, x1, x1, x0]) AS x, unnest([y0, y0, y1, y1]) AS y FROM {1}"
+
+
+@query("G2_collect_rings", f"""SELECT * FROM (SELECT property, corner, x, y, count(*) AS copies FROM ({_CORNERS.format("property", "property_shape")}) GROUP BY ALL)
+       JOIN (SELECT property, count(*) AS n_parts, sum((x1 - x0) * (y1 - y0)) AS area FROM property_shape GROUP BY property) USING (property)""",
+       big="n_parts corner copies", double="x y area")
 def _(t):
-    rings = spatial.collect_rings(t.property_shape, ["property"])
-    return rings.groupBy("property", "area").agg(F.sum(F.size("rings")).alias("n_parts"))
+    """The corners of every part, beside the number of parts and their area."""
+    return corners(t.property_shape, ["property"])
 
 
 @query("G3_overlap_join", _OVERLAP)

@@ -173,8 +173,13 @@ class Tables:
         return stage(commons.build_commons(self.share, self.lpid, self.grazing_shape))
 
     @cached_property
+    def commons_cleaned(self) -> tuple[DataFrame, DataFrame]:
+        done, members = commons.clean_commons(self.commons_built)
+        return stage(done), stage(members)
+
+    @property
     def commons(self) -> DataFrame:
-        return stage(commons.clean_commons(self.commons_built))
+        return self.commons_cleaned[0]
 
     @cached_property
     def linked(self) -> tuple[DataFrame, DataFrame]:

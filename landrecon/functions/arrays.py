@@ -29,11 +29,6 @@ def has_element(values: Column, element: object) -> Column:
     return F.array_contains(values, F.lit(element))
 
 
-def array_distinct_concat(arrays: Column) -> Column:
-    """Distinct elements of an array of arrays, sorted; NULL if there are none."""
-    return null_if_empty(F.array_sort(F.array_distinct(F.flatten(arrays))))
-
-
 def array_text(values: Column, separator: str = ",") -> Column:
     """Array as text, for reports and comparisons."""
     return F.array_join(values.cast("array<string>"), separator)

@@ -42,7 +42,3 @@ def effective_use(owner: Column, user: Column) -> Column:
 def collapse_prefix(code: Column, prefix: str = TEMPORARY_GRASS) -> Column:
     """All codes that start with the prefix count as one code."""
     return F.when(code.startswith(prefix), F.lit(prefix)).otherwise(code)
-
-
-def blank_to(code: Column, default: str = ROUGH_GRAZING) -> Column:
-    return F.when(code == BLANK, F.lit(default)).otherwise(code)

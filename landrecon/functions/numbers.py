@@ -28,5 +28,5 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def round2(value: Column) -> Column:
-    """Two decimals, half up."""
-    return F.round(value.cast("decimal(28,6)"), 2).cast("decimal(18,2)")
+    """Two decimals, half up, in one rounding of the shortest text of a double."""
+    return F.round(value.cast("string").cast("decimal(38,18)"), 2).cast("decimal(18,2)")

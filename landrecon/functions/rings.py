@@ -53,6 +53,18 @@ def counter_clockwise(ring: Column) -> Column:
     return F.when(signed_area(ring) < 0, F.reverse(ring)).otherwise(ring)
 
 
+def is_convex(ring: Column) -> Column:
+    """All corners turn the same way, or go straight on; rings may repeat their first corner."""
+    second = _next_corners(ring)
+    third = _next_corners(second)
+    steps = F.zip_with(
+        F.zip_with(ring, second, lambda p, q: F.struct(p.alias("p"), q.alias("q"))), third,
+        lambda pq, r: (pq["q"]["x"] - pq["p"]["x"]) * (r["y"] - pq["q"]["y"])
+        - (pq["q"]["y"] - pq["p"]["y"]) * (r["x"] - pq["q"]["x"]),
+    )
+    return ~(F.exists(steps, lambda t: t > 0) & F.exists(steps, lambda t: t < 0))
+
+
 def clip_convex(subject: Column, clip: Column) -> Column:
     """Overlap of two convex rings: keep the part left of every edge of the clip ring.
 

@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from landrecon.functions.arrays import null_if_empty
 from landrecon.functions.numbers import percent
 from landrecon.functions.rings import area_hectares
 from landrecon.functions.text import pg_concat
 from landrecon.operators.lookups import attach
 
-# A merged row lists its members' ids in its own id up to this many; see ``consolidate``.
-INLINE_IDS = 1_000
-
 
 def group_agg(
     df: DataFrame, keys: list[str], aggs: dict[str, Column], having: Column | None = None
@@ -30,37 +26,24 @@ def group_spread(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     return out.withColumn("spread", F.col("max_value") - F.col("min_value"))
 
 
-def _counted(df: DataFrame, keys: list[str], col: str) -> DataFrame:
-    known = df.filter(F.col(col).isNotNull())
-    return known.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
-
-
-def _repeat_each(col: str) -> Column:
-    """Sorted array with copies, from (value, count) pairs."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(col).alias("v"), F.col("_n").alias("n"))))
-    return F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["v"], p["n"].cast("int"))))
+def value_copies(df: DataFrame, keys: list[str], col: str, name: str = "copies") -> DataFrame:
+    """The known values of each group as rows, with the number of their copies.
 
-
-def string_agg(df: DataFrame, keys: list[str], col: str, sep: str, name: str) -> DataFrame:
-    """Text of all known values per group, sorted."""
-    text = F.array_join(_repeat_each(col).cast("array<string>"), sep)
-    return _counted(df, keys, col).groupBy(*keys).agg(text.alias(name))
-
-
-def array_agg_sorted(df: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:
-    """Sorted array with copies."""
-    return _counted(df, keys, col).groupBy(*keys).agg(_repeat_each(col).alias(name))
+    This stands for the sorted list of a group's values, as text or array: the list is the rows in
+    order, each as often as it has copies, and no task has to build it.
+    """
+    known = df.filter(F.col(col).isNotNull())
+    return known.groupBy(*keys, col).agg(F.count(F.lit(1)).alias(name))
 
 
-def array_agg_distinct(col: str) -> Column:
-    """Sorted distinct known values; duplicates go on the map side already."""
-    return F.array_sort(F.collect_set(col))
+def distinct_values(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """The distinct known values of each group, as rows."""
+    return df.filter(F.col(col).isNotNull()).select(*keys, col).distinct()
 
 
-def array_concat_agg(df: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:
-    """Distinct elements of all arrays of a group, sorted; NULL if there are none."""
-    elements = df.select(*keys, F.explode_outer(col).alias("_e")).distinct()
-    return elements.groupBy(*keys).agg(null_if_empty(array_agg_distinct("_e")).alias(name))
+def distinct_elements(df: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:
+    """The distinct elements of all arrays of a group, as rows."""
+    return distinct_values(df.select(*keys, F.explode(col).alias(name)), keys, name)
 
 
 def sum_if(cond: Column) -> Column:
@@ -125,15 +108,14 @@ def claim_balance(
 
 def consolidate(
     df: DataFrame, keys: list[str], sums: list[str], row_id: str, note: str, text: str,
-    constants: dict[str, str] | None = None, inline_ids: int = INLINE_IDS,
-) -> DataFrame:
-    """Merge the rows that agree on the keys; measures are summed, ids joined, a note added.
+    constants: dict[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Merge the rows that agree on the keys; measures are summed, a note is added.
 
     A row with a NULL key is never merged. Columns that are neither keys, sums nor constants
-    must agree as well. The id of a merged row lists the ids of its members in order; beyond
-    ``inline_ids`` members it names the first and the number of the others, since a text of
-    any length would have to be built in one task. ``consolidated_members`` gives the full
-    membership of every merged row as rows.
+    must agree as well. A merged row bears the smallest id of its members and their number,
+    ``n_members``. The second frame has the membership as rows: (``row_id``, ``member_id``) of
+    every member of a merged row, grouped by just the same columns.
     """
     constants = constants or {}
     carried = [c for c in df.columns if c not in {*keys, *sums, row_id, *constants}]
@@ -145,39 +127,19 @@ def consolidate(
     merged = keyed.groupBy(*group).agg(
         *[F.sum(c).cast(df.schema[c].dataType).alias(c) for c in sums],
         *[F.max(c).alias(c) for c in constants],
-        F.min(row_id).alias("_first"),
-        F.max(row_id).alias("_last"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    listed = merged.filter((F.col("_n") > 2) & (F.col("_n") <= inline_ids)).select(*group)
-    ids = (
-        attach(keyed.select(*group, row_id), listed, group, how="inner", null_safe=True)
-        .groupBy(*group)
-        .agg(F.array_join(F.array_sort(F.collect_list(row_id)), ", ").alias("_ids"))
+        F.min(row_id).alias(row_id),
+        F.count(F.lit(1)).alias("n_members"),
     )
-    many = F.col("_n") > 1
-    joined_id = (
-        F.when(F.col("_n") == 1, F.col("_first"))
-        .when(F.col("_n") == 2, F.concat_ws(", ", "_first", "_last"))
-        .when(F.col("_ids").isNotNull(), F.col("_ids"))
-        .otherwise(F.concat(F.col("_first"), F.lit(", +"), (F.col("_n") - 1).cast("string")))
+    many = F.col("n_members") > 1
+    firsts = merged.filter(many).select(*group, F.col(row_id).alias("_first"))
+    members = attach(keyed.select(*group, row_id), firsts, group, how="inner", null_safe=True).select(
+        F.col("_first").alias(row_id), F.col(row_id).alias("member_id")
     )
-    out = attach(merged, ids, group, null_safe=True).withColumns(
+    out = merged.withColumns(
         {
-            row_id: joined_id,
             note: F.when(many, pg_concat(F.col(note), F.lit(text))).otherwise(F.col(note)),
             **{c: F.when(many, F.lit(v)).otherwise(F.col(c)) for c, v in constants.items()},
         }
-    )
-    return out.select(*df.columns).unionByName(df.filter(~complete))
-
-
-def consolidated_members(df: DataFrame, keys: list[str], row_id: str) -> DataFrame:
-    """(first id, member id) for every group of several rows."""
-    groups = df.groupBy(*keys).agg(
-        F.min(row_id).alias("first_id"), F.count(F.lit(1)).alias("_n")
-    )
-    return (
-        attach(df, groups.filter("_n > 1"), keys, how="inner")
-        .select("first_id", F.col(row_id).alias("member_id"))
-    )
+    ).select(*df.columns, "n_members")
+    alone = df.filter(~complete).withColumn("n_members", F.lit(1).cast("bigint"))
+    return out.unionByName(alone), members

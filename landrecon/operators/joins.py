@@ -7,44 +7,42 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landrecon.operators.lookups import attach
+from landrecon.session import stage
 
-# A key with more rows than this on either side is split over several tasks.
-HOT_ROWS = 1_000_000
+# A key that makes more pairs than this is split over several tasks.
+HOT_PAIRS = 100_000_000
 
 
 def pair_join(
     left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str,
-    hot_rows: int = HOT_ROWS,
+    hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """Inner join in which a hot key is laid out as a grid of tasks.
 
-    A key with more than ``hot_rows`` rows is cut into slices by a hash of the row id, on each
-    side; every left slice meets every right slice exactly once. The list of hot keys is
-    broadcast: there are at most (all rows) / ``hot_rows`` of them.
+    A key of more than ``hot_pairs`` pairs is cut into slices by a hash of the row id, so that
+    about ``hot_pairs`` of its pairs fall into one cell; every left slice meets every right slice
+    exactly once. The list of hot keys is written once and joined like any lookup.
     """
     size = F.count(F.lit(1))
-    hot = (
+    edge = int(hot_pairs**0.5) or 1
+    slices = {
+        "_rs": F.ceil(F.col("_nr") / edge),
+        "_ls": F.ceil(F.col("_nl") * F.least("_nr", F.lit(edge)) / F.lit(edge * edge)),
+    }
+    hot = stage(
         left.groupBy(*keys).agg(size.alias("_nl"))
         .join(right.groupBy(*keys).agg(size.alias("_nr")), keys)
-        .filter((F.col("_nl") > hot_rows) | (F.col("_nr") > hot_rows))
-        .select(
-            *keys,
-            F.ceil(F.col("_nl") / hot_rows).alias("_ls"),
-            F.ceil(F.col("_nr") / hot_rows).alias("_rs"),
-        )
+        .filter(F.col("_nl").cast("double") * F.col("_nr") > hot_pairs)
+        .select(*keys, *[n.cast("int").alias(c) for c, n in slices.items()]),
+        "hot-keys",
     )
 
     def spread(df: DataFrame, row_id: str, own: str, other: str, mine: str, theirs: str) -> DataFrame:
-        marked = df.join(F.broadcast(hot), keys, "left")
-        slices = F.coalesce(F.col(own), F.lit(1))
+        own_slices, other_slices = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
         return (
-            marked.withColumn(mine, F.pmod(F.xxhash64(row_id), slices).cast("int"))
-            .withColumn(
-                theirs,
-                F.explode(
-                    F.sequence(F.lit(0), (F.coalesce(F.col(other), F.lit(1)) - 1).cast("int"))
-                ),
-            )
+            attach(df, hot, keys)
+            .withColumn(mine, F.pmod(F.xxhash64(row_id), own_slices).cast("int"))
+            .withColumn(theirs, F.explode(F.sequence(F.lit(0), other_slices - 1)))
             .drop("_ls", "_rs")
         )
 
@@ -69,13 +67,13 @@ def not_in(df: DataFrame, col: str, listed: DataFrame, listed_col: str | None =
     """SQL ``NOT IN`` for a list of any size.
 
     One NULL on the list empties the result; a NULL value is kept only if the list is empty.
-    Both are settled by scalar checks, so that the join itself may shuffle; the built-in
+    Both are settled by one count of the list, so that the join itself may shuffle; the built-in
     null-aware anti-join would have to broadcast the list.
     """
     values = listed.select(F.col(listed_col or col).alias(col))
-    no_null = ~values.filter(F.col(col).isNull()).exists()
-    empty = ~values.exists()
-    kept = df.filter(no_null & (F.col(col).isNotNull() | empty))
+    listing = values.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count(col).alias("known"))).scalar()
+    no_null = listing["n"] == listing["known"]
+    kept = df.filter(no_null & (F.col(col).isNotNull() | (listing["n"] == 0)))
     return anti(kept, values.filter(F.col(col).isNotNull()), [col])
 
 
@@ -114,15 +112,19 @@ def rank_join(df: DataFrame, rank: DataFrame, code: str = "land_use") -> DataFra
     return df.join(F.broadcast(rank.withColumnRenamed("land_use", code)), code)
 
 
-def other_party_join(df: DataFrame, keys: list[str], party: str, cond: Column) -> DataFrame:
+def other_party_join(
+    df: DataFrame, keys: list[str], party: str, cond: Column, row_id: str, hot_pairs: int = HOT_PAIRS
+) -> DataFrame:
     """Rows beside the flagged rows of another party with the same keys.
 
     The condition selects the flagged rows before the join; they carry the prefix ``other_``.
+    Rows with the same ``row_id`` stay together where a hot key is split.
     """
     flagged = df.filter(cond).select(
         *keys, *[F.col(c).alias(f"other_{c}") for c in df.columns if c not in keys]
     )
-    return df.join(flagged, keys).filter(F.col(party) != F.col(f"other_{party}"))
+    pairs = pair_join(df, flagged, keys, row_id, f"other_{row_id}", hot_pairs)
+    return pairs.filter(F.col(party) != F.col(f"other_{party}"))
 
 
 def same_total_diff_count(

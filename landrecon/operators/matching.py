@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from landrecon.functions.text import pair_id
 from landrecon.operators.filters import delete_where
-from landrecon.operators.joins import HOT_ROWS, anti, either_in, pair_join, semi
+from landrecon.operators.joins import HOT_PAIRS, anti, either_in, pair_join, semi
 from landrecon.operators.lookups import attach
 from landrecon.operators.rewrite import prefix_side
 from landrecon.session import stage
@@ -36,7 +36,7 @@ def _rounds(tiers: list[Tier]) -> list[list[tuple[int, Tier]]]:
 
 def _one_round(
     left: DataFrame, right: DataFrame, tiers: list[tuple[int, Tier]], shared: list[str],
-    row_id: str, hot_rows: int,
+    row_id: str, hot_pairs: int,
 ) -> DataFrame:
     """All tiers that see the same pools, in one join.
 
@@ -52,7 +52,7 @@ def _one_round(
         users = users.withColumn(f"_k_{k}", F.col(f"user_{k}"))
     joined = pair_join(
         owners, users, [k if k in shared else f"_k_{k}" for k in common],
-        f"owner_{row_id}", f"user_{row_id}", hot_rows,
+        f"owner_{row_id}", f"user_{row_id}", hot_pairs,
     )
     number, label = F.lit(None).cast("int"), F.lit(None).cast("string")
     for n, tier in reversed(tiers):
@@ -74,7 +74,7 @@ def _one_round(
 
 def tiered_match(
     left: DataFrame, right: DataFrame, tiers: list[Tier], row_id: str = "claim_id",
-    hot_rows: int = HOT_ROWS,
+    hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """Pairs of owner and renter rows, each labelled with the first tier that made it.
 
@@ -86,7 +86,7 @@ def tiered_match(
     found: DataFrame | None = None
     rounds = _rounds(tiers)
     for i, tiers_here in enumerate(rounds):
-        pairs = _one_round(left, right, tiers_here, shared, row_id, hot_rows)
+        pairs = _one_round(left, right, tiers_here, shared, row_id, hot_pairs)
         if i + 1 < len(rounds):
             pairs = stage(pairs, "pairs")
             left = remove_matched(left, pairs, row_id, "owner")

@@ -5,116 +5,131 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landrecon.functions.rings import (
-    HECTARES_PER_M2, bounds, clip_convex, counter_clockwise, polygon_area,
+    HECTARES_PER_M2, bounds, clip_convex, counter_clockwise, is_convex, polygon_area,
 )
-from landrecon.operators.lookups import with_totals
-
-# A grid cell that would compare more pairs than this is cut into finer cells.
-HOT_PAIRS = 1_000_000_000
-# A multi-part value holds about this many rings at most.
-MAX_PARTS = 10_000
-
-
-def collect_rings(df: DataFrame, keys: list[str], ring: str = "ring", max_parts: int = MAX_PARTS) -> DataFrame:
-    """All rings of a key as a multi-part value, with the area of all of them.
-
-    The area is summed beside the collection, not from it. A key with more than ``max_parts``
-    rings comes out as several rows, numbered by ``part``, which together hold every ring: one
-    value of any size could not be built in one task.
-    """
-    sums = {"_rings": F.count(F.lit(1)), "area": F.sum(polygon_area(F.col(ring)))}
-    sized = with_totals(df, keys, sums)
-    parts = F.ceil(F.col("_rings") / max_parts).cast("bigint")
-    part = F.pmod(F.xxhash64(*df.columns), parts).cast("int")
-    return sized.groupBy(*keys, part.alias("part"), "area").agg(F.collect_list(ring).alias("rings"))
+from landrecon.operators.joins import HOT_PAIRS, pair_join
+from landrecon.operators.lookups import attach
+from landrecon.session import stage
+
+def ring_parts(df: DataFrame, keys: list[str], ring: str = "ring") -> tuple[DataFrame, DataFrame]:
+    """All rings of a key as a multi-part value: (key, ring) rows, one per part, and per key the
+    number of parts and the area of all of them."""
+    sums = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_parts"), F.sum(polygon_area(F.col(ring))).alias("area")
+    )
+    return df.select(*keys, ring), sums
+
+
+def _boxed(df: DataFrame, key: str, ring: str, side: str, cell: float) -> DataFrame:
+    """Polygons with a number of their own, their box and their grid level: the cell size is
+    doubled until it is no less than the longer side of the box."""
+    box = bounds(F.col(ring))
+    numbered = stage(
+        df.select(
+            F.monotonically_increasing_id().alias(f"id_{side}"), F.col(key).alias(f"key_{side}"),
+            F.col(ring).alias(f"ring_{side}"), box.alias(f"box_{side}"),
+        ),
+        "polygons",
+    )
+    at = F.col(f"box_{side}")
+    size = F.greatest(at["x1"] - at["x0"], at["y1"] - at["y0"])
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size / cell, F.lit(1.0)))))
+    return numbered.withColumn("_level", level.cast("int"))
 
 
-def _cells(low: Column, high: Column, cell: float) -> Column:
-    return F.sequence(F.floor(low / cell), F.floor(high / cell))
+def _axis_cells(low: Column, high: Column, size: Column) -> Column:
+    return F.sequence(F.floor(low / size), F.floor(high / size))
 
 
-def _gridded(df: DataFrame, key: str, ring: str, side: str, cell: float) -> DataFrame:
-    box = df.select(
-        F.col(key).alias(f"key_{side}"), F.col(ring).alias(f"ring_{side}"),
-        bounds(F.col(ring)).alias(f"box_{side}"),
-    )
+def _in_cells(boxes: DataFrame, side: str, levels: Column, cell: float) -> DataFrame:
+    """One row per grid cell that a box meets on each of the levels, at most four a level; ids and
+    boxes only."""
     at = F.col(f"box_{side}")
-    return box.withColumn("_cx", F.explode(_cells(at["x0"], at["x1"], cell))).withColumn(
-        "_cy", F.explode(_cells(at["y0"], at["y1"], cell))
+    size = F.pow(F.lit(2.0), F.col("_at")) * cell
+    return (
+        boxes.select(f"id_{side}", f"box_{side}", F.explode(levels).alias("_at"))
+        .withColumn("_cx", F.explode(_axis_cells(at["x0"], at["x1"], size)))
+        .withColumn("_cy", F.explode(_axis_cells(at["y0"], at["y1"], size)))
     )
 
 
-def _subcell(position: Column, coarse: Column, cell: float, split: int) -> Column:
-    """Index of the fine cell, held inside the coarse cell against rounding."""
-    first = coarse * split
-    return F.least(F.greatest(F.floor(position / (cell / split)), first), first + split - 1)
+def _levels(boxes: DataFrame) -> list[int]:
+    """The levels in use: a few numbers, as each doubles the size."""
+    return sorted(r[0] for r in boxes.select("_level").distinct().collect() if r[0] is not None)
 
 
-def _crowded(left: DataFrame, right: DataFrame, hot_pairs: int) -> DataFrame:
-    """Cells with more than ``hot_pairs`` comparisons. Each holds over sqrt(hot_pairs) polygons
-    of one table, so there are at most (rows) / sqrt(hot_pairs) of them."""
-    cell = ["_cx", "_cy"]
-    size = F.count(F.lit(1))
-    both = left.groupBy(*cell).agg(size.alias("_na")).join(right.groupBy(*cell).agg(size.alias("_nb")), cell)
-    return both.filter(F.col("_na") * F.col("_nb") > hot_pairs).select(*cell, F.lit(True).alias("_hot"))
+def _candidates(left: DataFrame, right: DataFrame, cell: float, hot_pairs: int) -> DataFrame:
+    """Pairs of ids whose boxes overlap or touch, each once: on the level of the larger polygon, in
+    the cell of the lower left corner of the boxes' common part."""
+    own = F.array("_level")
+    levels_left, levels_right = _levels(left), _levels(right)
 
+    def above(levels: list[int], at_least: bool) -> Column:
+        every = F.array(*[F.lit(n) for n in levels]) if levels else F.array().cast("array<int>")
+        return F.filter(every, lambda n: (n >= F.col("_level")) if at_least else (n > F.col("_level")))
 
-def _refined(df: DataFrame, crowded: DataFrame, side: str, cell: float, split: int) -> DataFrame:
-    """Put the polygons of crowded cells into the fine cells that they meet."""
-    box = F.col(f"box_{side}")
-    marked = df.join(F.broadcast(crowded), ["_cx", "_cy"], "left")
-    for axis in ("x", "y"):
-        coarse = F.col(f"_c{axis}")
-        fine = F.sequence(
-            _subcell(box[f"{axis}0"], coarse, cell, split), _subcell(box[f"{axis}1"], coarse, cell, split)
-        )
-        whole = F.array(F.lit(None).cast("bigint"))
-        marked = marked.withColumn(f"_s{axis}", F.explode(F.when(F.col("_hot"), fine).otherwise(whole)))
-    # A plain cell counts as its own only fine cell, below all real ones.
-    return marked.withColumns({s: F.coalesce(s, F.lit(-(2**62))) for s in ("_sx", "_sy")})
+    at = ["_at", "_cx", "_cy"]
+    # the right polygon is no larger, then the right one is larger
+    halves = [
+        (_in_cells(left, "a", own, cell), _in_cells(right, "b", above(levels_left, True), cell)),
+        (_in_cells(left, "a", above(levels_right, False), cell), _in_cells(right, "b", own, cell)),
+    ]
+    p, q = F.col("box_a"), F.col("box_b")
+    x0, y0 = F.greatest(p["x0"], q["x0"]), F.greatest(p["y0"], q["y0"])
+    x1, y1 = F.least(p["x1"], q["x1"]), F.least(p["y1"], q["y1"])
+    size = F.pow(F.lit(2.0), F.col("_at")) * cell
+    here = (F.col("_cx") == F.floor(x0 / size)) & (F.col("_cy") == F.floor(y0 / size))
+    found = [
+        pair_join(a, b, at, "id_a", "id_b", hot_pairs)
+        .filter((x0 <= x1) & (y0 <= y1) & here)
+        .select("id_a", "id_b", "box_a", "box_b", ((x1 - x0) * (y1 - y0)).alias("area_common"))
+        for a, b in halves
+    ]
+    return found[0].unionByName(found[1])
 
 
 def overlap_join(
     a: DataFrame, b: DataFrame, key_a: str, key_b: str, cell: float,
-    ring: str = "ring", rectangles: bool = False, hot_pairs: int = HOT_PAIRS, split: int = 8,
+    ring: str = "ring", rectangles: bool = False, hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """Pairs of polygons that overlap or touch, with both areas and the overlap, in hectares.
 
-    Each polygon is put into every grid cell its bounding box meets, and cells are joined by
-    equality. Cells that would take more than ``hot_pairs`` comparisons are cut into
-    ``split`` by ``split`` fine cells first. A pair that shares several cells is kept in one
-    only: that of the lower left corner of the boxes' common part. Rings are axis-parallel
-    rectangles (``rectangles``) or convex; these are clipped against each other. ``cell``
-    should be a little larger than the usual polygon.
+    Boxes are joined through a grid with levels: a polygon lies on the level whose cells are about
+    its size and meets at most four of them, however large it is; a pair meets on the level of its
+    larger polygon. A cell of more than ``hot_pairs`` pairs, such as polygons stacked on one spot,
+    is cut into slices against slices. Rings are axis-parallel rectangles (``rectangles``), for
+    which the boxes tell everything, or convex; these are fetched by id for the pairs whose boxes
+    overlap, and clipped against each other. ``cell`` should be about the size of a small polygon.
     """
-    left, right = _gridded(a, key_a, ring, "a", cell), _gridded(b, key_b, ring, "b", cell)
-    crowded = _crowded(left, right, hot_pairs)
-    fine_left = _refined(left, crowded, "a", cell, split)
-    fine_right = _refined(right, crowded, "b", cell, split).drop("_hot")
-    p, q = F.col("box_a"), F.col("box_b")
-    x0, y0 = F.greatest(p["x0"], q["x0"]), F.greatest(p["y0"], q["y0"])
-    x1, y1 = F.least(p["x1"], q["x1"]), F.least(p["y1"], q["y1"])
-
-    def here(axis: str, corner: Column) -> Column:
-        coarse = F.col(f"_c{axis}")
-        in_fine = F.col("_hot").isNull() | (F.col(f"_s{axis}") == _subcell(corner, coarse, cell, split))
-        return (coarse == F.floor(corner / cell)) & in_fine
-
-    candidates = fine_left.join(fine_right, ["_cx", "_cy", "_sx", "_sy"]).filter(
-        (x0 <= x1) & (y0 <= y1) & here("x", x0) & here("y", y0)
-    )
+    left, right = _boxed(a, key_a, ring, "a", cell), _boxed(b, key_b, ring, "b", cell)
+    pairs = _candidates(left, right, cell, hot_pairs)
     if rectangles:
-        measured = candidates.withColumn("area_overlap", (x1 - x0) * (y1 - y0))
+        areas = {s: (F.col(f"box_{s}")["x1"] - F.col(f"box_{s}")["x0"]) * (F.col(f"box_{s}")["y1"] - F.col(f"box_{s}")["y0"]) for s in "ab"}
+        keyed = attach(pairs, left.select("id_a", "key_a"), ["id_a"], "inner")
+        keyed = attach(keyed, right.select("id_b", "key_b"), ["id_b"], "inner")
+        measured = keyed.withColumns({"area_overlap": F.col("area_common"), **{f"_area_{s}": v for s, v in areas.items()}})
     else:
-        common = clip_convex(F.col("ring_a"), counter_clockwise(F.col("ring_b")))
+        # prepared once per polygon, not once per pair
+        own = left.select("id_a", "key_a", "ring_a", polygon_area(F.col("ring_a")).alias("_area_a"))
+        other = right.select(
+            "id_b", "key_b", counter_clockwise(F.col("ring_b")).alias("ring_b"), polygon_area(F.col("ring_b")).alias("_area_b")
+        )
+        joined = attach(attach(pairs.select("id_a", "id_b"), own, ["id_a"], "inner"), other, ["id_b"], "inner")
+        common = clip_convex(F.col("ring_a"), F.col("ring_b"))
         measured = (
-            candidates.withColumn("_common", common)
+            joined.withColumn("_common", common)
             .filter(F.size("_common") > 0)
             .withColumn("area_overlap", polygon_area(F.col("_common")))
         )
     return measured.select(
         "key_a", "key_b",
-        (polygon_area(F.col("ring_a")) * HECTARES_PER_M2).alias("area_a"),
-        (polygon_area(F.col("ring_b")) * HECTARES_PER_M2).alias("area_b"),
+        (F.col("_area_a") * HECTARES_PER_M2).alias("area_a"),
+        (F.col("_area_b") * HECTARES_PER_M2).alias("area_b"),
         (F.col("area_overlap") * HECTARES_PER_M2).alias("area_overlap"),
     )
+
+
+def convex_only(df: DataFrame, ring: str = "ring") -> tuple[DataFrame, DataFrame]:
+    """(rows with a convex ring, rejected rows): ``overlap_join`` would clip others wrongly."""
+    marked = df.withColumn("_convex", F.coalesce(is_convex(F.col(ring)), F.lit(False)))
+    return marked.filter("_convex").drop("_convex"), marked.filter("not _convex").drop("_convex")

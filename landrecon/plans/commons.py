@@ -103,25 +103,29 @@ def flag_discrepancy(commons: DataFrame) -> DataFrame:
     return commons.withColumn("error_log", noted("error_log", hit, DISCREPANCY))
 
 
-def clean_commons(commons: DataFrame, cleared: tuple[int, ...] = ()) -> DataFrame:
+def clean_commons(
+    commons: DataFrame, cleared: tuple[int, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
     """Drop empty shares, hold eligible to grazing area, merge equal shares, recompute the
-    eligible area, flag. ``cleared`` names grazings whose flags were checked by hand."""
+    eligible area, flag. ``cleared`` names grazings whose flags were checked by hand. The second
+    frame lists which shares went into which merged row."""
     kept = delete_where(commons, (F.col("share_area") == 0) & (F.col("bps_claimed_area") == 0))
     gap = F.col("commons_area") - F.col("lpid_bps_eligible_area")
     clamped = clamp_to(
         kept, "lpid_bps_eligible_area", "commons_area", "change_note",
         amount_note(ELIGIBLE_CLAMPED, gap, "ha ; "),
     )
-    merged = consolidate(
+    merged, members = consolidate(
         stage(clamped, "commons-clamped"), SHARE_IDENTITY, SHARE_SUMS, "id", "change_note",
         SHARES_MERGED, {"land_activity": MERGED_ACTIVITY},
     )
     rest = F.col("commons_area") - F.col("lpid_excluded_area")
     recomputed = recompute(
-        merged, "lpid_bps_eligible_area", rest, "change_note", ELIGIBLE_RECOMPUTED, "ha; "
+        merged.drop("n_members"), "lpid_bps_eligible_area", rest, "change_note", ELIGIBLE_RECOMPUTED, "ha; "
     )
     flagged = flag_discrepancy(flag_overclaim(stage(recomputed, "commons-merged")))
-    return clear_flag(flagged, "error_log", "cg_hahol_id", cleared) if cleared else flagged
+    done = clear_flag(flagged, "error_log", "cg_hahol_id", cleared) if cleared else flagged
+    return done, members
 
 
 def flag_commons_fields(iacs: DataFrame, detail: DataFrame) -> DataFrame:

@@ -76,13 +76,14 @@ def _claim_part(side: str) -> Column:
 
 
 def repeated_claims(final: DataFrame, side: str, more_than: int) -> DataFrame:
-    """Claims of one side that appear in more than the given number of joined rows."""
+    """Claims of one side that appear in more than the given number of joined rows of a parcel and
+    year. A claim lies in one parcel and year."""
     joined = final.filter(F.col("change_note").like("%join%"))
     return (
-        joined.groupBy(_claim_part(side).alias("_claim"))
+        joined.groupBy(*PARCEL_YEAR, _claim_part(side).alias("_claim"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > more_than)
-        .select("_claim")
+        .select(*PARCEL_YEAR, "_claim")
     )
 
 
@@ -92,8 +93,8 @@ def flag_errors(
 ) -> DataFrame:
     """Append the flags, all eleven or those named in ``only``, to a new ``error_log`` column.
 
-    One aggregation by parcel and year serves four flags, one over the pairs serves two more,
-    and each claim count has its own; the lookups hold flagged keys only.
+    One aggregation by parcel and year serves four flags and one over the pairs serves two more;
+    the lookups hold flagged keys only. Claims are counted within their parcel and year.
     """
     wanted = [e for e in FLAG_TEXTS if only is None or e in set(only)]
     marked = final if log in final.columns else add_null_col(final, log)
@@ -110,12 +111,11 @@ def flag_errors(
     for flag, (side, part, limit) in CLAIM_LIMITS.items():
         if flag not in wanted:
             continue
-        # A row without a partner has no second part. Empty keys would meet in one task, so
-        # such a row looks for a key of its own that no claim has.
+        # A row without a partner has no second part; no claim is empty.
         own = split_part(F.col("claim_id"), SEPARATOR, part)
-        key = F.when(own == "", F.concat(F.lit("none "), F.col("claim_id"))).otherwise(own)
         found = repeated_claims(final, side, limit).withColumn(flag, F.lit(True))
-        marked = attach(marked.withColumn("_claim", key), found, ["_claim"]).drop("_claim")
+        keys = [*PARCEL_YEAR, "_claim"]
+        marked = attach(marked.withColumn("_claim", own), found, keys).drop("_claim")
 
     owner_use, user_use = F.col("owner_land_use"), F.col("user_land_use")
     in_row = {

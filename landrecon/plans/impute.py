@@ -28,6 +28,10 @@ RENTER_IMPUTED = (
 )
 TO_RENTERS = "S record moved from permanent to seasonal sheet; "
 TO_OWNERS = "P record moved from seasonal to permanent sheet; "
+DOUBLED_OWNERS = "change to seasonal record; "
+DOUBLED_RENTERS = "change to seasonal; "
+HALF_PARCEL = "is_perm_flag changed to N; "
+MOVED_MARK = "s"
 
 
 def _no_area() -> Column:
@@ -40,13 +44,12 @@ def impute_remainder(df: DataFrame, is_perm_flag: str = "Y") -> DataFrame:
     Where the declared uses of a parcel and year are positive but fall short of the parcel,
     each holder is owed the rest. A holder with exactly one row without area receives it
     there, provided no holder of the parcel has several such rows; any other holder gets an
-    imputed row. Holders are reduced to one row before the totals are taken, so the detail is
+    imputed row for each note that its rows bear. Holders are reduced to one row before the totals are taken, so the detail is
     read only once more, to receive the transfers.
     """
     holders = df.groupBy(*HOLDER).agg(
         F.count(F.when(_no_area(), 1)).alias("_empty"),
         F.sum("land_use_area").alias("_sum"),
-        F.min("change_note").alias("_note"),
     )
     used = holders.groupBy(*PARCEL).agg(F.sum("_sum").alias("_used"))
     owed = (
@@ -71,6 +74,8 @@ def impute_remainder(df: DataFrame, is_perm_flag: str = "Y") -> DataFrame:
         }
     )
     others = attach(owed, receiving, HOLDER, null_safe=True).filter(F.col("_given").isNull())
+    noted_holders = df.groupBy(*HOLDER, F.col("change_note").alias("_note")).agg(F.count(F.lit(1)).alias("_rows"))
+    others = attach(noted_holders, others.select(*HOLDER, "_rest"), HOLDER, "inner", null_safe=True)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     values = {
         **{c: F.col(c) for c in HOLDER},
@@ -113,11 +118,14 @@ def drop_doubled(df: DataFrame) -> DataFrame:
 def drop_waiting(df: DataFrame) -> DataFrame:
     """Drop parcels and years that have a waiting row without any use area, or a row that is
     not eligible while the parcel has no use area."""
-    totals = with_totals(df, PARCEL, {"_used": F.sum("land_use_area")})
+    cells = df.groupBy(*PARCEL).agg(
+        F.sum("land_use_area").alias("_used"),
+        F.max(F.coalesce(F.col("application_status").like(WAITING), F.lit(False))).alias("_waiting"),
+        F.max(F.coalesce(F.col("bps_eligible_area") == 0, F.lit(False))).alias("_ineligible"),
+    )
     used = F.col("_used")
-    unused = F.try_divide(used, F.col("land_parcel_area")) == 0
-    waiting = (used.isNull() | (used == 0)) & F.col("application_status").like(WAITING)
-    bad = totals.filter(waiting | ((F.col("bps_eligible_area") == 0) & unused))
+    unused = F.coalesce(F.try_divide(used, F.col("land_parcel_area")) == 0, F.lit(False))
+    bad = cells.filter(((used.isNull() | (used == 0)) & F.col("_waiting")) | (F.col("_ineligible") & unused))
     return anti(df, bad.select("hapar_id", "year").distinct(), ["hapar_id", "year"])
 
 
@@ -225,3 +233,77 @@ def reassign_sides(owners: DataFrame, renters: DataFrame) -> tuple[DataFrame, Da
     """Move rows filed on the wrong side, first by business, then by parcel."""
     p, s = move_extra_businesses(owners, renters)
     return swap_parcels(stage(p, "owners-moved"), stage(s, "renters-moved"))
+
+
+def _marked(df: DataFrame, hit: Column, note: str, flag: str | None = None) -> DataFrame:
+    """Mark the ids of the rows that are to change sides, with a note."""
+    changes = {
+        "claim_id": F.when(hit, F.concat(F.lit(MOVED_MARK), "claim_id")).otherwise(F.col("claim_id")),
+        "change_note": noted("change_note", hit, note),
+    }
+    if flag:
+        changes["is_perm_flag"] = F.when(hit, F.lit(flag)).otherwise(F.col("is_perm_flag"))
+    return df.withColumns(changes)
+
+
+def mark_doubled_parcels(df: DataFrame, note: str) -> DataFrame:
+    """Early pass over parcels whose uses add up to exactly twice the parcel: where they have
+    several holders or activities, the rows that claim all of their use are marked."""
+    keys = ["hapar_id", "year"]
+    cells = df.groupBy(*PARCEL).agg(F.sum("land_use_area").alias("_used"))
+    twice = F.try_divide(F.col("_used") * 100, F.col("land_parcel_area")) == 200
+    holders = df.select(*keys, *BUSINESS, "land_activity").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    doubled = attach(holders.filter("_n > 1"), cells.filter(twice), keys, "left_semi")
+    joined = attach(df, doubled.select(*keys, F.lit(True).alias("_doubled")), keys)
+    claimed = F.col("bps_claimed_area")
+    hit = F.coalesce(F.col("_doubled") & (claimed == F.col("land_use_area")) & (claimed != 0), F.lit(False))
+    return _marked(joined, hit, note).drop("_doubled")
+
+
+def move_excluded_uses(owners: DataFrame, renters: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of excluded use of a later business, without a change of its lease: renters if it claims
+    among the owners, owners if it claims nothing among the renters, then with all its other rows
+    of the parcel and year. The rows are re-labelled in place."""
+    keys = ["hapar_id", "year", *BUSINESS]
+
+    def later(df: DataFrame, claims: bool) -> DataFrame:
+        nothing = F.col("_claim") == 0
+        found = later_businesses(df).filter(~nothing if claims else nothing)
+        return attach(df, found.select(*keys, F.lit(True).alias("_later")), keys)
+
+    excluded = F.coalesce(F.col("_later"), F.lit(False)) & (F.col("land_use") == GENERIC_EXCLUSIONS[0])
+    on_owners = later(owners, True).withColumn("_hit", F.coalesce(excluded, F.lit(False)))
+    on_renters = later(renters, False).withColumn("_hit", F.coalesce(excluded, F.lit(False)))
+    with_excluded = on_renters.filter("_hit").select(*keys).distinct().withColumn("_other", F.lit(True))
+    on_renters = attach(on_renters, with_excluded, keys)
+    hit, other = F.col("_hit"), ~F.col("_hit") & F.coalesce(F.col("_other"), F.lit(False))
+
+    def changed(df: DataFrame, mark: str, flag: str, note: str, moved: Column, new_id: Column) -> DataFrame:
+        return df.withColumns(
+            {
+                "claim_id": new_id, "is_perm_flag": F.when(moved, F.lit(flag)).otherwise(F.col("is_perm_flag")),
+                "change_note": noted("change_note", moved, note),
+            }
+        ).select(*owners.columns)
+
+    own = F.col("claim_id")
+    owner_id = F.when(hit, F.concat(F.lit("S"), own)).otherwise(own)
+    renter_id = (
+        F.when(hit, F.concat(F.lit("P"), own)).when(other, F.concat(F.lit("P"), trim_chars(own, "S"))).otherwise(own)
+    )
+    return (
+        changed(on_owners, "S", "N", TO_RENTERS, hit, owner_id),
+        changed(on_renters, "P", "Y", TO_OWNERS, hit | other, renter_id),
+    )
+
+
+def flag_half_parcels(df: DataFrame) -> DataFrame:
+    """Rows without a lease on parcels of which the uses of a year are exactly twice the area."""
+    sums = df.groupBy("hapar_id", "year").agg(F.sum("land_use_area").alias("_used"))
+    areas = df.select("hapar_id", "year", "land_parcel_area").distinct()
+    half = attach(areas, sums, ["hapar_id", "year"], "inner").filter(
+        (F.col("land_parcel_area") > 0) & (F.col("land_parcel_area") * 2 == F.col("_used"))
+    )
+    joined = attach(df, half.select("hapar_id", "year").distinct().withColumn("_half", F.lit(True)), ["hapar_id", "year"])
+    hit = F.coalesce(F.col("_half") & (F.col("land_leased_out") == "N"), F.lit(False))
+    return _marked(joined, hit, HALF_PARCEL, "N").drop("_half")

@@ -125,15 +125,15 @@ def region_mismatch(detail: DataFrame) -> DataFrame:
 
 
 def digitised_mismatch(detail: DataFrame, shapes: DataFrame) -> DataFrame:
-    """Digitised area that differs from the area of the polygon."""
+    """Digitised area that differs from the area of the parcel's polygon in the same year."""
     measured = shapes.select(
-        "hapar_id", "hahol_id", "start_date",
+        *PARCEL_YEAR, "hahol_id", "start_date",
         round2(area_hectares(F.col("ring"))).alias("calced_has"),
     )
     regions = F.col("payment_region_1") + F.col("payment_region_2") + F.col("payment_region_3")
     gap = F.abs(F.col("calced_has") - F.col("digitised_area"))
     return (
-        detail.join(measured, "hapar_id")
+        detail.join(measured, PARCEL_YEAR)
         .filter(gap != 0)
         .select(
             "hapar_id", "cg_hahol_id", "hahol_id", "year", "start_date", "calced_has",

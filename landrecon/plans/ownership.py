@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from landrecon.functions.arrays import array_cat, array_len, has_element, null_if_empty
 from landrecon.functions.numbers import percent
-from landrecon.operators.aggregates import array_agg_distinct, holding_area, sum_if
+from landrecon.operators.aggregates import holding_area, sum_if
 from landrecon.operators.joins import not_in
 from landrecon.operators.lookups import attach
 from landrecon.operators.spatial import overlap_join
+from landrecon.session import stage
 
 SIDES = ("owner", "user")
 
@@ -19,38 +19,42 @@ def commons_parcels(df: DataFrame) -> DataFrame:
     return df.filter(F.col("error_log").like("%commons%")).select("hapar_id").distinct()
 
 
-def ownership_per_parcel(df: DataFrame, commons: DataFrame | None = None) -> DataFrame:
-    """Owners, renters and claims of each parcel that is no commons field.
+def _eligible(df: DataFrame, commons: DataFrame | None) -> DataFrame:
+    return not_in(df, "hapar_id", commons_parcels(df) if commons is None else commons)
 
-    Businesses are summed first; the arrays then hold one entry per distinct business.
-    """
-    rows = not_in(df, "hapar_id", commons_parcels(df) if commons is None else commons)
-    business = rows.groupBy(
-        "hapar_id", "owner_habus_id", "user_habus_id",
-        F.col("owner_land_leased_out").alias("owner_llo"),
-        F.col("user_land_leased_out").alias("user_llo"),
-    ).agg(*[F.sum(f"{s}_bps_claimed_area").alias(f"{s}_bps_claimed_area") for s in SIDES])
-    parcel = business.groupBy("hapar_id").agg(
-        *[array_agg_distinct(f"{s}_habus_id").alias(f"_{s}s") for s in SIDES],
-        *[array_agg_distinct(f"{s}_llo").alias(f"_{s}_llo") for s in SIDES],
-        *[F.sum(f"{s}_bps_claimed_area").alias(f"_{s}_claim") for s in SIDES],
+
+def parcel_businesses(df: DataFrame, commons: DataFrame | None = None) -> DataFrame:
+    """The owners and renters of each parcel that is no commons field, as distinct rows
+    (parcel, side, business)."""
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}_habus_id").alias("business")) for s in SIDES])
+    listed = _eligible(df, commons).select("hapar_id", F.explode(sides).alias("b")).select("hapar_id", "b.*")
+    return listed.filter(F.col("business").isNotNull()).distinct()
+
+
+def ownership_per_parcel(
+    df: DataFrame, businesses: DataFrame, commons: DataFrame | None = None
+) -> DataFrame:
+    """Number of owners and renters, leased-out flag and claims of each parcel that is no commons
+    field. Who they are is in ``businesses``, the rows of ``parcel_businesses``."""
+    leased = F.max(F.coalesce((F.col("owner_land_leased_out") == "Y"), F.lit(False)) | F.coalesce(
+        (F.col("user_land_leased_out") == "Y"), F.lit(False)))
+    parcel = _eligible(df, commons).groupBy("hapar_id").agg(
+        leased.alias("_leased"), *[F.sum(f"{s}_bps_claimed_area").alias(f"_{s}_claim") for s in SIDES]
+    )
+    counts = businesses.groupBy("hapar_id").agg(
+        sum_if(F.col("side") == "owner").alias("owners_per_fid"),
+        sum_if(F.col("side") == "user").alias("users_per_fid"),
+        F.count(F.lit(1)).alias("brns_per_fid"),
     )
-    owners, users = null_if_empty(F.col("_owners")), null_if_empty(F.col("_users"))
-    leased = array_cat(F.col("_owner_llo"), F.col("_user_llo"))
-    n_owners, n_users = array_len(owners), array_len(users)
-    return parcel.select(
+    return attach(parcel, counts, ["hapar_id"]).select(
         "hapar_id",
-        owners.alias("owner_habus_id"),
-        users.alias("user_habus_id"),
-        F.when(has_element(leased, "Y"), "Y").otherwise("N").alias("llo"),
-        n_owners.alias("owners_per_fid"),
-        n_users.alias("users_per_fid"),
-        F.coalesce(n_owners + n_users, n_owners, n_users).alias("brns_per_fid"),
+        F.when(F.col("_leased"), "Y").otherwise("N").alias("llo"),
+        "owners_per_fid", "users_per_fid", "brns_per_fid",
         *[
             F.when(F.col(f"_{s}_claim") != 0, F.col(f"_{s}_claim")).alias(f"{s}_bps_claimed_area")
             for s in SIDES
         ],
-    )
+    )
 
 
 def property_overlay(
@@ -70,19 +74,8 @@ def property_overlay(
     return attach(attach(areas, whole, ["property"], "inner"), ownership, ["hapar_id"], "inner")
 
 
-def _leased_array(n_no: Column, n_yes: Column) -> Column:
-    """Sorted flags with copies, made from their counts."""
-    return F.concat(F.array_repeat(F.lit("N"), n_no), F.array_repeat(F.lit("Y"), n_yes))
-
-
-def _businesses(side: str) -> Column:
-    """(side, business) entries of one side's array."""
-    known = F.coalesce(f"{side}_habus_id", F.array().cast("array<bigint>"))
-    return F.transform(known, lambda b: F.struct(F.lit(side).alias("side"), b.alias("business")))
-
-
-def property_rollup(overlay: DataFrame) -> DataFrame:
-    """Areas, leased-out shares, distinct businesses and claims per property."""
+def property_rollup(overlay: DataFrame, businesses: DataFrame) -> DataFrame:
+    """Areas, leased-out counts and shares, distinct businesses and claims per property."""
     keys = ["property", "aw_area_ha"]
     sums = overlay.groupBy(*keys).agg(
         F.sum("iacs_area_ha").alias("sum_iacs_area"),
@@ -92,12 +85,10 @@ def property_rollup(overlay: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(f"{s}_bps_claimed_area").alias(f"{s}_bps_claimed_area") for s in SIDES],
     )
-    # Distinct businesses: one row per (property, business), reduced on the map side, counted
-    # per side; the arrays themselves are never put together.
-    ids = F.concat(*[_businesses(s) for s in SIDES])
-    businesses = (
-        overlay.select("property", F.explode(ids).alias("b"))
-        .select("property", "b.side", "b.business")
+    # One row per (property, side, business), reduced on the map side, counted per side.
+    distinct = (
+        attach(overlay.select("property", "hapar_id"), businesses, ["hapar_id"], "inner")
+        .select("property", "side", "business")
         .distinct()
         .groupBy("property")
         .agg(
@@ -105,15 +96,13 @@ def property_rollup(overlay: DataFrame) -> DataFrame:
             sum_if(F.col("side") == "user").alias("distinct_users"),
         )
     )
-    zero = F.lit(0)
-    return sums.join(businesses, "property", "left").select(
+    return sums.join(distinct, "property", "left").select(
         *keys,
         "sum_iacs_area",
         "sum_intersection_area",
         percent(F.col("sum_intersection_area"), F.col("aw_area_ha")).alias("percent_intersection"),
-        _leased_array(
-            F.coalesce("_no", zero).cast("int"), F.coalesce("_yes", zero).cast("int")
-        ).alias("llo"),
+        F.coalesce("_no", F.lit(0)).alias("n_llo_no"),
+        F.coalesce("_yes", F.lit(0)).alias("n_llo_yes"),
         percent(F.col("_no"), F.col("_n")).alias("percent_llo_n"),
         percent(F.col("_yes"), F.col("_n")).alias("percent_llo_yes"),
         "distinct_owners",
@@ -123,7 +112,9 @@ def property_rollup(overlay: DataFrame) -> DataFrame:
 
 
 def property_report(
-    fields: DataFrame, properties: DataFrame, ownership: DataFrame, cell: float,
+    fields: DataFrame, properties: DataFrame, ownership: DataFrame, businesses: DataFrame, cell: float,
     rectangles: bool = False,
 ) -> DataFrame:
-    return property_rollup(property_overlay(fields, properties, ownership, cell, rectangles))
+    """The overlay is made once and written, since areas and businesses both read it."""
+    overlay = stage(property_overlay(fields, properties, ownership, cell, rectangles), "overlay")
+    return property_rollup(overlay, businesses)

@@ -9,7 +9,7 @@ from landrecon.functions.choice import (
 )
 from landrecon.functions.numbers import larger_side
 from landrecon.operators.filters import delete_where
-from landrecon.operators.joins import HOT_ROWS
+from landrecon.operators.joins import HOT_PAIRS
 from landrecon.operators.lookups import attach
 from landrecon.operators.matching import Tier, prune_pairs, remove_matched, tiered_match
 from landrecon.operators.notes import merge_notes, noted, noted_all
@@ -70,12 +70,12 @@ def implausible_pair() -> Column:
 
 
 def match_owners_renters(
-    owners: DataFrame, renters: DataFrame, hot_rows: int = HOT_ROWS
+    owners: DataFrame, renters: DataFrame, hot_pairs: int = HOT_PAIRS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pairs, owners without a pair, renters without a pair)."""
     kept = [*MEASURES, "hapar_id", "year", "claim_id", "change_note"]
     matched = tiered_match(
-        owners.select(*kept), renters.select(*kept), match_tiers(), hot_rows=hot_rows
+        owners.select(*kept), renters.select(*kept), match_tiers(), hot_pairs=hot_pairs
     )
     plausible = prune_pairs(matched, 4, implausible_pair())
     pairs = stage(

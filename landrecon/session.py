@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +15,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_dirs: dict[str, str] = {}
-
-
 def build_session(cores: str = "*", app: str = "landrecon", memory: str = "8g") -> SparkSession:
     """Local session for tests and benchmarks; a cluster brings its own."""
     spark = (
@@ -41,27 +37,38 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names in spark.checkpoint.dir.
-
-    A temporary folder is used only when that setting is absent and the session is local.
-    """
+    """Folder for intermediate tables: the one the cluster names in spark.checkpoint.dir, else the
+    session's warehouse, which all executors share as well."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="landrecon-")
-    return _local_dirs[app]
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def _at(spark: SparkSession, folder: str):
+    """A Hadoop path and the file system that has it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def stages_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/landrecon-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """An unused path in the shared folder, below one folder per application."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/landrecon-{app}/{name}-{uuid.uuid4().hex}"
+    """An unused path in the shared folder, below one folder per application, which goes when the
+    application ends."""
+    folder = stages_dir(spark)
+    path, files = _at(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; frames that read them are no longer valid."""
+    path, files = _at(spark, stages_dir(spark))
+    files.delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -27,25 +27,27 @@ EXCLUDED_LAND_USES = {
     "WAT": "Water",
 }
 
-# Land-use codes by intensity rank, 1 the most intensive, 99 outside production.
-LAND_USES_BY_RANK = {
-    1: (
-        "ALF AMCP ARTC ASPG ASSF BFLO BFT BKB BLB BLR-OPEN BLR-POLY BLU-OPEN BPP BRT BSP BW "
-        "CABB CALA CANS CARR CAUL CEL CHIC CHP CLO CRB ENG-B GAR GSB HS LEEK LEN LETT LGB LIN "
-        "MAIZ MBSF MSC MU NU-FS NU-OT NU-SH OCS-B OCS-K ONI ONU OSFRT OVEG PAR PUM RASP-OPEN "
-        "RASP-POLY RAST RHB RRC SB SBEAN SFB SL SO SOSR SPEAS SPOT SPP SRYE SSF STRB-OPEN "
-        "STRB-POLY STRIT STS SUN SW SWS TFRT TSF WB WBEAN WBS WFB WO WOSR WPEAS WPOT WPP WRYE "
-        "WTRIT WW"
-    ),
-    2: "EX-SS FALW FALW-5 GCM NETR-A NETR-NA PHA SRC UCAA WDG WFM",
-    3: "TGRS TGRS1 TGRS2 TGRS3 TGRS4 TGRS5 VET",
-    4: "PC PGRS",
-    5: "RGR",
-    99: (
-        "BRA BUI EXCL FSE GOR MAR RASP-GLS ROAD ROK SCB SCE STRB-GLS TOM-GLS TREES TURF WAT "
-        "NON_SAF"
-    ),
-}
+# Land-use codes with their intensity rank, 1 the most intensive, 99 outside production.
+LAND_USE_RANKS = [
+    ("ALF", 1), ("AMCP", 1), ("ARTC", 1), ("ASPG", 1), ("ASSF", 1), ("BFLO", 1), ("BFT", 1),
+    ("BKB", 1), ("BLB", 1), ("BLR-OPEN", 1), ("BLR-POLY", 1), ("BLU-OPEN", 1), ("BPP", 1),
+    ("BRT", 1), ("BSP", 1), ("BW", 1), ("CABB", 1), ("CALA", 1), ("CANS", 1), ("CARR", 1),
+    ("CAUL", 1), ("CEL", 1), ("CHIC", 1), ("CHP", 1), ("CLO", 1), ("CRB", 1), ("ENG-B", 1),
+    ("GAR", 1), ("GSB", 1), ("HS", 1), ("LEEK", 1), ("LEN", 1), ("LETT", 1), ("LGB", 1), ("LIN", 1),
+    ("MAIZ", 1), ("MBSF", 1), ("MSC", 1), ("MU", 1), ("NU-FS", 1), ("NU-OT", 1), ("NU-SH", 1),
+    ("OCS-B", 1), ("OCS-K", 1), ("ONI", 1), ("ONU", 1), ("OSFRT", 1), ("OVEG", 1), ("PAR", 1),
+    ("PUM", 1), ("RASP-OPEN", 1), ("RASP-POLY", 1), ("RAST", 1), ("RHB", 1), ("RRC", 1), ("SB", 1),
+    ("SBEAN", 1), ("SFB", 1), ("SL", 1), ("SO", 1), ("SOSR", 1), ("SPEAS", 1), ("SPOT", 1),
+    ("SPP", 1), ("SRYE", 1), ("SSF", 1), ("STRB-OPEN", 1), ("STRB-POLY", 1), ("STRIT", 1),
+    ("STS", 1), ("SUN", 1), ("SW", 1), ("SWS", 1), ("TFRT", 1), ("TSF", 1), ("WB", 1), ("WBEAN", 1),
+    ("WBS", 1), ("WFB", 1), ("WO", 1), ("WOSR", 1), ("WPEAS", 1), ("WPOT", 1), ("WPP", 1),
+    ("WRYE", 1), ("WTRIT", 1), ("WW", 1), ("EX-SS", 2), ("FALW", 2), ("FALW-5", 2), ("GCM", 2),
+    ("NETR-A", 2), ("NETR-NA", 2), ("PHA", 2), ("SRC", 2), ("UCAA", 2), ("WDG", 2), ("WFM", 2),
+    ("TGRS", 3), ("TGRS1", 3), ("TGRS2", 3), ("TGRS3", 3), ("TGRS4", 3), ("TGRS5", 3), ("VET", 3),
+    ("PC", 4), ("PGRS", 4), ("RGR", 5), ("BRA", 99), ("BUI", 99), ("EXCL", 99), ("FSE", 99),
+    ("GOR", 99), ("MAR", 99), ("RASP-GLS", 99), ("ROAD", 99), ("ROK", 99), ("SCB", 99), ("SCE", 99),
+    ("STRB-GLS", 99), ("TOM-GLS", 99), ("TREES", 99), ("TURF", 99), ("WAT", 99), ("NON_SAF", 99),
+]
 
 
 def _values_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
@@ -59,8 +61,7 @@ def excluded_land_uses(spark: SparkSession) -> DataFrame:
 
 def rank_rows(version: int = 2) -> list[tuple[str, int]]:
     """(code, rank) rows; the first version has no rank for use outside the scheme."""
-    rows = [(code, rank) for rank, codes in LAND_USES_BY_RANK.items() for code in codes.split()]
-    return [row for row in rows if version >= 2 or row[0] != "NON_SAF"]
+    return [row for row in LAND_USE_RANKS if version >= 2 or row[0] != "NON_SAF"]
 
 
 def land_use_rank(spark: SparkSession, version: int = 2) -> DataFrame:

@@ -107,14 +107,14 @@ def random_side(rng, n, hot):
     return [(f"{i}", rng.choice([1, 1, 1, 2, 3, None]) if hot else rng.randint(1, 20), rng.choice("ab")) for i in range(n)]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 10, 1000])
-def test_pair_join_grid_is_exact(frame, rows, hot_rows):
+@pytest.mark.parametrize("hot_pairs", [0, 1, 3, 10, 1000])
+def test_pair_join_grid_is_exact(frame, rows, hot_pairs):
     """One key holds half of all rows on both sides; the grid makes the same pairs, once each."""
-    rng = random.Random(hot_rows)
+    rng = random.Random(hot_pairs)
     left, right = random_side(rng, 40, True), random_side(rng, 30, True)
     a = frame("l string, k int, c string", *left)
     b = frame("r string, k int, d string", *right)
-    got = rows(joins.pair_join(a, b, ["k"], "l", "r", hot_rows), "l", "r")
+    got = rows(joins.pair_join(a, b, ["k"], "l", "r", hot_pairs), "l", "r")
     assert got == sorted((x[0], y[0]) for x in left for y in right if x[1] is not None and x[1] == y[1])
 
 
@@ -158,7 +158,7 @@ def test_tiered_match_against_brute_force(frame, rows, seed):
     left, right = side("P"), side("S")
     schema = "id string, k int, u string, a int, f string"
     values = [[tuple(r[c] for c in ("id", "k", "u", "a", "f")) for r in s] for s in (left, right)]
-    pairs = matching.tiered_match(frame(schema, *values[0]), frame(schema, *values[1]), tiers(), "id", hot_rows=4)
+    pairs = matching.tiered_match(frame(schema, *values[0]), frame(schema, *values[1]), tiers(), "id", hot_pairs=4)
     assert rows(pairs, "owner_id", "user_id", "tier") == brute_tiers(left, right)
     assert pairs.select("id").distinct().count() == pairs.count()
 
@@ -190,28 +190,31 @@ def shares(frame):
 
 
 def test_consolidate(frame, rows):
-    out = aggregates.consolidate(shares(frame), ["k"], ["x"], "id", "n", "m; ", {"act": "Z"})
-    assert rows(out, "k", "x", "id", "n", "act") == [
-        (1, 3, "L1, S1, L1, S2", "m; ", "Z"), (2, 5, "L2, S3", "n; ", "a"),
-        (3, 3, "L4, S6, L4, S7, L4, S8", "m; ", "Z"),
-        (None, 1, "L3, S4", None, "a"), (None, 2, "L3, S5", None, "a"),
+    out, members = aggregates.consolidate(shares(frame), ["k"], ["x"], "id", "n", "m; ", {"act": "Z"})
+    assert rows(out, "k", "x", "id", "n", "act", "n_members") == [
+        (1, 3, "L1, S1", "m; ", "Z", 2), (2, 5, "L2, S3", "n; ", "a", 1), (3, 3, "L4, S6", "m; ", "Z", 3),
+        (None, 1, "L3, S4", None, "a", 1), (None, 2, "L3, S5", None, "a", 1),
     ]
+    assert rows(members) == [("L1, S1", "L1, S1"), ("L1, S1", "L1, S2")] + [("L4, S6", f"L4, S{i}") for i in (6, 7, 8)]
 
 
-def test_consolidate_names_long_groups_and_members_are_complete(frame, rows):
-    out = aggregates.consolidate(shares(frame), ["k"], ["x"], "id", "n", "m; ", {"act": "Z"}, inline_ids=2)
-    assert ("L4, S6, +2",) in rows(out, "id")
-    members = aggregates.consolidated_members(shares(frame), ["k"], "id")
-    assert [m for f, m in rows(members) if f == "L4, S6"] == ["L4, S6", "L4, S7", "L4, S8"]
+def test_consolidate_lists_every_member_of_a_large_group(spark):
+    ids = F.format_string("c%05d", F.col("id"))
+    df = spark.range(10_000).select(
+        F.lit(1).alias("k"), F.lit(2).alias("x"), ids.alias("id"), F.when(F.col("id") % 2 == 0, "even; ").alias("n"))
+    out, members = aggregates.consolidate(df, ["k"], ["x"], "id", "n", "m; ")
+    assert sorted(tuple(r) for r in out.select("x", "id", "n", "n_members").collect()) == [
+        (10_000, "c00000", "even; m; ", 5_000), (10_000, "c00001", "m; ", 5_000)]
+    found = {r.member_id: r.id for r in members.collect()}
+    assert found == {f"c{i:05d}": f"c0000{i % 2}" for i in range(10_000)}
 
 
-def test_arrays_and_text_with_copies(frame, rows):
+def test_values_as_rows(frame, rows):
     df = frame("k int, v string", (1, "b"), (1, "a"), (1, "b"), (1, None), (2, None))
-    assert rows(aggregates.array_agg_sorted(df, ["k"], "v", "s")) == [(1, ["a", "b", "b"])]
-    assert rows(aggregates.string_agg(df, ["k"], "v", "", "s")) == [(1, "abb")]
-    nested = df.select("k", F.array("v", "v").alias("v"))
-    flat = nested.select("k", F.array_compact("v").alias("v"))
-    assert rows(aggregates.array_concat_agg(flat, ["k"], "v", "s")) == [(1, ["a", "b"]), (2, None)]
+    assert rows(aggregates.value_copies(df, ["k"], "v")) == [(1, "a", 1), (1, "b", 2)]
+    assert rows(aggregates.distinct_values(df, ["k"], "v")) == [(1, "a"), (1, "b")]
+    nested = df.select("k", F.array("v", "v").alias("w"))
+    assert rows(aggregates.distinct_elements(nested, ["k"], "w", "v")) == [(1, "a"), (1, "b")]
 
 
 def test_sum_if_is_null_without_hits(frame, rows):
@@ -274,14 +277,29 @@ def test_overlap_against_brute_force(spark, rows, cell, rectangles, hot_pairs):
     assert (30, 30, 0.0) in got  # a shared edge counts as touching
 
 
-@pytest.mark.parametrize("max_parts, values", [(100, 2), (3, None)])
-def test_collected_rings_are_whole(spark, max_parts, values):
+def test_ring_parts_are_whole(spark):
     from landrecon.functions.rings import rect_ring
 
-    shapes = spark.range(40).select(
-        (F.col("id") % 20 == 0).alias("k"), "id", rect_ring(F.lit(0), F.lit(0), F.col("id"), F.lit(1)).alias("ring"))
-    out = spatial.collect_rings(shapes, ["k"], max_parts=max_parts).collect()
-    assert values is None or len(out) == values
-    assert values is not None or len(out) > 5
-    assert sum(len(r.rings) for r in out) == 40
-    assert {r.k: r.area for r in out} == {True: 20.0, False: 760.0}
+    shapes = spark.range(40).select((F.col("id") % 20 == 0).alias("k"), rect_ring(F.lit(0), F.lit(0), F.lit(2), F.lit(1)).alias("ring"))
+    parts, sums = spatial.ring_parts(shapes, ["k"])
+    assert parts.count() == 40
+    assert {r.k: (r.n_parts, r.area) for r in sums.collect()} == {True: (2, 4.0), False: (38, 76.0)}
+
+
+def test_a_large_polygon_meets_a_handful_of_cells_and_stacked_ones_are_split(spark):
+    from landrecon.functions.rings import rect_ring
+
+    large = spark.range(1).select("id", rect_ring(F.lit(3), F.lit(3), F.lit(100_003), F.lit(100_003)).alias("ring"))
+    boxes = spatial._boxed(large, "id", "ring", "a", 100.0)
+    assert spatial._in_cells(boxes, "a", F.array("_level"), 100.0).count() <= 4
+    stacked = spark.range(300).select("id", rect_ring(F.lit(10), F.lit(10), F.lit(20), F.lit(20)).alias("ring"))
+    got = spatial.overlap_join(large.unionByName(stacked), stacked, "id", "id", 100.0, rectangles=True, hot_pairs=1000)
+    assert got.count() == 301 * 300 and got.distinct().count() == 300 * 300 + 300
+
+
+def test_rings_that_are_not_convex_are_rejected(spark):
+    square, notched = [(0, 0), (4, 0), (4, 4), (0, 4)], [(0, 0), (4, 0), (2, 1), (4, 4), (0, 4)]
+    rows = [(i, [(float(x), float(y)) for x, y in ring]) for i, ring in enumerate([square, notched, square[::-1]])]
+    df = spark.createDataFrame(rows, "id int, ring array<struct<x: double, y: double>>")
+    good, bad = spatial.convex_only(df)
+    assert sorted(r.id for r in good.collect()) == [0, 2] and [r.id for r in bad.collect()] == [1]

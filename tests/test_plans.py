@@ -174,14 +174,16 @@ def test_largest_use(spark, rows):
     assert rows(out) == [(1, "WW", 5.0), (2, "RGR", 3.0)]
 
 
-def test_ownership_arrays(spark, rows):
+def test_ownership_rows_and_counts(spark, rows):
     df = final_frame(
         spark, {"owner_habus_id": 2, "owner_land_leased_out": "Y", "owner_bps_claimed_area": 0},
         {"owner_habus_id": 1, "owner_land_leased_out": "N", "owner_bps_claimed_area": 0}, {"user_habus_id": 9, "user_bps_claimed_area": 4},
         {"hapar_id": 2, "user_habus_id": 9, "user_land_leased_out": "N"}, {"hapar_id": 3, "owner_habus_id": 1},
     ).withColumn("error_log", F.when(F.col("hapar_id") == 3, "this is a commons field; "))
-    out = ownership.ownership_per_parcel(df)
-    assert rows(out) == [(1, [1, 2], [9], "Y", 2, 1, 3, None, 4.0), (2, None, [9], "N", None, 1, 1, None, None)]
+    businesses = ownership.parcel_businesses(df)
+    assert rows(businesses) == [(1, "owner", 1), (1, "owner", 2), (1, "user", 9), (2, "user", 9)]
+    out = ownership.ownership_per_parcel(df, businesses)
+    assert rows(out) == [(1, "Y", 2, 1, 3, None, 4.0), (2, "N", None, 1, 1, None, None)]
 
 
 # --------------------------------------------------------------------------------- impute
@@ -199,6 +201,38 @@ def test_remainder_goes_to_the_empty_row_or_to_an_imputed_one(spark, rows):
     ], key=lambda r: [(v is None, str(v)) for v in r])
 
 
+def test_doubled_parcels_are_marked_where_several_hold_them(spark, rows):
+    df = prepared(
+        spark, "P", {"habus_id": 1, "land_use_area": 10, "bps_claimed_area": 10}, {"habus_id": 2, "land_use_area": 10, "bps_claimed_area": 3},
+        {"hapar_id": 2, "land_use_area": 10, "bps_claimed_area": 10}, {"hapar_id": 2, "land_use_area": 10, "bps_claimed_area": 10},
+        {"hapar_id": 3, "habus_id": 1, "land_use_area": 10, "bps_claimed_area": 10}, {"hapar_id": 3, "habus_id": 2, "land_use_area": 9, "bps_claimed_area": 9},
+    )
+    out = impute.mark_doubled_parcels(df, "x; ")
+    assert [r for r in rows(out, "claim_id", "change_note") if r[1]] == [("sP1", "x; ")] and out.count() == 6
+
+
+def test_excluded_uses_of_later_businesses_move(spark, rows):
+    owners = prepared(
+        spark, "P", {"habus_id": 1, "land_use": "EXCL", "bps_claimed_area": 1}, {"habus_id": 2, "land_use": "EXCL", "bps_claimed_area": 0},
+        {"habus_id": 2, "bps_claimed_area": 5}, {"habus_id": 3, "land_use": "EXCL", "bps_claimed_area": 0},
+    )
+    renters = prepared(
+        spark, "S", {"habus_id": 1, "bps_claimed_area": 4}, {"habus_id": 2, "land_use": "EXCL", "bps_claimed_area": 0},
+        {"habus_id": 2, "bps_claimed_area": 0}, {"habus_id": 3, "bps_claimed_area": 0},
+    )
+    p, s = impute.move_excluded_uses(owners, renters)
+    assert rows(p, "claim_id") == [("P1",), ("P3",), ("P4",), ("SP2",)]
+    assert rows(s, "claim_id", "is_perm_flag")[:2] == [("P3", "Y"), ("PS2", "Y")] and s.count() == 4
+
+
+def test_half_parcels_are_flagged_without_a_lease(spark, rows):
+    df = prepared(
+        spark, "P", {"land_use_area": 12, "land_leased_out": "N"}, {"land_use_area": 8, "land_leased_out": "Y"},
+        {"hapar_id": 2, "land_use_area": 15, "land_leased_out": "N"},
+    )
+    assert rows(impute.flag_half_parcels(df), "claim_id") == [("P2",), ("P3",), ("sP1",)]
+
+
 def test_later_claiming_owner_becomes_renter_and_silent_renter_owner(spark, rows):
     owners = prepared(spark, "P", {"habus_id": 1}, {"habus_id": 2, "bps_claimed_area": 5}, {"habus_id": 3})
     renters = prepared(spark, "S", {"hapar_id": 7, "habus_id": 1}, {"hapar_id": 7, "habus_id": 2, "bps_claimed_area": 0})
@@ -235,10 +269,11 @@ def test_commons_from_build_to_flags(spark, frame, rows):
     totals = commons.detail_totals(detail).withColumn("lpid_id", F.concat(F.lit("L"), F.col("cg_hahol_id").cast("string")))
     shapes = frame("hahol_id long, year int, w int, h int", (1, 2017, 100, 2000), (1, 2017, 100, 600), (2, 2017, 100, 100)).withColumn(
         "ring", rect_ring(F.lit(0), F.lit(0), F.col("w"), F.col("h")))
-    out = commons.clean_commons(commons.build_commons(share, totals, shapes))
+    out, members = commons.clean_commons(commons.build_commons(share, totals, shapes))
     got = {r.id: r for r in out.collect()}
-    assert set(got) == {"L1, S1, L1, S2", "L2, S4"}
-    row = got["L1, S1, L1, S2"]
+    assert set(got) == {"L1, S1", "L2, S4"}
+    assert rows(members) == [("L1, S1", "L1, S1"), ("L1, S1", "L1, S2")]
+    row = got["L1, S1"]
     assert (float(row.commons_area), float(row.bps_claimed_area), float(row.lpid_bps_eligible_area)) == (26.0, 34.0, 23.0)
     assert row.land_activity == commons.MERGED_ACTIVITY
     assert row.change_note == (
@@ -247,7 +282,7 @@ def test_commons_from_build_to_flags(spark, frame, rows):
     )
     assert row.error_log == commons.OVERCLAIM + "11.00ha; " + commons.DISCREPANCY
     assert (got["L2, S4"].change_note, got["L2, S4"].error_log) == (None, None)
-    assert rows(commons.clean_commons(commons.build_commons(share, totals, shapes), cleared=(1,)), "error_log") == [(None,), (None,)]
+    assert rows(commons.clean_commons(commons.build_commons(share, totals, shapes), cleared=(1,))[0], "error_log") == [(None,), (None,)]
 
 
 def test_commons_fields_are_flagged_and_copied_once(spark, frame, rows):

@@ -60,7 +60,7 @@ def test_hot_pairs_are_spread_evenly(small_partitions, skewed):
     """The hot key's pairs fall into many join cells, none of which holds more than a few."""
     left = skewed.select("k", F.col("claim_id").alias("l"))
     right = skewed.filter("x < 1").select("k", F.col("claim_id").alias("r")).filter("k <> -1 OR r < 'c12'")
-    pairs = joins.pair_join(left, right, ["k"], "l", "r", hot_rows=5_000)
+    pairs = joins.pair_join(left, right, ["k"], "l", "r", hot_pairs=1_000_000)
     expected = left.groupBy("k").count().join(right.groupBy("k").agg(F.count(F.lit(1)).alias("m")), "k")
     assert pairs.count() == expected.agg(F.sum(F.col("count") * F.col("m"))).first()[0]
 
