@@ -146,7 +146,8 @@ class Block:
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(at)) - 1
         first, last, place = at[begin], at[end[: len(begin)]], where[begin]
-        chosen = sample[place]
+        # the smallest of many hashes are all small: scramble them again, or few buckets get most
+        chosen = _mixed(sample[place] + np.uint64(BASE))
         shape = (place - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)
         kind = _mixed(self.prints(first, last + self.length) + shape)
         text = np.searchsorted(self.offsets, first, side="right") - 1
