@@ -56,14 +56,9 @@ def flag_agreement(owners: DataFrame, renters: DataFrame) -> DataFrame:
     left = owners.select(*keys, F.col("land_leased_out").alias("_p")).distinct()
     right = renters.select(*keys, F.col("land_leased_out").alias("_s")).distinct()
     p, s = F.col("_p"), F.col("_s")
-    label = (
-        F.when((p == "N") & (s == "Y"), "N-Y no match")
-        .when((p == "Y") & (s == "N"), "Y-N no match")
-        .when((p == "N") & (s == "N"), "N match")
-        .when((p == "Y") & (s == "Y"), "Y match")
-        .when(p == s, "Match")
-        .otherwise("Other")
-    )
+    known = p.isin("Y", "N") & s.isin("Y", "N")
+    outcome = F.when(p == s, F.concat(p, F.lit(" match"))).otherwise(F.concat(p, F.lit("-"), s, F.lit(" no match")))
+    label = F.when(known, outcome).otherwise("Other")
     combos = left.join(right, keys).select(*PARCEL_YEAR, "_p", "_s").distinct()
     return bucket_count(combos, label, "llo_flag_compare")
 

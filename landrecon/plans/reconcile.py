@@ -22,6 +22,7 @@ EXCLUDED = tuple(EXCLUDED_LAND_USES)
 
 # Columns merged into one; the others stay apart per side.
 MERGED_AREAS = ("land_parcel_area", "bps_eligible_area", "verified_exclusion")
+# The columns of the merged table, in the order its readers expect.
 FINAL_COLUMNS = (
     "owner_mlc_hahol_id", "user_mlc_hahol_id", "owner_habus_id", "user_habus_id",
     "owner_hahol_id", "user_hahol_id", "hapar_id", "land_parcel_area", "bps_eligible_area",
