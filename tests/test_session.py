@@ -17,5 +17,6 @@ def test_stages_lie_in_the_shared_folder_and_can_be_dropped(spark, tmp_path, mon
     assert not folder.exists()
 
 
-def test_the_warehouse_stands_in_for_a_checkpoint_folder(spark):
-    assert session.shared_dir(spark) == spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+def test_the_warehouse_stands_in_where_no_checkpoint_folder_is_named(spark):
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    assert session.shared_dir(spark) == (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
