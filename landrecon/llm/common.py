@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -48,11 +49,21 @@ def cached(key: tuple, make: Callable):
     return store[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker lives on for later tasks and stages, and
+    would keep what its largest task needed, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library's
+    if trim is not None:
+        trim(0)
+
+
 def batches(rows: Iterator[pa.RecordBatch], fn: Callable[[pa.RecordBatch], pa.RecordBatch]):
     """Apply ``fn`` to every batch that has rows."""
     for batch in rows:
         if batch.num_rows:
             yield fn(batch)
+    give_back()
 
 
 def partitions(spark: SparkSession) -> int:

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from landrecon.llm.common import batches, texts
+from landrecon.llm.common import batches, give_back, texts
 from landrecon.llm.word_bpe import word_ids
 from landrecon.session import stage
 from landrecon.sources.ids import number_rows
@@ -70,7 +70,9 @@ def pieces(
                 columns["ids"] = pa.array(found["ids"], pa.binary())
             return pa.RecordBatch.from_pydict(columns)
 
-        return batches(part, run)
+        yield from batches(part, run)
+        words.forget()
+        give_back()
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     return rows.mapInArrow(cut, schema + (", ids binary" if with_ids else ""))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from landrecon.llm.common import cached, nullable
+from landrecon.llm.common import cached, give_back, nullable
 from landrecon.session import stage
 
 LENGTH = 50
@@ -239,6 +239,7 @@ RUN, WINDOW, SETTLED = 1, 2, 3
 def _answer(table: pa.Table) -> pa.Table:
     """Sort one bucket: for every entry of every block, has an earlier block the same one (low bit),
     and has its sample another class (high bit, for runs). Answers of an earlier round pass through."""
+    give_back()
     passing = table.filter(pa.compute.equal(table["kind"], SETTLED))
     asked = table.filter(pa.compute.not_equal(table["kind"], SETTLED)).sort_by("block")
     if not asked.num_rows:
@@ -313,6 +314,7 @@ def remove_repeats(
     along = ["carried"] if carry else []
 
     def read(table: pa.Table) -> Block:
+        give_back()
         ids = table["doc_id"].fill_null(LAST_ID).to_numpy()
         return Block(ids, table["text"], length, anchor, bits)
 

@@ -19,7 +19,7 @@ import numpy as np
 
 from landrecon.llm.common import cached
 
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 LATIN_END = 0x250
 
 
@@ -33,10 +33,8 @@ def _byte_alphabet() -> dict[str, int]:
 class WordIds:
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         special = {t["content"] for t in spec["added_tokens"]}
@@ -65,9 +63,10 @@ class WordIds:
             rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+"
         ).findall
         self.unusual = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]").search
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop the remembered words."""
         self.index: dict[str, int] = defaultdict(count().__next__)
         self.flat = np.zeros(0, dtype=np.uint32)
         self.offsets = np.zeros(1, dtype=np.int64)
@@ -78,11 +77,20 @@ class WordIds:
         self.flat = np.concatenate([self.flat, self.number[ranks]])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + stops])
 
+    def whole(self, text: str) -> list[int]:
+        """Ids of a text by the tokenizer library, which is loaded for the first such text."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+            self.library.encode_special_tokens = True
+        return self.library.encode(text, add_special_tokens=False).ids
+
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
         codes: list[np.ndarray | None] = []
         if len(self.index) > REMEMBERED_WORDS:
-            self._forget()
+            self.forget()
         known = len(self.index)
         look_up = self.index.__getitem__
         for text in texts:
@@ -97,7 +105,7 @@ class WordIds:
         out = []
         for text, words in zip(texts, codes):
             if words is None:
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
+                out.append(np.array(self.whole(text), dtype=np.uint32))
                 continue
             sizes = self.offsets[words + 1] - self.offsets[words]
             shift = np.cumsum(sizes) - sizes
