@@ -6,10 +6,12 @@ is found around the largest length left and used as often as its lengths last, s
 exhausts a length and the plan has at most about ``capacity`` fillings. The pieces, numbered in
 order of length, then look up their places in the plan; no piece passes the driver.
 
-Bin completion: around the largest length, enumerate fillings that no other filling dominates
-(exact fits with few large pieces first), keep the plan of plain best-fit fillings as incumbent,
-and give up a branch as soon as its waste is more than a better plan could have. The search ends
-when a plan meets the lower bound, or after ``nodes`` fillings, with the incumbent.
+Bin completion: around the largest length, enumerate lazily all fillings that no other filling is
+found to dominate (a few exact fits and the best fit first, then the others by growing waste), each
+as often as its lengths last; if no such plan meets the bound, each also less often. Keep the plan of plain best-fit fillings as
+incumbent, and give up a branch as soon as its waste is more than a better plan could have. Only
+the budget of ``nodes`` fillings looked at, dominated ones included, ends the search before a plan
+meets the lower bound or all are tried; the incumbent is the result then.
 
 NULL text is read as empty and packs as the end id alone. Repeated rows are packed one by one.
 Columns other than id and text are left out.
@@ -18,6 +20,7 @@ Columns other than id and text are left out.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -97,8 +100,8 @@ def _best_fit(left: np.ndarray, capacity: int) -> Filling:
     return tuple(taken)
 
 
-def _completions(left: np.ndarray, capacity: int, width: int) -> list[Filling]:
-    """Fillings around the largest length left, least waste first.
+def _likely(left: np.ndarray, capacity: int, width: int) -> list[Filling]:
+    """The fillings around the largest length to try first, least waste first.
 
     A single piece that fills the room exactly dominates every other filling. Otherwise exact
     fits by two and three pieces are taken with their largest piece as large as possible, then
@@ -147,6 +150,78 @@ def _completions(left: np.ndarray, capacity: int, width: int) -> list[Filling]:
     return sorted(dict.fromkeys(fillings), key=lambda f: capacity - sum(n * k for n, k in f))
 
 
+def _every(left: np.ndarray, capacity: int) -> Iterator[list[int]]:
+    """What can lie beside the largest length left, by growing waste."""
+    largest = int(np.flatnonzero(left)[-1])
+    room = capacity - largest
+    counts = {n: int(left[n]) - (n == largest) for n in np.flatnonzero(left[: room + 1]).tolist()}
+    lengths = [n for n, k in counts.items() if k]
+    inside = (1 << (room + 1)) - 1
+    sums = [1]  # bit s: the lengths so far have a choice of sum s
+    for n in lengths:
+        reach, more, step = sums[-1], min(counts[n], room // n), 1
+        while more:
+            use = min(step, more)
+            reach |= (reach << (use * n)) & inside
+            more, step = more - use, 2 * step
+        sums.append(reach)
+
+    def choose(i: int, total: int) -> Iterator[list[int]]:
+        """From the first ``i`` lengths, large ones first."""
+        if not total:
+            yield []
+            return
+        while i and sums[i] >> total & 1:
+            i -= 1
+            for k in range(min(counts[lengths[i]], total // lengths[i]), 0, -1):
+                if sums[i] >> (total - k * lengths[i]) & 1:
+                    for rest in choose(i, total - k * lengths[i]):
+                        yield [lengths[i]] * k + rest
+
+    for total in range(room, -1, -1):
+        yield from choose(len(lengths), total)
+
+
+def _dominated(left: np.ndarray, filling: list[int], capacity: int) -> bool:
+    """Whether a single unused piece could stand for some of the pieces but the first, and be no
+    smaller; or be added."""
+    waste = capacity - sum(filling)
+    unused = left.copy()
+    for n in filling:
+        unused[n] -= 1
+    one, several = {0}, set()
+    sums = {0}
+    for n in filling[1:]:
+        several |= {s + n for s in sums if s}
+        one.add(n)
+        sums |= {s + n for s in sums}
+    # in place of one piece, the unused one must be larger
+    return any(unused[s : s + waste + 1].any() for s in several) or any(unused[s + 1 : s + waste + 1].any() for s in one)
+
+
+def _completions(left: np.ndarray, capacity: int, width: int, fewer: bool) -> Iterator[tuple[Filling, int] | None]:
+    """Fillings around the largest length left with how often to use them; None for one that is
+    passed over. When it is asked for more, ``left`` must be as it was at first."""
+    tried = {}
+    for filling in _likely(left, capacity, width):
+        tried[filling] = _times(left, filling)
+        yield filling, tried[filling]
+    largest = int(np.flatnonzero(left)[-1])
+    exact = any(len(f) <= 2 and sum(k for _, k in f) <= 2 and sum(n * k for n, k in f) == capacity for f in tried)
+    if not exact:  # a single piece in the whole room dominates all else
+        for beside in _every(left, capacity):
+            pieces_of = [largest, *beside]
+            filling = _filling(pieces_of)
+            if filling in tried or _dominated(left, pieces_of, capacity):
+                yield None
+                continue
+            tried[filling] = _times(left, filling)
+            yield filling, tried[filling]
+    for filling, most in tried.items():
+        for times in range(most - 1 if fewer else 0, 0, -1):
+            yield filling, times
+
+
 def _times(left: np.ndarray, filling: Filling) -> int:
     return min(int(left[n]) // k for n, k in filling)
 
@@ -171,33 +246,35 @@ def plan_packing(
             left[n] -= times * k
     fewest = sum(t for _, t in incumbent)
 
-    left, path, used = start.copy(), [], 0
-    open_choices = [_completions(left, capacity, width)] if left.any() else []
-    while open_choices and nodes and fewest > bound:
-        choices = open_choices[-1]
-        if not choices:  # back to the filling before
-            open_choices.pop()
-            if path:
-                filling, times = path.pop()
-                used -= times
-                for n, k in filling:
-                    left[n] += times * k
-            continue
-        filling = choices.pop(0)
-        nodes -= 1
-        times = _times(left, filling)
-        for n, k in filling:
-            left[n] -= times * k
-        path.append((filling, times))
-        used += times
-        rest = int((left * np.arange(capacity + 1)).sum())
-        if used + ceil(rest / capacity) >= fewest:  # its waste is too much for a better plan
-            open_choices.append([])
-        elif rest == 0:
-            fewest, incumbent = used, list(path)
-            open_choices.append([])
-        else:
-            open_choices.append(_completions(left, capacity, width))
+    for fewer in (False, True):  # whether a filling may be used less often than its lengths last
+        left, path, used = start.copy(), [], 0
+        open_choices = [_completions(left, capacity, width, fewer)] if left.any() else []
+        while open_choices and nodes and fewest > bound:
+            choice = next(open_choices[-1], False)
+            if choice is False:  # back to the filling before
+                open_choices.pop()
+                if path:
+                    filling, times = path.pop()
+                    used -= times
+                    for n, k in filling:
+                        left[n] += times * k
+                continue
+            nodes -= 1
+            if choice is None:
+                continue
+            filling, times = choice
+            for n, k in filling:
+                left[n] -= times * k
+            path.append((filling, times))
+            used += times
+            rest = int((left * np.arange(capacity + 1)).sum())
+            if used + ceil(rest / capacity) >= fewest:  # its waste is too much for a better plan
+                open_choices.append(iter(()))
+            elif rest == 0:
+                fewest, incumbent = used, list(path)
+                open_choices.append(iter(()))
+            else:
+                open_choices.append(_completions(left, capacity, width, fewer))
     return incumbent
 
 

@@ -73,6 +73,18 @@ def test_small_packings_are_optimal(seed):
     assert sum(t for _, t in plan) == optimum(lengths, 20)
 
 
+@pytest.mark.parametrize("scale", [1, 50])
+def test_fillings_with_waste_and_without_exact_fits_are_tried(scale):
+    counts = {2109: 6 * scale, 1176: 6 * scale, 1095: 6 * scale, 851: 12 * scale}
+    plan = packing.plan_packing(counts, 4096)
+    used = defaultdict(int)
+    for filling, times in plan:
+        assert sum(n * k for n, k in filling) <= 4096
+        for n, k in filling:
+            used[n] += k * times
+    assert used == counts and sum(t for _, t in plan) == 9 * scale
+
+
 def check(rows, capacity):
     by = defaultdict(list)
     for r in rows:
