@@ -5,7 +5,8 @@ stored once. The stored sequences are numbered densely: a task's first number is
 sequences of the tasks before it. A keyed Feistel permutation of the numbers, with cycle-walking to
 stay within them, gives each sequence its global slot: a shuffled order without a sort, which can
 be computed and inverted anywhere from the key. Ranges of slots are the shards; ids travel once,
-to their shard. Every record has the same stride, so slot, shard and record number follow from each
+to the range of shards that theirs is in, and are written there, one file per shard, in order of
+slot. Every record has the same stride, so slot, shard and record number follow from each
 other, and a reader starts or resumes at any slot (``read_from``).
 
 Ids are unsigned and little-endian, of ``width`` bytes; padding is the end id. NULL text is read as
@@ -135,13 +136,21 @@ def in_training_order(stored: DataFrame, key: int, shard: int = SHARD) -> DataFr
             "slot", F.floor(F.col("slot") / shard).alias("shard"), F.pmod("slot", F.lit(shard)).cast("int").alias("record"),
             "doc_id", "piece", "n_ids", "ids",
         )
-        .repartition("shard").sortWithinPartitions("slot")
+        .repartitionByRange("shard").sortWithinPartitions("shard", "slot")
     )
 
 
 def write_shards(ordered: DataFrame, path: str) -> None:
-    """One folder per shard. A repeated call after an interruption writes the same records again."""
-    ordered.write.mode("overwrite").partitionBy("shard").parquet(path)
+    """One folder per shard, with one file in order of slot. A repeated call after an interruption
+    writes the same records again."""
+    ordered.write.mode("overwrite").option("compression", "zstd").partitionBy("shard").parquet(path)
+
+
+def materialised(ordered: DataFrame) -> DataFrame:
+    """The records read back from shards written into the shared folder, each file in order."""
+    path = new_path(ordered.sparkSession, "shards")
+    write_shards(ordered, path)
+    return ordered.sparkSession.read.schema(ordered.schema).parquet(path).select(ordered.columns)
 
 
 def read_from(spark: SparkSession, path: str, slot: int = 0, shard: int = SHARD) -> DataFrame:

@@ -126,4 +126,4 @@ def hamming_top_k(spark: SparkSession, folder: str) -> DataFrame:
 def training_order(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     stored = order.sequences(table(spark, folder, "documents"), bpe.encoder(ranks), end_id=50256)
-    return order.in_training_order(stored, key=2024)
+    return order.materialised(order.in_training_order(stored, key=2024))

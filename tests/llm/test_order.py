@@ -40,6 +40,20 @@ def test_shards_hold_every_sequence_at_its_slot(spark, tmp_path):
     assert [r.slot for r in order.read_from(spark, path, 11, 8).collect()] == list(range(11, len(got)))
 
 
+def test_query_reads_back_shards_in_order(spark, monkeypatch):
+    monkeypatch.setattr(order.in_training_order, "__defaults__", (16,))
+    got = queries.QUERIES["op2_training_order"](spark, "/root/testdata/sf0.001")
+    files = got.inputFiles()
+    assert len(files) > 4 and all("/shard=" in f for f in files)
+    assert len({f.rsplit("/", 2)[1] for f in files}) == len(files)
+    for f in files:
+        rows = spark.read.parquet(f).coalesce(1).collect()
+        first = int(f.rsplit("/", 2)[1].split("=")[1]) * 16
+        assert [r.slot for r in rows] == list(range(first, first + len(rows)))
+    ordered = order.in_training_order(order.sequences(spark.createDataFrame([], "doc_id long, text string"), bpe.encoder(RANKS), 50256), 1)
+    assert order.materialised(ordered).count() == 0
+
+
 def test_query_and_empty_table(spark):
     folder = "/root/testdata/sf0.001"
     got = queries.QUERIES["op2_training_order"](spark, folder).collect()
