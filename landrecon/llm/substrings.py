@@ -19,7 +19,8 @@ Blocks are ranges of ids, so "an earlier document in another block" is a smaller
 need not be sent along. Within a block a string enters its bucket once, however often it occurs;
 buckets and answers are arrays in one row per block and bucket. The texts are shuffled once.
 
-Equality of strings is by fingerprints of 64 bits and more. NULL text is read as empty; texts under
+Equality of strings is by fingerprints of 64 bits; runs are told apart by 64 bits of the sample and
+64 bits of the class. NULL text is read as empty; texts under
 ``length`` bytes stay whole. A NULL id counts as later than all others; rows with equal ids, such
 as repeated rows, do not remove each other's bytes. Columns other than id and text are left out.
 """
@@ -86,7 +87,7 @@ class Runs:
     order: np.ndarray  # runs sorted by entry, in order of rank within an entry
     start: np.ndarray  # where each distinct entry begins in ``order``
     bucket: np.ndarray  # of each distinct entry
-    entry: np.ndarray  # sample and class, 32 bits each
+    entry: np.ndarray  # sample and class, 64 bits each, in two columns
 
 
 class Block:
@@ -153,11 +154,10 @@ class Block:
         text = np.searchsorted(self.offsets, first, side="right") - 1
         rank = self.text_rank[text] if len(text) else np.zeros(0, np.int64)
         bucket = _bucket(chosen, self.bits)
-        entry = (chosen << np.uint64(self.bits)) & np.uint64(0xFFFFFFFF00000000) | kind >> np.uint64(32)
-        order = np.lexsort((entry, bucket))
-        b, e = bucket[order], entry[order]
-        start = _starts(b, e)
-        return Runs(first, last, rank, order, start, b[start], e[start])
+        order = np.lexsort((kind, chosen))  # buckets are ranges of ``chosen``
+        c, k = chosen[order], kind[order]
+        start = _starts(c, k)
+        return Runs(first, last, rank, order, start, bucket[order[start]], np.stack([c[start], k[start]], axis=1))
 
     def settle(self, runs: Runs, answer: np.ndarray):
         """By the answers to the runs' entries: which runs are repeated, and which are open."""
@@ -244,18 +244,19 @@ def _answer(table: pa.Table) -> pa.Table:
     asked = table.filter(pa.compute.not_equal(table["kind"], SETTLED)).sort_by("block")
     if not asked.num_rows:
         return passing
-    parts = [np.frombuffer(p, np.uint64) for p in asked["payload"].to_pylist()]
+    columns = 2 if asked["kind"][0].as_py() == RUN else 1
+    parts = [np.frombuffer(p, np.uint64).reshape(-1, columns) for p in asked["payload"].to_pylist()]
     sizes = np.array([len(p) for p in parts])
     entry = np.concatenate(parts)
     part = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
-    order = np.argsort(entry, kind="stable")
+    order = np.lexsort(entry.T[::-1])
     e = entry[order]
-    start = _starts(e)
+    start = _starts(*e.T)
     counts = np.diff(np.append(start, len(e)))
     first = np.repeat(part[order[start]], counts)
     bits = np.zeros((len(e), 2), dtype=np.uint8)
     bits[order, 1] = part[order] > first
-    sample = e[start] >> np.uint64(32)
+    sample = e[start, 0]
     alone = np.ones(len(start), dtype=bool)
     same = sample[1:] == sample[:-1]
     alone[1:] &= ~same

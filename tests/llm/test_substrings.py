@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from landrecon.llm import queries, substrings
@@ -76,6 +78,23 @@ def test_nulls_repeats_long_and_clashing_columns(spark):
     assert substrings.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_classes_that_agree_in_half_their_bits_are_told_apart():
+    sample, kind = 7 << 40, 9 << 40
+    entries = [[(sample, kind)], [(sample, kind ^ 1)], [(sample, kind), (sample + 1, kind)]]
+    rows = [{"bucket": 0, "block": i, "kind": substrings.RUN, "payload": np.array(e, np.uint64).tobytes()} for i, e in enumerate(entries)]
+    got = substrings._answer(pa.Table.from_pylist(rows, schema=substrings._ROW)).sort_by("block")["payload"].to_pylist()
+    bits = [np.unpackbits(np.frombuffer(p, np.uint8)).tolist() for p in got]
+    # per entry: has its sample another class, has an earlier block the same entry
+    assert bits[0][:2] == [1, 0] and bits[1][:2] == [1, 0] and bits[2][:4] == [1, 1, 0, 0]
+
+
+def test_entries_carry_the_whole_class():
+    text = "".join(random.Random(5).choices("abcdefgh ", k=3000))
+    runs = substrings.Block(np.array([1]), pa.chunked_array([[text]]), 50, 20, 2).runs()
+    assert len(runs.entry) > 50 and runs.entry.shape[1:] == (2,)
+    assert all(len(np.unique(runs.entry[:, 1] & np.uint64(half))) == len(runs.entry) for half in (0xFFFFFFFF, 0xFFFFFFFF << 32))
+
+
 def test_query_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text.encode()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
