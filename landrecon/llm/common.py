@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from landrecon.session import tune
 
@@ -103,3 +103,14 @@ def nullable(column):
     """A struct column whose fields admit NULL, as declared schemas do."""
     fields = [column.type.field(i).with_nullable(True) for i in range(column.type.num_fields)]
     return column.cast(pa.struct(fields))
+
+
+def finite(vector: str) -> Column:
+    """Whether a vector is there and all its components are finite numbers."""
+    infinity = F.lit(float("inf"))
+    return F.coalesce(F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < infinity)), F.lit(False))
+
+
+def grid(vector: str, steps: int = 256) -> Column:
+    """Components rounded down to whole steps, as long; those beyond its range become its ends."""
+    return F.transform(vector, lambda v: F.floor(v.cast("double") * steps))

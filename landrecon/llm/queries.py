@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10, and the SQL of those that SQL can express."""
+"""The registered queries op1 to op13, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe, hamming, language, order, packing, pii, simhash, substrings, toxicity, vectors
-from landrecon.llm.common import table
+from landrecon.llm import bpe, hamming, language, negatives, order, packing, pii, simhash, substrings, toxicity, vectors
+from landrecon.llm.common import finite, grid, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,38 @@ def training_order(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     stored = order.sequences(table(spark, folder, "documents"), bpe.encoder(ranks), end_id=50256)
     return order.materialised(order.in_training_order(stored, key=2024))
+
+
+HARD_NEGATIVES_SQL = """
+WITH whole AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::DOUBLE[], lambda c: floor(256 * c)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda v: NOT isfinite(v))) = 0
+), scored AS (
+  SELECT a.id AS anchor_id, b.id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM whole a JOIN whole b ON a.id % 100 = 0 AND a.id <> b.id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)::INT AS rank,
+  s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """For every anchor (id divisible by 100) and each of its 5 positives, 10 negatives between 0.3
+    and 0.9 of the positive's score. One label in seven is moved, so that labels do not follow the
+    vectors alone."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").filter(finite("embedding")).select(
+        F.col("vec_id").alias("id"), moved.alias("label"), grid("embedding").alias("x")
+    )
+    return negatives.mine(rows, rows.filter(F.col("id") % 100 == 0))
