@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe, hamming, language, negatives, order, packing, pii, simhash, substrings, toxicity, vectors
+from landrecon.llm import bpe, hamming, language, negatives, order, packing, pii, simhash, substrings, toxicity, vectors, whitening
 from landrecon.llm.common import finite, grid, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,8 @@ def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
         F.col("vec_id").alias("id"), moved.alias("label"), grid("embedding").alias("x")
     )
     return negatives.mine(rows, rows.filter(F.col("id") % 100 == 0))
+
+
+@query("op12_whitening")
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
