@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from landrecon.llm import bpe, hamming, language, negatives, order, packing, pii, simhash, substrings, toxicity, vectors, whitening
+from landrecon.llm import bpe, contamination, hamming, language, negatives, order, packing, pii, simhash, substrings, toxicity, vectors, whitening
 from landrecon.llm.common import finite, grid, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,42 @@ def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_whitening")
 def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+CONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+    unnest(list_transform(range(0, len(w) - least(len(w), 10) + 1), lambda i: array_to_string(w[i + 1 : i + least(len(w), 10)], ' '))) AS words
+  FROM b WHERE len(w) > 0
+), runs AS (
+  SELECT row, size, unnest(range(0, len(w) - size + 1)) AS start,
+    unnest(list_transform(range(0, len(w) - size + 1), lambda i: array_to_string(w[i + 1 : i + size], ' '))) AS words
+  FROM d, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+), hits AS (
+  SELECT DISTINCT row, start, r.size, item_id FROM runs r JOIN windows USING (size, words)
+), per_row AS (
+  SELECT row, count(DISTINCT position) AS n_hit FROM (SELECT row, unnest(range(start, start + size)) AS position FROM hits) GROUP BY row
+), per_item AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY row
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN per_row USING (row) LEFT JOIN per_item USING (row)
+"""
+
+
+@query("op11_decontamination", CONTAMINATION_SQL)
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_agrees_with_sql(spark, name):
     engine = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         engine.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     df = QUERIES[name](spark, FOLDER)
     cursor = engine.execute(ORACLES[name])
