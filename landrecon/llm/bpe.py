@@ -7,7 +7,9 @@ first boundary in the overlap that both have. Only boundaries after a character
 space serve, because the pattern's look-ahead concerns white space alone; a piece between two cuts
 then splits by itself just as it does within the whole text. The pieces are encoded in parallel and
 their ids joined in order. A text of which some overlap has no common boundary (one word longer
-than the overlap) is encoded whole.
+than the overlap) is put together again and encoded in one task, pre-token by pre-token where they are
+long: the library's own pattern, which runs out of stack on very long white space, never gets more than
+``2 * CHUNK`` code points at once (``encode_text``).
 
 NULL text is read as empty; an empty text has no ids. Rows are kept apart by position, so repeated
 rows and repeated ids give one result each. Columns other than id and text are left out.
@@ -58,8 +60,37 @@ def _token_bytes(path: str) -> list[bytes]:
     return cached(("token bytes", path), make)
 
 
-def _encode(encoding, text: str) -> bytes:
-    return np.asarray(encoding.encode_ordinary(text), dtype="<u4").tobytes()
+def encode_text(encoding, text: str, pattern: str, most: int = CHUNK) -> list[int]:
+    """Ids of a text of any length. A long one is cut after pre-tokens that do not end in white space,
+    as chunks are; a pre-token longer than ``most``, and white space right before it, goes singly."""
+    if len(text) <= most:
+        return encoding.encode_ordinary(text)
+    rule = cached(("pattern", pattern), lambda: regex.compile(pattern))
+    ids: list[int] = []
+    begin = sure = 0  # text up to ``begin`` is encoded, up to ``sure`` it may be cut
+    blank: list[str] = []  # white space since then
+    for m in rule.finditer(text):
+        start, end = m.span()
+        if end - start > most:
+            ids += encoding.encode_ordinary(text[begin:sure])
+            for piece in (*blank, m.group()):
+                ids += encoding._encode_single_piece(piece)
+            begin, sure, blank = end, end, []
+        elif text[end - 1].isspace():
+            blank.append(m.group())
+        else:
+            if end - begin > most:
+                ids += encoding.encode_ordinary(text[begin:sure])
+                begin = sure
+            sure, blank = end, []
+    ids += encoding.encode_ordinary(text[begin:sure])
+    for piece in blank:
+        ids += encoding._encode_single_piece(piece)
+    return ids
+
+
+def _encode(encoding, text: str, pattern: str) -> bytes:
+    return np.asarray(encode_text(encoding, text, pattern), dtype="<u4").tobytes()
 
 
 def _boundaries(pattern, text: str) -> np.ndarray:
@@ -81,7 +112,7 @@ def encode(
         encoding = _encoding(ranks_path, pattern)
 
         def run(batch):
-            ids = [_encode(encoding, t) for t in batch["text"].to_pylist()]
+            ids = [_encode(encoding, t, pattern) for t in batch["text"].to_pylist()]
             return pa.RecordBatch.from_pydict(
                 {"doc_id": batch["doc_id"], "ids": pa.array(ids, pa.binary())}
             )
@@ -146,7 +177,7 @@ def encode(
                 if apart:  # the chunk's own text, to be put together again
                     out.append(text[:chunk].encode())
                 else:
-                    out.append(_encode(encoding, text[cut - start : None if until is None else until - start]))
+                    out.append(_encode(encoding, text[cut - start : None if until is None else until - start], pattern))
             return pa.RecordBatch.from_pydict(
                 {**{c: batch[c] for c in ("row", "doc_id", "chunk", "apart")}, "part": pa.array(out, pa.binary())}
             )
@@ -168,7 +199,7 @@ def encode(
             out = []
             for apart, parts in zip(batch["apart"].to_pylist(), batch["parts"].to_pylist()):
                 whole_part = b"".join(parts)
-                out.append(_encode(encoding, whole_part.decode()) if apart else whole_part)
+                out.append(_encode(encoding, whole_part.decode(), pattern) if apart else whole_part)
             return pa.RecordBatch.from_pydict(
                 {"doc_id": batch["doc_id"], "ids": pa.array(out, pa.binary())}
             )
@@ -204,4 +235,8 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
 def encoder(ranks_path: str, pattern: str = public_tokenizers.PATTERN):
     """For use in a task: gives the function from a whole text to its ids."""
-    return lambda: _encoding(ranks_path, pattern).encode_ordinary
+    def make():
+        encoding = _encoding(ranks_path, pattern)
+        return lambda text: encode_text(encoding, text, pattern)
+
+    return make

@@ -3,8 +3,8 @@
 Words are independent of each other there, so each distinct word is encoded once per process and
 remembered. The word end is written as a zero byte: with the merges of (byte, word end) ranked
 first, a plain byte-pair encoder over the file's merges gives the file's own ids. Texts with
-characters outside the Latin blocks, or with control characters, are given to the tokenizer
-library as they are.
+characters outside the Latin blocks, or with control characters, and texts that hold the string of an
+added token, are given to the tokenizer library as they are; it gives such a string the token's own id.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ class WordIds:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         special = {t["content"] for t in spec["added_tokens"]}
+        self.added = re.compile("|".join(map(re.escape, sorted(special))) or "(?!)", re.IGNORECASE).search
         of_char = _byte_alphabet()
         tokens = {}
         for token, number in spec["model"]["vocab"].items():
@@ -83,7 +84,6 @@ class WordIds:
             from tokenizers import Tokenizer
 
             self.library = Tokenizer.from_file(self.path)
-            self.library.encode_special_tokens = True
         return self.library.encode(text, add_special_tokens=False).ids
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
@@ -96,7 +96,7 @@ class WordIds:
         for text in texts:
             plain = text if text.isascii() else unicodedata.normalize("NFC", text)
             plain = plain.lower()
-            if self.unusual(text) or self.unusual(plain):
+            if self.unusual(text) or self.unusual(plain) or self.added(text):
                 codes.append(None)
             else:
                 codes.append(np.fromiter(map(look_up, self.split(plain)), dtype=np.int64))

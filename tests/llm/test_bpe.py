@@ -6,6 +6,7 @@ import random
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 
 from landrecon.llm import bpe, queries
 
@@ -38,6 +39,31 @@ def test_chunks_stitch_to_the_library_result(spark, chunk, overlap):
         assert bytes(r.decoded) == text.encode()
 
 
+def by_token(text):
+    """Ids by the definition: every match of the pattern singly."""
+    return [i for m in regex.finditer(P.PATTERN, text) for i in library()._encode_single_piece(m.group())]
+
+
+@pytest.mark.parametrize("most", [1, 3, 7, 40])
+def test_long_texts_are_cut_where_it_does_not_matter(most):
+    for text in filter(None, texts()):
+        assert bpe.encode_text(library(), text, P.PATTERN, most) == library().encode_ordinary(text) == by_token(text)
+
+
+def test_two_million_of_one_kind(spark):
+    """Runs on which the library's own pattern would exhaust the stack, within words and alone."""
+    kinds = [" ", "\n", "a", "7", "\n \t"]
+    long = [f"say don't {k * (2_000_000 // len(k))} b\n c" for k in kinds] + [" " * 2_000_000, "a" + " " * 1_200_000 + "b"]
+    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string").repartition(4)
+    got = bpe.decode(bpe.encode(docs, RANKS), RANKS).collect()
+    assert len(got) == len(long)
+    one = bpe.encoder(RANKS)()
+    for r in got:
+        ids = by_token(long[r.doc_id])
+        assert bytes(r.decoded) == long[r.doc_id].encode() and np.frombuffer(r.ids, "<u4").tolist() == ids
+        assert one(long[r.doc_id]) == ids
+
+
 def test_repeated_rows_stay_apart(spark):
     long = "some words here " * 20
     docs = spark.createDataFrame([(1, long), (1, long), (1, "b"), (1, "b"), (None, long)], "doc_id long, text string")

@@ -20,14 +20,13 @@ PATH = P.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 def test_ids_equal_the_library(spark, library):
     odd = [
         "", " \n\t ", "don't YOU'LL 12 a1b2", "Ünïcode Straße ΑΣΣ ﬁ İstanbul'll 12³½ Ⅷ 漢字", "é é é́",
-        "a\xa0b ​ zero\x00x \x1cq", "<|endoftext|> <|startoftext|>", "!!! ... '' ''' 's", "\x85 ª º µ ǅ", "K Å Ω",
+        "a\xa0b ​ zero\x00x \x1cq", "hello <|endoftext|> world", "<|startoftext|>a<|ENDOFTEXT|>b <|endoftext|", "<|endoftext|>", "!!! ... '' ''' 's", "\x85 ª º µ ǅ", "K Å Ω",
         "`~^´¨ §±×÷ ©®", "x" * 3000,
     ]
     rows = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(400).collect()]
