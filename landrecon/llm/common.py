@@ -114,3 +114,33 @@ def finite(vector: str) -> Column:
 def grid(vector: str, steps: int = 256) -> Column:
     """Components rounded down to whole steps, as long; those beyond its range become its ends."""
     return F.transform(vector, lambda v: F.floor(v.cast("double") * steps))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+# Elements of a block of a running result.
+SCAN_BLOCK = 512
+
+
+def scan(values: Column, join: Callable[[Column, Column], Column], kind: str = "int") -> Column:
+    """Running results over an array, of an associative ``join(value, what is before it or NULL)``. Made
+    in blocks, then over the blocks' last results, so that no long array grows element by element."""
+
+    def running(some: Column, of: Callable[[Column], Column] = lambda x: x) -> Column:
+        none = F.array().cast(f"array<{kind}>")
+        return F.aggregate(some, none, lambda acc, x: F.concat(acc, F.array(join(of(x), F.get(acc, F.size(acc) - 1)))))
+
+    def carried(blocks: Column) -> Column:
+        return let(
+            running(blocks, lambda b: F.element_at(b, -1)),
+            lambda ends: F.flatten(F.transform(blocks, lambda b, i: F.transform(b, lambda x: join(x, F.get(ends, i - 1))))),
+        )
+
+    def cut(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / SCAN_BLOCK).cast("int"))
+        return F.transform(starts, lambda b: running(F.slice(v, b * SCAN_BLOCK + 1, SCAN_BLOCK)))
+
+    return let(values, lambda v: F.when(F.size(v) > 0, let(cut(v), carried)).otherwise(v))

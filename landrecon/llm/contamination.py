@@ -21,10 +21,9 @@ makes hits but is on no list. Other columns are left out.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
+from landrecon.llm.common import let
 from landrecon.operators.lookups import attach
 from landrecon.session import stage
 from landrecon.sources.ids import number_rows
@@ -39,11 +38,6 @@ GRAM = 5
 LENGTHS = 1 << 10
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def words(text: str | Column) -> Column:
     """The lower-case words of a text; none of NULL."""
     lowered = F.translate(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), UPPER, LOWER)
