@@ -11,7 +11,7 @@ from landrecon.operators import filters, notes, rewrite
 from landrecon.operators.ranking import top_k
 from landrecon.plans.commons import ELIGIBLE_CLAMPED, ELIGIBLE_RECOMPUTED
 from landrecon.session import new_path, stage
-from landrecon.sources import ids, sinks, tables
+from landrecon.sources import ids, sinks, tables, versions
 from landrecon.sources.reference_lists import land_use_rank
 
 
@@ -46,11 +46,10 @@ def _(t):
 
 @query("S4_union_years", "SELECT claim_id, land_use, year FROM perm_raw")
 def _(t):
-    columns = ["claim_id", "land_use"]
+    """Yearly folders read in one scan, the year from the folder's name."""
     path = new_path(t.spark, "deliveries")
-    sinks.publish(t.perm_raw.select(*columns, "year"), path, ("year",))
-    years = [r["year"] for r in t.perm_raw.select("year").distinct().collect()]
-    return tables.union_years({y: tables.load(t.spark, f"{path}/year={y}") for y in years})
+    t.perm_raw.select("claim_id", "land_use", "year").write.partitionBy("year").parquet(path)
+    return tables.yearly(t.spark, path, "claim_id string, land_use string")
 
 
 @query("S5_stage", "SELECT hapar_id, year, count(*) AS n FROM seas_raw GROUP BY ALL", big="n")
@@ -60,8 +59,20 @@ def _(t):
 
 @query("S6_publish", "SELECT claim_id, land_use_area, year FROM perm", double="land_use_area")
 def _(t):
+    """A table that was published before, with other rows."""
     path = new_path(t.spark, "published")
-    return sinks.publish(t.perm.select("claim_id", "land_use_area", "year"), path, ("year",))
+    sinks.publish(t.perm_parcel.select("claim_id", "land_use_area", "year"), path)
+    return sinks.publish(t.perm.select("claim_id", "land_use_area", "year"), path)
+
+
+@query("S6_versions", """SELECT 1 AS version, claim_id FROM perm_clean UNION ALL SELECT 2, claim_id FROM perm_clean WHERE land_use = 'PGRS'""")
+def _(t):
+    """Both versions of a table whose second is made from its first."""
+    path = new_path(t.spark, "published")
+    first = sinks.publish(t.perm_clean.select("claim_id", "land_use"), path)
+    sinks.publish(first.filter("land_use = 'PGRS'"), path)
+    both = [versions.read(t.spark, path, n).select(F.lit(n).alias("version"), "claim_id") for n in (1, 2)]
+    return both[0].unionByName(both[1])
 
 
 @query("S7_append_rows",
@@ -71,12 +82,15 @@ def _(t):
     return sinks.append_rows(base, t.seas.select("claim_id", "land_use", "habus_id"))
 
 
-@query("S7_append_table", "SELECT claim_id, land_use FROM perm UNION ALL SELECT claim_id, land_use FROM seas")
+@query("S7_append_table",
+       "SELECT claim_id, land_use, NULL AS habus_id FROM perm UNION ALL SELECT claim_id, land_use, habus_id FROM seas")
 def _(t):
+    """The second batch is retried, and brings a column that the table lacked."""
     path = new_path(t.spark, "appended")
-    sinks.publish(t.perm.select("claim_id", "land_use"), path)
-    sinks.append_table(t.seas.select("claim_id", "land_use"), path)
-    return tables.load(t.spark, path)
+    sinks.append_table(t.perm.select("claim_id", "land_use"), path, "owners")
+    for _ in range(2):
+        sinks.append_table(t.seas.select("claim_id", "land_use", "habus_id"), path, "renters")
+    return versions.read(t.spark, path)
 
 
 @query("S8_export_keys", "SELECT DISTINCT hapar_id FROM perm_raw WHERE year = 2000")
@@ -92,6 +106,26 @@ def _(t):
     return ids.surrogate_ids(t.perm_raw.select("claim_id", "habus_id", "hahol_id"), ["habus_id", "hahol_id"])[0]
 
 
+def _delivered_sql(column: str) -> str:
+    """Ids of two deliveries: the first one's values in order, then the second's new ones in order."""
+    return f"""SELECT v, row_number() OVER (ORDER BY later, v) AS id FROM (
+        SELECT {column} AS v, min(CAST(year > 1996 AS INT)) AS later FROM perm_raw WHERE {column} IS NOT NULL GROUP BY {column})"""
+
+
+@query("S9_stable_ids",
+       f"""SELECT claim_id, year, h.id AS habus_id, p.id AS hapar_id FROM perm_raw
+           LEFT JOIN ({_delivered_sql("habus_id")}) h ON h.v = habus_id LEFT JOIN ({_delivered_sql("hapar_id")}) p ON p.v = hapar_id""",
+       big="habus_id hapar_id")
+def _(t):
+    """Two deliveries against stored link tables; the second leaves the first one's ids as they are."""
+    folder, columns = new_path(t.spark, "links"), ["habus_id", "hapar_id"]
+    rows = t.perm_raw.select("claim_id", "year", *columns)
+    first, second = rows.filter("year <= 1996"), rows.filter("year > 1996")
+    early = ids.delivered_ids(first, columns, folder, "first")
+    late = ids.delivered_ids(second, columns, folder, "second")
+    return early.unionByName(late)
+
+
 # ------------------------------------------------------------------------------ rewrites
 @query("P1_prefix_side",
        "SELECT claim_id, land_parcel_area AS owner_land_parcel_area, land_use AS owner_land_use, year FROM perm",

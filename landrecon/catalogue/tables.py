@@ -11,7 +11,7 @@ from landrecon.functions.arrays import array_text
 from landrecon.functions.rings import rect_ring
 from landrecon.operators.rewrite import one_sided
 from landrecon.plans import clean, commons, flags, reconcile
-from landrecon.session import stage, tune
+from landrecon.session import ON_DROP, listing, stage, tune
 from landrecon.sources.reference_lists import excluded_land_uses, land_use_rank
 
 
@@ -33,7 +33,7 @@ def plain(df: DataFrame) -> DataFrame:
 class Tables:
     """The given tables and all domain tables derived from them."""
 
-    _known: dict[tuple[str, int, str], "Tables"] = {}
+    _known: dict[tuple, "Tables"] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
@@ -41,8 +41,9 @@ class Tables:
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Tables":
-        """The same tables for the same session and folder, so that stages are shared."""
-        key = (spark.sparkContext.applicationId, id(spark), folder.rstrip("/"))
+        """The same tables for the same session, folder and files in it, so that stages are shared. They
+        are forgotten when the stages are dropped."""
+        key = (spark.sparkContext.applicationId, id(spark), folder.rstrip("/"), listing(spark, folder))
         if key not in cls._known:
             cls._known[key] = cls(spark, folder)
         return cls._known[key]
@@ -184,3 +185,6 @@ class Tables:
     @cached_property
     def linked(self) -> tuple[DataFrame, DataFrame]:
         return commons.cross_link(self.flagged, self.commons, self.detail)
+
+
+ON_DROP.append(Tables._known.clear)

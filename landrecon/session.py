@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Called when stages are dropped, by whoever keeps frames that read them.
+ON_DROP: list[Callable[[], None]] = []
+
+
 def build_session(cores: str = "*", app: str = "landrecon", memory: str = "8g") -> SparkSession:
     """Local session for tests and benchmarks; a cluster brings its own."""
     spark = (
@@ -38,19 +44,36 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in spark.checkpoint.dir, else the
-    session's warehouse, which all executors share as well."""
+    session's warehouse. A warehouse on the machine's own disk will do only where driver and executors
+    are one process; on a cluster the executors could not read each other's files there."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    one_process = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+    if not one_process and at_path(spark, warehouse)[1].getUri().getScheme() == "file":
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder; {warehouse} is each machine's own")
+    return warehouse
 
 
-def _at(spark: SparkSession, folder: str):
+def at_path(spark: SparkSession, folder: str):
     """A Hadoop path and the file system that has it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def listing(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of a folder's files and of the files of its sub-folders."""
+    path, files = at_path(spark, folder)
+    found = []
+    for status in files.listStatus(path):
+        own = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in own]
+    return tuple(sorted(found))
+
+
 def stages_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/landrecon-{spark.sparkContext.applicationId}"
 
@@ -59,7 +82,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     """An unused path in the shared folder, below one folder per application, which goes when the
     application ends."""
     folder = stages_dir(spark)
-    path, files = _at(spark, folder)
+    path, files = at_path(spark, folder)
     files.mkdirs(path)
     files.deleteOnExit(path)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
@@ -67,8 +90,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def drop_stages(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application; frames that read them are no longer valid."""
-    path, files = _at(spark, stages_dir(spark))
+    path, files = at_path(spark, stages_dir(spark))
     files.delete(path, True)
+    for forget in ON_DROP:
+        forget()
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

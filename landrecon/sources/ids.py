@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from landrecon.operators.lookups import attach
 from landrecon.session import stage
+from landrecon.sources import versions
 
 BLOCK = 1_000_000
 
@@ -66,21 +68,52 @@ def prefix_id(col: Column, prefix: str) -> Column:
     return F.when(text.contains(prefix), text).otherwise(F.concat(F.lit(prefix), text))
 
 
+def extended_link(values: DataFrame, column: str, known: DataFrame | None = None) -> DataFrame:
+    """The link table (value, surrogate_id) with new values added: known values keep their ids, new
+    ones get the numbers after the largest, in their own order. NULL has no id.
+
+    Only the new values are sorted; the known ones are looked up.
+    """
+    distinct = values.select(column).filter(F.col(column).isNotNull()).distinct()
+    if known is None:
+        return number_rows(distinct, [column], "surrogate_id")
+    new = number_rows(attach(distinct, known.select(column), [column], "left_anti"), [column], "surrogate_id")
+    last = F.coalesce(known.agg(F.max("surrogate_id")).scalar(), F.lit(0))
+    return known.select(column, "surrogate_id").unionByName(new.select(column, (F.col("surrogate_id") + last).alias("surrogate_id")))
+
+
+def _replaced(df: DataFrame, column: str, link: DataFrame) -> DataFrame:
+    joined = attach(df, link, [column])
+    return joined.select(*[F.col("surrogate_id").alias(c) if c == column else F.col(c) for c in df.columns])
+
+
 def surrogate_ids(
-    df: DataFrame, columns: list[str], link: str = "link"
+    df: DataFrame, columns: list[str], link: str = "link", known: dict[str, DataFrame] | None = None
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Replace private values by incrementing integers and return the link table per column.
 
-    NULL stays NULL. The link tables are written once and used for both results.
+    NULL stays NULL. ``known`` has the link tables of earlier deliveries, whose ids stay. The link
+    tables are written once and used for both results.
     """
     links = {}
     for column in columns:
-        values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-        numbered = stage(number_rows(values, [column], "surrogate_id"), link)
-        links[column] = numbered
-        df = (
-            df.join(numbered, column, "left")
-            .withColumn(column, F.col("surrogate_id"))
-            .drop("surrogate_id")
-        )
+        links[column] = stage(extended_link(df, column, (known or {}).get(column)), link)
+        df = _replaced(df, column, links[column])
     return df, links
+
+
+def delivered_ids(df: DataFrame, columns: list[str], folder: str, batch: str) -> DataFrame:
+    """The same against link tables kept in a folder, one versioned table a column. They are extended
+    by the delivery's new values in one commit each; the same batch again finds its values known."""
+    spark = df.sparkSession
+    for column in columns:
+        path = f"{folder}/{column}"
+        seen = versions.current(spark, path)
+        if seen is None or batch not in seen.batches:
+            known = None if seen is None else versions.read(spark, path)
+            extended = extended_link(df, column, known)
+            new = extended if known is None else attach(extended, known.select(column), [column], "left_anti")
+            versions.append(new, path, batch)
+        link = versions.read(spark, path)
+        df = _replaced(df, column, link)
+    return df

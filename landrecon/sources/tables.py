@@ -49,3 +49,9 @@ def union_years(deliveries: dict[int, DataFrame]) -> DataFrame:
     """One table from yearly deliveries, each tagged with its year."""
     tagged = [df.withColumn("year", F.lit(year)) for year, df in sorted(deliveries.items())]
     return reduce(DataFrame.unionByName, tagged)
+
+
+def yearly(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """All deliveries below ``path``, one folder ``year=...`` each, in one scan; a filter on the year
+    opens its folder only."""
+    return spark.read.schema(f"{columns}, year int").parquet(path)
