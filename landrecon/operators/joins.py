@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landrecon.operators.lookups import attach
-from landrecon.session import stage
+from landrecon.session import layout, stage
 
 # A key that makes more pairs than this is split over several tasks.
 HOT_PAIRS = 100_000_000
@@ -21,8 +21,11 @@ def pair_join(
 
     A key of more than ``hot_pairs`` pairs is cut into slices by a hash of the row id, so that
     about ``hot_pairs`` of its pairs fall into one cell; every left slice meets every right slice
-    exactly once. The list of hot keys is written once and joined like any lookup.
+    exactly once. The list of hot keys is written once and joined like any lookup. Rows that lie by
+    one of the keys, with the hot ones set apart, are joined where they lie.
     """
+    if layout(keys) is not None:
+        return left.join(right, keys)
     size = F.count(F.lit(1))
     edge = int(hot_pairs**0.5) or 1
     slices = {

@@ -8,13 +8,19 @@ sides of the join come straight out of a shuffle. A lookup that was grouped by t
 would not: its rows already lie where the join wants them. All joins with lookups therefore
 carry one more key, ``_lane``, which is always 0 and only makes the lookup, the small side,
 take a shuffle of its own. A lookup that turns out small is broadcast by its measured size.
+
+Rows that have been laid out by a key beforehand (``session.co_located``), with the hot keys set
+apart, need neither the lane nor a shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landrecon.operators.notes import noted
+from landrecon.session import layout
 
 
 def _with_lane(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -25,7 +31,10 @@ def attach(
     detail: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
     """Join a lookup that has at most one row per key (any number for semi- and anti-joins).
-    ``null_safe`` lets NULL keys match."""
+    ``null_safe`` lets NULL keys match. Where both sides lie by one of the keys, and no key is too
+    large for a task, the join takes them as they lie."""
+    if layout(keys) is not None:
+        return _attach_in_place(detail, lookup, keys, how, null_safe)
     left, right = _with_lane(detail, keys), _with_lane(lookup, keys)
     if not null_safe:
         return left.join(right, [*keys, "_lane"], how).drop("_lane")
@@ -39,6 +48,14 @@ def attach(
     return left.join(marked, cond, how).drop("_lane", *extra)
 
 
+def _attach_in_place(detail: DataFrame, lookup: DataFrame, keys: list[str], how: str, null_safe: bool) -> DataFrame:
+    if not null_safe:
+        return detail.join(lookup, keys, how)
+    marked = lookup.select([F.col(c).alias(f"_key_{c}" if c in keys else c) for c in lookup.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return detail.join(marked, cond, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def with_totals(
     df: DataFrame, keys: list[str], aggs: dict[str, Column], null_safe: bool = True
 ) -> DataFrame:

@@ -89,16 +89,18 @@ def tiered_match(
         pairs = _one_round(left, right, tiers_here, shared, row_id, hot_pairs)
         if i + 1 < len(rounds):
             pairs = stage(pairs, "pairs")
-            left = remove_matched(left, pairs, row_id, "owner")
-            right = remove_matched(right, pairs, row_id, "user")
+            left = remove_matched(left, pairs, row_id, "owner", tuple(shared))
+            right = remove_matched(right, pairs, row_id, "user", tuple(shared))
         found = pairs if found is None else found.unionByName(pairs)
     return found
 
 
-def remove_matched(pool: DataFrame, pairs: DataFrame, row_id: str, side: str) -> DataFrame:
-    """The rows of a pool that are in no pair."""
-    used = pairs.select(F.col(f"{side}_{row_id}").alias(row_id))
-    return anti(pool, used, [row_id])
+def remove_matched(
+    pool: DataFrame, pairs: DataFrame, row_id: str, side: str, within: tuple[str, ...] = ()
+) -> DataFrame:
+    """The rows of a pool that are in no pair. ``within`` names keys that a row and its pairs share."""
+    used = pairs.select(*within, F.col(f"{side}_{row_id}").alias(row_id))
+    return anti(pool, used, [*within, row_id])
 
 
 def prune_pairs(pairs: DataFrame, tier: int, rule: Column) -> DataFrame:

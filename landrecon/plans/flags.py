@@ -13,6 +13,7 @@ from landrecon.operators.lookups import attach
 from landrecon.operators.notes import noted_all
 from landrecon.operators.rewrite import add_null_col
 from landrecon.plans.reconcile import EXCLUDED
+from landrecon.session import layout
 
 PARCEL_YEAR = ["hapar_id", "year"]
 SEPARATOR = ", "
@@ -105,9 +106,12 @@ def flag_errors(
     if FROM_PAIRS & set(wanted):
         lookups.append(pair_flags(pairs, wanted))
     if lookups:
-        # Both are grouped by the same keys, so joining them first takes no further shuffle.
-        together = reduce(lambda a, b: a.join(b, PARCEL_YEAR, "full"), lookups)
-        marked = attach(marked, together, PARCEL_YEAR)
+        # Both are grouped by the same keys, so joining them first takes no further shuffle; where the
+        # detail lies by the parcel as well, it meets them one by one.
+        if layout(PARCEL_YEAR) is None:
+            lookups = [reduce(lambda a, b: a.join(b, PARCEL_YEAR, "full"), lookups)]
+        for lookup in lookups:
+            marked = attach(marked, lookup, PARCEL_YEAR)
     for flag, (side, part, limit) in CLAIM_LIMITS.items():
         if flag not in wanted:
             continue

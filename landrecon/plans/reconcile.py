@@ -90,8 +90,8 @@ def match_owners_renters(
     )
     return (
         pairs,
-        remove_matched(owners.select(*kept), pairs, "claim_id", "owner"),
-        remove_matched(renters.select(*kept), pairs, "claim_id", "user"),
+        remove_matched(owners.select(*kept), pairs, "claim_id", "owner", ("hapar_id", "year")),
+        remove_matched(renters.select(*kept), pairs, "claim_id", "user", ("hapar_id", "year")),
     )
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,10 +95,53 @@ def drop_stages(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application; frames that read them are no longer valid."""
     path, files = at_path(spark, stages_dir(spark))
     files.delete(path, True)
+    for table in spark.catalog.listTables():
+        if re.fullmatch("stage_[0-9a-f]{32}", table.name):
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
     for forget in ON_DROP:
         forget()
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Rows of a key lie together: in one of so many buckets of every stage."""
+
+    key: str
+    buckets: int
+
+
+_layout: ContextVar[Layout | None] = ContextVar("layout", default=None)
+# A join on more columns than the layout's key may use the layout as it is.
+SUBSET = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def layout(keys: Iterable[str]) -> Layout | None:
+    """The layout in force, if it keeps rows with equal keys together."""
+    at = _layout.get()
+    return at if at is not None and at.key in keys else None
+
+
+@contextmanager
+def co_located(spark: SparkSession, key: str, buckets: int):
+    """Within this block stages are bucketed by ``key``, and lookups and pair joins whose keys include
+    it take the rows where they lie. No key may be too large for a task. What the block computes has to
+    be staged in it. Rows enter by ``deal``."""
+    before = spark.conf.get(SUBSET)
+    spark.conf.set(SUBSET, "false")
+    token = _layout.set(Layout(key, buckets))
+    try:
+        yield
+    finally:
+        _layout.reset(token)
+        spark.conf.set(SUBSET, before)
+
+
+def deal(df: DataFrame, name: str = "dealt") -> DataFrame:
+    """Lay rows out as the layout in force says: their one shuffle."""
+    at = _layout.get()
+    return stage(df.repartition(at.buckets, at.key), name)
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write an intermediate result as Parquet and read it back.
 
@@ -103,5 +149,11 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     chain, later steps keep column pruning, and the planner sees true sizes.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at = layout(df.columns)
+    if at is None:
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Only tables of the catalogue have buckets; the files lie in the shared folder all the same.
+    table = f"stage_{path.rsplit('-', 1)[1]}"
+    df.write.bucketBy(at.buckets, at.key).option("path", path).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
