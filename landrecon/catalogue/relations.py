@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from landrecon.catalogue import derive
 from landrecon.catalogue.registry import query
-from landrecon.functions.rings import area_hectares
+from landrecon.functions.rings import area_hectares, point, rect_ring
 from landrecon.operators import aggregates, joins, lookups, matching, ranking, setops, spatial
 from landrecon.plans import commons, largest_use, reconcile
+from landrecon.session import stage
 
 PY = ["hapar_id", "year"]
 FOUR = [*PY, "land_use", "land_use_area"]
@@ -542,3 +544,71 @@ def _(t):
     sums = per_parcel.groupBy("property").agg(n_rows().alias("n_parcels"), F.sum("area_overlap").alias("o"))
     share = F.try_divide(F.col("o"), F.col("whole")) * 100
     return sums.join(whole, "property").select("property", "n_parcels", F.round("o", 6).alias("overlap"), F.round(share, 9).alias("percent"))
+
+
+def _common_sql(a: str, b: str) -> str:
+    """Common area of two boxes, each given by four expressions."""
+    (ax0, ay0, ax1, ay1), (bx0, by0, bx1, by1) = a.split("|"), b.split("|")
+    return (f"greatest(least({ax1}, {bx1}) - greatest({ax0}, {bx0}), 0) * greatest(least({ay1}, {by1}) - greatest({ay0}, {by0}), 0)")
+
+
+_ESTATE, _NOTCH, _POND = "o.x0|o.y0|o.x1|o.y1", "o.x0 + 100|o.y0 + 120|o.x1|o.y1", "o.x0 + 20|o.y0 + 30|o.x0 + 60|o.y0 + 90"
+_FIELD, _CORNER = "p.x0|p.y0|p.x1|p.y1", "(p.x0 + p.x1) / 2|p.y0 + 5|p.x1|p.y1"
+_SHAPED_OVERLAP = " + ".join(f"{sign} * {_common_sql(a, b)}" for sign, a, b in (
+    (1, _ESTATE, _FIELD), (-1, _NOTCH, _FIELD), (-1, _POND, _FIELD), (-1, _ESTATE, _CORNER), (1, _NOTCH, _CORNER), (1, _POND, _CORNER)))
+
+
+@query("G3_overlap_polygons",
+       f"""SELECT * FROM (SELECT o.property, p.hapar_id,
+               round(((o.x1 - o.x0) * (o.y1 - o.y0) - (o.x1 - o.x0 - 100) * (o.y1 - o.y0 - 120) - 40 * 60) * 0.0001, 8) AS area_a,
+               round(((p.x1 - p.x0) * (p.y1 - p.y0) - (p.x1 - p.x0) / 2 * (p.y1 - p.y0 - 5)) * 0.0001, 8) AS area_b,
+               round(({_SHAPED_OVERLAP}) * 0.0001, 8) AS area_overlap
+             FROM property_shape o JOIN parcel_shape p ON o.x0 <= p.x1 AND p.x0 <= o.x1 AND o.y0 <= p.y1 AND p.y0 <= o.y1)
+           WHERE area_overlap > 0""")
+def _(t):
+    """L-shaped properties with a pond in them against L-shaped fields."""
+
+    def corner(x, y):
+        return point(F.expr(x), F.expr(y))
+
+    def el(x, y):
+        """A box without its upper right corner, from (x, y) on."""
+        return F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", y), corner(x, y), corner(x, "y1"), corner("x0", "y1"))
+
+    pond = rect_ring(*[F.expr(e) for e in ("x0 + 20", "y0 + 30", "x0 + 60", "y0 + 90")])
+    estates = t._derived("supplier", derive.PROPERTY_SHAPE).select("property", F.array(el("x0 + 100", "y0 + 120"), pond).alias("rings"))
+    fields = t._derived("part", derive.PARCEL_SHAPE).select("hapar_id", F.array(F.reverse(el("(x0 + x1) / 2", "y0 + 5"))).alias("rings"))
+    found = spatial.polygon_overlap_join(estates, fields, "property", "hapar_id", 100.0).filter("area_overlap > 0")
+    areas = [F.round(c, 8).alias(c) for c in ("area_a", "area_b", "area_overlap")]
+    return found.select(F.col("key_a").alias("property"), F.col("key_b").alias("hapar_id"), *areas).filter("area_overlap > 0")
+
+
+# Properties whose parts reach 120 m further and so into each other, and the cells that they cover.
+WIDE_PROPERTY = {**derive.PROPERTY_SHAPE, "x1": f"{derive.PROPERTY_SHAPE['x1']} + 120"}
+_LINES = "SELECT property, {0}, lead({0}) OVER (PARTITION BY property ORDER BY {0}) AS {1} FROM (SELECT property, {2}0 AS {0} FROM wide UNION SELECT property, {2}1 FROM wide)"
+DISSOLVED_SQL = f"""
+WITH wide AS (SELECT {derive.select_list(WIDE_PROPERTY)} FROM supplier)
+SELECT DISTINCT property, l AS x0, b AS y0, r AS x1, t AS y1 FROM ({_LINES.format("l", "r", "x")}) JOIN ({_LINES.format("b", "t", "y")}) USING (property)
+JOIN wide USING (property) WHERE wide.x0 <= l AND r <= wide.x1 AND wide.y0 <= b AND t <= wide.y1"""
+
+
+def wide_property(t):
+    return t._ringed(t._derived("supplier", WIDE_PROPERTY))
+
+
+@query("G4_dissolved_rollup",
+       f"""WITH cells AS ({DISSOLVED_SQL}),
+           met AS (SELECT o.property, p.hapar_id, sum({_common_sql("o.x0|o.y0|o.x1|o.y1", "p.x0|p.y0|p.x1|p.y1")}) * 0.0001 AS area
+                   FROM cells o JOIN parcel_shape p ON o.x0 < p.x1 AND p.x0 < o.x1 AND o.y0 < p.y1 AND p.y0 < o.y1 GROUP BY ALL)
+           SELECT property, round(whole, 6) AS whole, coalesce(n_parcels, 0) AS n_parcels, round(coalesce(area, 0), 6) AS overlap
+           FROM (SELECT property, sum((x1 - x0) * (y1 - y0)) * 0.0001 AS whole FROM cells GROUP BY property)
+           LEFT JOIN (SELECT property, count(*) AS n_parcels, sum(area) AS area FROM met GROUP BY property) USING (property)""", big="n_parcels")
+def _(t):
+    """Area and overlap of what a property's parts cover together."""
+    whole = stage(spatial.dissolve_rectangles(wide_property(t), ["property"], 100.0), "dissolved")
+    found = spatial.overlap_join(whole, t.parcel_shape, "property", "hapar_id", 100.0, rectangles=True).filter("area_overlap > 0")
+    per_parcel = found.groupBy(F.col("key_a").alias("property"), "key_b").agg(F.sum("area_overlap").alias("o"))
+    sums = per_parcel.groupBy("property").agg(n_rows().alias("n_parcels"), F.sum("o").alias("o"))
+    areas = aggregates.holding_area(whole, ["property"], name="whole")
+    return lookups.attach(areas, sums, ["property"]).select(
+        "property", F.round("whole", 6).alias("whole"), F.coalesce("n_parcels", F.lit(0)).alias("n_parcels"), F.round(F.coalesce("o", F.lit(0.0)), 6).alias("overlap"))

@@ -96,3 +96,24 @@ def clip_convex(subject: Column, clip: Column) -> Column:
         return F.flatten(F.transform(steps, corner))
 
     return F.aggregate(edges, subject, keep_left)
+
+
+def edges_of(ring: Column) -> Column:
+    """The edges as (p, q) structs."""
+    return F.zip_with(ring, _next_corners(ring), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+
+def segments_meet(a: Column, b: Column) -> Column:
+    """Whether two edges cross, touch or overlap."""
+
+    def turn(o: Column, p: Column, q: Column) -> Column:
+        return F.signum((p["x"] - o["x"]) * (q["y"] - o["y"]) - (p["y"] - o["y"]) * (q["x"] - o["x"]))
+
+    def boxes_meet(axis: str) -> Column:
+        low = F.greatest(F.least(a["p"][axis], a["q"][axis]), F.least(b["p"][axis], b["q"][axis]))
+        high = F.least(F.greatest(a["p"][axis], a["q"][axis]), F.greatest(b["p"][axis], b["q"][axis]))
+        return low <= high
+
+    apart_b = turn(a["p"], a["q"], b["p"]) * turn(a["p"], a["q"], b["q"]) <= 0
+    apart_a = turn(b["p"], b["q"], a["p"]) * turn(b["p"], b["q"], a["q"]) <= 0
+    return boxes_meet("x") & boxes_meet("y") & apart_a & apart_b

@@ -8,7 +8,7 @@ from landrecon.functions.numbers import percent
 from landrecon.operators.aggregates import holding_area, sum_if
 from landrecon.operators.joins import not_in
 from landrecon.operators.lookups import attach
-from landrecon.operators.spatial import overlap_join
+from landrecon.operators.spatial import dissolve_rectangles, overlap_join
 from landrecon.session import stage
 
 SIDES = ("owner", "user")
@@ -59,12 +59,15 @@ def ownership_per_parcel(
 
 def property_overlay(
     fields: DataFrame, properties: DataFrame, ownership: DataFrame, cell: float,
-    rectangles: bool = False,
+    rectangles: bool = False, dissolve: bool = False,
 ) -> DataFrame:
     """Each property's overlap with each parcel, beside the parcel's ownership.
 
-    The parts of a property are overlaid one by one and added up per parcel.
+    The parts of a property are overlaid one by one and added up per parcel. ``dissolve`` is for
+    rectangular parts that may overlap each other: what they cover together counts once.
     """
+    if dissolve:
+        properties = stage(dissolve_rectangles(properties, ["property"], cell), "dissolved")
     overlaps = overlap_join(properties, fields, "property", "hapar_id", cell, rectangles=rectangles)
     areas = (
         overlaps.groupBy(F.col("key_a").alias("property"), F.col("key_b").alias("hapar_id"))
@@ -113,8 +116,8 @@ def property_rollup(overlay: DataFrame, businesses: DataFrame) -> DataFrame:
 
 def property_report(
     fields: DataFrame, properties: DataFrame, ownership: DataFrame, businesses: DataFrame, cell: float,
-    rectangles: bool = False,
+    rectangles: bool = False, dissolve: bool = False,
 ) -> DataFrame:
     """The overlay is made once and written, since areas and businesses both read it."""
-    overlay = stage(property_overlay(fields, properties, ownership, cell, rectangles), "overlay")
+    overlay = stage(property_overlay(fields, properties, ownership, cell, rectangles, dissolve), "overlay")
     return property_rollup(overlay, businesses)
