@@ -11,6 +11,8 @@ from landrecon.catalogue.tables import Tables, plain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# The checking SQL without the tables that it starts from, for use in other queries' SQL.
+BODIES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None, double: str = "", big: str = ""):
@@ -28,6 +30,7 @@ def query(name: str, sql: str | None = None, double: str = "", big: str = ""):
             casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in double.split()]
             casts += [f"CAST({c} AS BIGINT) AS {c}" for c in big.split()]
             body = f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})" if casts else sql
+            BODIES[name] = body
             ORACLES[name] = with_prelude(body)
         return fn
 
