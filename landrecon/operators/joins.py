@@ -120,14 +120,38 @@ def other_party_join(
 ) -> DataFrame:
     """Rows beside the flagged rows of another party with the same keys.
 
-    The condition selects the flagged rows before the join; they carry the prefix ``other_``.
-    Rows with the same ``row_id`` stay together where a hot key is split.
+    The condition selects the flagged rows; they carry the prefix ``other_``. One summary per key, of
+    the parties and of the numbers of rows, tells which keys can have a pair at all, which rows find
+    none but their own party's flagged rows, and which keys are hot: these are laid out as a grid, as
+    in ``pair_join``. Rows with the same ``row_id`` stay together there.
     """
-    flagged = df.filter(cond).select(
-        *keys, *[F.col(c).alias(f"other_{c}") for c in df.columns if c not in keys]
-    )
-    pairs = pair_join(df, flagged, keys, row_id, f"other_{row_id}", hot_pairs)
-    return pairs.filter(F.col(party) != F.col(f"other_{party}"))
+    flagged = F.coalesce(cond, F.lit(False))
+    edge = int(hot_pairs**0.5) or 1
+    rows, marked = F.col("_nl"), F.col("_nr")
+    hot = rows.cast("double") * marked > hot_pairs
+    slices = {
+        "_rs": F.when(hot, F.ceil(marked / edge)).otherwise(1),
+        "_ls": F.when(hot, F.ceil(rows * F.least(marked, F.lit(edge)) / F.lit(edge * edge))).otherwise(1),
+    }
+    summary = (
+        df.groupBy(*keys).agg(
+            F.min(party).alias("_a"), F.max(party).alias("_b"), F.count(F.lit(1)).alias("_nl"), F.count(F.when(flagged, 1)).alias("_nr"),
+            F.min(F.when(flagged, F.col(party))).alias("_fa"), F.max(F.when(flagged, F.col(party))).alias("_fb"),
+        )
+        .filter("_fa IS NOT NULL AND _a <> _b")
+        .select(*keys, "_fa", "_fb", *[n.cast("int").alias(c) for c, n in slices.items()])
+    )
+    able = attach(df, summary, keys, "inner")
+
+    def spread(side: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
+        placed = side.withColumn(mine, F.pmod(F.xxhash64(row_id), F.col(own)).cast("int"))
+        return placed.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("_ls", "_rs", "_fa", "_fb")
+
+    left = spread(able.filter((F.col(party) != F.col("_fa")) | (F.col(party) != F.col("_fb"))), "_ls", "_rs", "_l", "_r")
+    right = spread(able.filter(cond), "_rs", "_ls", "_r", "_l")
+    on = [*keys, "_l", "_r"]
+    named = right.select(*on, *[F.col(c).alias(f"other_{c}") for c in df.columns if c not in keys])
+    return left.join(named, on).filter(F.col(party) != F.col(f"other_{party}")).drop("_l", "_r")
 
 
 def same_total_diff_count(

@@ -72,3 +72,18 @@ def test_best_pair_of_a_hot_claim(spark, rows):
         F.when(F.col("id") == 7, 1).otherwise(4).alias("tier"), F.lit("Y").alias("owner_land_leased_out"),
     )
     assert rows(matching.drop_weaker_pairs(pairs), "claim_id") == [("P7, S1",)]
+
+
+def test_other_parties_of_a_hot_key_in_slices(spark, rows):
+    """A third of the rows share one key; a grid of small cells gives what one cell gives."""
+    df = spark.range(900).selectExpr(
+        "IF(id % 3 = 0, 1, id) AS k", "CAST(id AS string) AS row", "IF(id % 7 = 0, NULL, id % 4) AS party", "id % 5 = 0 AS flag"
+    )
+    data = df.collect()
+    want = [
+        (a.k, a.row, b.row) for a in data for b in data
+        if a.k == b.k and b.flag and a.party is not None and b.party is not None and a.party != b.party
+    ]
+    for hot_pairs in (10**8, 500, 7):
+        out = joins.other_party_join(df, ["k"], "party", F.col("flag"), "row", hot_pairs)
+        assert rows(out, "k", "row", "other_row") == sorted(want, key=lambda r: [(v is None, str(v)) for v in r]), hot_pairs
