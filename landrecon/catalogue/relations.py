@@ -303,6 +303,25 @@ def _(t):
     return aggregates.value_copies(t.perm, PY, "land_leased_out")
 
 
+def _chunks_sql(source: str, keys: str, value: str, order: str, size: int) -> str:
+    return f"""SELECT {keys}, CAST(c AS BIGINT) AS chunk, array_to_string(v[c * {size} + 1 : (c + 1) * {size}], ', ') AS values
+        FROM (SELECT *, unnest(range(0, CAST(ceil(len(v) / {size}.0) AS BIGINT))) AS c
+              FROM (SELECT {keys}, list({value} ORDER BY {order}) AS v FROM {source} WHERE {value} IS NOT NULL GROUP BY {keys}))"""
+
+
+@query("A6_text_chunks", _chunks_sql("perm", "land_use", "claim_id", "year, claim_id", 50))
+def _(t):
+    """The claims of each land use by year, as texts of at most 50 of them."""
+    return aggregates.text_chunks(t.perm, ["land_use"], "claim_id", ["year", "claim_id"], ", ", size=50)
+
+
+@query("A8_ordered_chunks", _chunks_sql("seas", "hapar_id", "land_use", "land_use", 3))
+def _(t):
+    """The land uses of each parcel in order with their copies, in lists of three."""
+    listed = aggregates.ordered_chunks(t.seas, ["hapar_id"], "land_use", ["land_use"], size=3)
+    return listed.select("hapar_id", "chunk", F.array_join("values", ", ").alias("values"))
+
+
 @query("A7_array_agg_distinct",
        "SELECT DISTINCT hapar_id, hahol_id FROM perm WHERE hahol_id IS NOT NULL")
 def _(t):

@@ -178,6 +178,12 @@ class Tables:
         done, members = commons.clean_commons(self.commons_built)
         return stage(done), stage(members)
 
+    @cached_property
+    def commons_logged(self) -> DataFrame:
+        """The cleaned commons with their change log."""
+        built = stage(commons.build_commons(self.share, self.lpid, self.grazing_shape, log=True))
+        return stage(commons.clean_commons(built)[0])
+
     @property
     def commons(self) -> DataFrame:
         return self.commons_cleaned[0]

@@ -8,6 +8,8 @@ from landrecon.functions.numbers import percent
 from landrecon.functions.rings import area_hectares
 from landrecon.functions.text import pg_concat
 from landrecon.operators.lookups import attach
+from landrecon.session import stage
+from landrecon.sources.ids import number_rows
 
 
 def group_agg(
@@ -36,6 +38,31 @@ def value_copies(df: DataFrame, keys: list[str], col: str, name: str = "copies")
     return known.groupBy(*keys, col).agg(F.count(F.lit(1)).alias(name))
 
 
+def ordered_chunks(
+    df: DataFrame, keys: list[str], value: str, order_by: list[str], size: int = 10_000, chunk: str = "chunk", name: str = "values"
+) -> DataFrame:
+    """The known values of each group in order, as lists of at most ``size`` numbered from 0: the group's
+    list is its chunks one after the other, and no task has to build more than one of them.
+
+    ``order_by`` should tell a group's rows apart up to equal values. A value's place is its place among
+    all rows less that of its group's first row; all rows are numbered by range partitions.
+    """
+    columns = list(dict.fromkeys([*keys, *order_by, value]))
+    known = df.filter(F.col(value).isNotNull()).select(*columns)
+    numbered = stage(number_rows(known, columns, "_place"), "numbered")
+    first = numbered.groupBy(*keys).agg(F.min("_place").alias("_first"))
+    placed = attach(numbered, first, keys, null_safe=True).withColumn(chunk, F.floor((F.col("_place") - F.col("_first")) / size))
+    listed = F.sort_array(F.collect_list(F.struct("_place", value)))
+    return placed.groupBy(*keys, chunk).agg(listed.getField(value).alias(name))
+
+
+def text_chunks(df: DataFrame, keys: list[str], value: str, order_by: list[str], separator: str, **options) -> DataFrame:
+    """The same as text: a group's text is its chunks' texts with the separator between them."""
+    name = options.get("name", "values")
+    listed = ordered_chunks(df.withColumn(value, F.col(value).cast("string")), keys, value, order_by, **options)
+    return listed.withColumn(name, F.array_join(name, separator))
+
+
 def distinct_values(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     """The distinct known values of each group, as rows."""
     return df.filter(F.col(col).isNotNull()).select(*keys, col).distinct()

@@ -60,3 +60,42 @@ def note_frequency(df: DataFrame, note: str, k: int | None = None) -> DataFrame:
     if k is None:
         return shares
     return shares.orderBy(F.desc("n"), F.col(note).asc_nulls_first()).limit(k)
+
+
+# A structured entry beside a note's text: which rule changed which column, from what to what.
+CHANGE = "struct<rule:string,column:string,before:decimal(18,2),after:decimal(18,2),amount:decimal(18,2)>"
+
+
+def change(rule: str, column: str | None = None, before: Column | None = None, after: Column | None = None) -> Column:
+    """An entry of a change log; its amount is the absolute difference."""
+    none = F.lit(None)
+    old, new = none if before is None else before, none if after is None else after
+    amount = none if before is None else F.abs(old - new)
+    fields = (F.lit(rule), F.lit(column), old, new, amount)
+    return F.struct(*[f.alias(n) for f, n in zip(fields, ("rule", "column", "before", "after", "amount"))]).cast(CHANGE)
+
+
+def logged(log: str, cond: Column, entry: Column) -> Column:
+    """The log column with the entry appended where ``cond`` holds."""
+    return F.when(cond, F.concat(F.coalesce(log, F.array().cast(f"array<{CHANGE}>")), F.array(entry))).otherwise(F.col(log))
+
+
+def rendered(log: str, texts: dict[str, str | tuple[str, str]]) -> Column:
+    """The note that a log stands for: each entry's text by its rule, or what is written before and after
+    its amount; NULL if there is none."""
+
+    def text(entry: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for rule, words in texts.items():
+            whole = F.lit(words) if isinstance(words, str) else amount_note(words[0], entry["amount"], words[1])
+            out = F.when(entry["rule"] == rule, whole).otherwise(out)
+        return out
+
+    return F.when(F.size(log) > 0, F.concat_ws("", F.transform(log, text)))
+
+
+def logged_amount(log: str) -> Column:
+    """The sum of the amounts of a log; NULL if it has none."""
+    amounts = F.filter(F.col(log)["amount"], lambda a: a.isNotNull())
+    total = F.aggregate(amounts, F.lit(0).cast("decimal(28,2)"), lambda a, b: (a + b).cast("decimal(28,2)"))
+    return F.when(F.size(amounts) > 0, total)

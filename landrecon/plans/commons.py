@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from landrecon.functions.numbers import round2
 from landrecon.functions.text import pair_id, to_text
 from landrecon.operators.aggregates import consolidate, holding_area
 from landrecon.operators.filters import delete_where
 from landrecon.operators.lookups import attach
-from landrecon.operators.notes import amount_note, note_digits_exceed, noted
+from landrecon.operators.notes import amount_note, change, logged, logged_amount, note_digits_exceed, noted
 from landrecon.operators.rewrite import clamp_to, clear_flag, recompute
 from landrecon.session import stage
 
@@ -28,6 +28,14 @@ SHARES_MERGED = (
 )
 ELIGIBLE_CLAMPED = "changed lpid_bps_eligible_area to match commons where eligible area larger by "
 ELIGIBLE_RECOMPUTED = "set lpid_bps_eligible_area = commons_area - lpid_excluded_area, change of "
+# Rules of the change log, with the text that stands for each in the note, or what is before and after its amount.
+LOG = "change_log"
+DIGITISED, CLAMPED, MERGED, RECOMPUTED = "digitised", "clamped", "merged", "recomputed"
+NOTE_TEXTS = {
+    DIGITISED: ("changed commons_area by ", "ha based on digi_area; "), CLAMPED: (ELIGIBLE_CLAMPED, "ha ; "),
+    MERGED: SHARES_MERGED, RECOMPUTED: (ELIGIBLE_RECOMPUTED, "ha; "),
+}
+LARGE_AMOUNT = 10
 OVERCLAIM = "overclaim: sum(bps_claimed_area) > lpid_bps_eligible_area by "
 DISCREPANCY = (
     "errors larger than 10ha between digi_area and other recorded areas (see change_note); "
@@ -62,16 +70,20 @@ def commons_join(share: DataFrame, totals: DataFrame, areas: DataFrame) -> DataF
     )
 
 
-def build_commons(share: DataFrame, totals: DataFrame, shapes: DataFrame) -> DataFrame:
+def build_commons(share: DataFrame, totals: DataFrame, shapes: DataFrame, log: bool = False) -> DataFrame:
     """Shares (with ``share_id``), totals (with ``lpid_id``) and yearly polygons (``hahol_id``,
     ``ring``, ``year``) joined; a differing digitised area is noted with the amount.
 
-    The note replaces an earlier one, as there is none yet.
+    The note replaces an earlier one, as there is none yet. ``log`` adds the column ``change_log``, which
+    has the changes that the note tells as data; ``clean_commons`` goes on with it.
     """
     areas = holding_area(shapes, ["hahol_id", "year"]).withColumnRenamed("hahol_id", "cg_hahol_id")
     joined = commons_join(share, totals, areas)
     gap = F.col("digi_area") - F.col("lpid_area")
-    note = amount_note("changed commons_area by ", gap, "ha based on digi_area; ")
+    note = amount_note(NOTE_TEXTS[DIGITISED][0], gap, NOTE_TEXTS[DIGITISED][1])
+    if log:
+        entry = change(DIGITISED, "commons_area", F.col("lpid_area"), F.col("digi_area"))
+        joined = joined.withColumn(LOG, F.when(gap != 0, F.array(entry)))
     return joined.withColumns(
         {
             "change_note": F.when(gap != 0, note),
@@ -103,6 +115,16 @@ def flag_discrepancy(commons: DataFrame) -> DataFrame:
     return commons.withColumn("error_log", noted("error_log", hit, DISCREPANCY))
 
 
+def flag_large_changes(commons: DataFrame, hectares: int = LARGE_AMOUNT) -> DataFrame:
+    """EC2 as it is meant: rows whose logged amounts add up to more than so many hectares."""
+    return commons.withColumn("error_log", noted("error_log", logged_amount(LOG) > hectares, DISCREPANCY))
+
+
+def _logged(df: DataFrame, cond: Column, entry: Column) -> DataFrame:
+    """The frame with the entry in its change log, if it keeps one."""
+    return df.withColumn(LOG, logged(LOG, cond, entry)) if LOG in df.columns else df
+
+
 def clean_commons(
     commons: DataFrame, cleared: tuple[int, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
@@ -111,6 +133,8 @@ def clean_commons(
     frame lists which shares went into which merged row."""
     kept = delete_where(commons, (F.col("share_area") == 0) & (F.col("bps_claimed_area") == 0))
     gap = F.col("commons_area") - F.col("lpid_bps_eligible_area")
+    eligible, area = F.col("lpid_bps_eligible_area"), F.col("commons_area")
+    kept = _logged(kept, eligible > area, change(CLAMPED, "lpid_bps_eligible_area", eligible, area))
     clamped = clamp_to(
         kept, "lpid_bps_eligible_area", "commons_area", "change_note",
         amount_note(ELIGIBLE_CLAMPED, gap, "ha ; "),
@@ -119,7 +143,9 @@ def clean_commons(
         stage(clamped, "commons-clamped"), SHARE_IDENTITY, SHARE_SUMS, "id", "change_note",
         SHARES_MERGED, {"land_activity": MERGED_ACTIVITY},
     )
+    merged = _logged(merged, F.col("n_members") > 1, change(MERGED))
     rest = F.col("commons_area") - F.col("lpid_excluded_area")
+    merged = _logged(merged, rest != eligible, change(RECOMPUTED, "lpid_bps_eligible_area", eligible, rest))
     recomputed = recompute(
         merged.drop("n_members"), "lpid_bps_eligible_area", rest, "change_note", ELIGIBLE_RECOMPUTED, "ha; "
     )

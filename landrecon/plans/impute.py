@@ -44,13 +44,16 @@ def impute_remainder(df: DataFrame, is_perm_flag: str = "Y") -> DataFrame:
     Where the declared uses of a parcel and year are positive but fall short of the parcel,
     each holder is owed the rest. A holder with exactly one row without area receives it
     there, provided no holder of the parcel has several such rows; any other holder gets an
-    imputed row for each note that its rows bear. Holders are reduced to one row before the totals are taken, so the detail is
-    read only once more, to receive the transfers.
+    imputed row for each note that its rows bear. The detail is reduced once, to holders and their notes;
+    it is read only once more, to receive the transfers.
     """
-    holders = df.groupBy(*HOLDER).agg(
-        F.count(F.when(_no_area(), 1)).alias("_empty"),
-        F.sum("land_use_area").alias("_sum"),
+    noted_holders = stage(
+        df.groupBy(*HOLDER, F.col("change_note").alias("_note")).agg(
+            F.count(F.when(_no_area(), 1)).alias("_empty"), F.sum("land_use_area").alias("_sum")
+        ),
+        "holders",
     )
+    holders = noted_holders.groupBy(*HOLDER).agg(F.sum("_empty").alias("_empty"), F.sum("_sum").alias("_sum"))
     used = holders.groupBy(*PARCEL).agg(F.sum("_sum").alias("_used"))
     owed = (
         attach(holders, used, PARCEL)
@@ -74,8 +77,7 @@ def impute_remainder(df: DataFrame, is_perm_flag: str = "Y") -> DataFrame:
         }
     )
     others = attach(owed, receiving, HOLDER, null_safe=True).filter(F.col("_given").isNull())
-    noted_holders = df.groupBy(*HOLDER, F.col("change_note").alias("_note")).agg(F.count(F.lit(1)).alias("_rows"))
-    others = attach(noted_holders, others.select(*HOLDER, "_rest"), HOLDER, "inner", null_safe=True)
+    others = attach(noted_holders.select(*HOLDER, "_note"), others.select(*HOLDER, "_rest"), HOLDER, "inner", null_safe=True)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     values = {
         **{c: F.col(c) for c in HOLDER},
