@@ -144,3 +144,38 @@ def scan(values: Column, join: Callable[[Column, Column], Column], kind: str = "
         return F.transform(starts, lambda b: running(F.slice(v, b * SCAN_BLOCK + 1, SCAN_BLOCK)))
 
     return let(values, lambda v: F.when(F.size(v) > 0, let(cut(v), carried)).otherwise(v))
+
+
+def meet_blocks(
+    held: DataFrame, asked: DataFrame, blocks: int, build: Callable[[pa.Table], object], answer: Callable, schema: str
+) -> DataFrame:
+    """What ``answer(built, batch)`` yields for the rows asked, against the held rows of their block.
+
+    Both frames have a column ``block``. A block's held rows come first in its task and are built into
+    one thing; the rows asked follow as a stream of any length. Rows asked of a block without held rows
+    give nothing.
+    """
+    both = held.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    dealt = both.repartition(blocks, "block").sortWithinPartitions("block", "kind")
+
+    def run_all(part):
+        current, rows, built = None, [], None
+        for batch in part:
+            if not batch.num_rows:
+                continue
+            number, kind = batch["block"].to_numpy(), batch["kind"].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (kind[1:] != kind[:-1])])
+            for lo, hi in zip(starts, np.append(starts[1:], len(number))):
+                if number[lo] != current:
+                    current, rows, built = number[lo], [], None
+                run = batch.slice(lo, hi - lo)
+                if kind[lo] == 0:
+                    rows.append(run)
+                    continue
+                if rows:
+                    built, rows = build(pa.Table.from_batches(rows)), []
+                if built is not None:
+                    yield from answer(built, run)
+        give_back()
+
+    return dealt.mapInArrow(run_all, schema)

@@ -6,8 +6,9 @@ segment. After the first s segments have been searched to radius r, and the othe
 code within (segments * r + s - 1) bits has been seen; the search ends as soon as the k-th best
 verified distance is not above that, so the result is exact.
 
-The codes are dealt in blocks of at most about ``BLOCK`` codes, the queries in groups, and each
-block meets each group once; a task holds one block's tables, and gives at most k results a query.
+The codes are dealt in blocks of at most about ``BLOCK`` codes, each to one task, which builds the
+block's tables once. The queries go to every block and are read there as a stream, and a block gives at
+most k results a query: what moves is queries times blocks, and codes move once.
 Segments have 16 bits, so a list holds about one code of a block. Equal codes enter once, with their
 k smallest ids, which is all that can be among the k nearest. Order is by distance, then id.
 
@@ -23,13 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from landrecon.llm.common import cached
+from landrecon.llm.common import cached, meet_blocks, partitions
 from landrecon.session import stage
 
 BITS = 64
 SEGMENT_BITS = 16
-BLOCK = 1 << 16
-GROUP = 512
+# Codes of a block at most, and at least where there are enough tasks for smaller ones.
+BLOCK, LEAST = 1 << 16, 1 << 12
 NEAREST = 10
 STEP = 64
 
@@ -108,9 +109,37 @@ class Tables:
         return [np.concatenate(p) for p in zip(*done, found)]
 
 
-def nearest(
-    table: DataFrame, queries: DataFrame, k: int = NEAREST, block: int = BLOCK, group: int = GROUP
-) -> DataFrame:
+class _Block:
+    """The tables of one block, and the ids of its codes."""
+
+    def __init__(self, rows: pa.Table):
+        self.tables = Tables(rows["code"].to_numpy().view(np.uint64))
+        ids = rows["ids"].combine_chunks()
+        self.offsets, self.flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+
+
+def _answer(k: int):
+    """The k nearest ids of a block for each query of a batch."""
+
+    def answer(block: _Block, queries: pa.RecordBatch):
+        query_id, query_code = queries["id"].to_numpy(), queries["code"].to_numpy().view(np.uint64)
+        offsets = block.offsets
+        for at in range(0, len(query_code), STEP):
+            query, code, distance = block.tables.search(query_code[at : at + STEP], k)
+            size = offsets[code + 1] - offsets[code]
+            shift = np.cumsum(size) - size
+            member = block.flat[np.arange(int(size.sum())) + np.repeat(offsets[code] - shift, size)]
+            query, distance = np.repeat(query, size), np.repeat(distance, size)
+            rank = np.lexsort((member, distance, query))
+            query, distance, member = query[rank], distance[rank], member[rank]
+            best = np.arange(len(query)) - np.searchsorted(query, query) < k
+            columns = (query_id[at + query[best]], member[best], distance[best])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "neighbor_id", "distance"])
+
+    return answer
+
+
+def nearest(table: DataFrame, queries: DataFrame, k: int = NEAREST, block: int = BLOCK, least: int = LEAST) -> DataFrame:
     """query_id, rank (from 1), neighbor_id and distance; both frames have id (long) and code (long)."""
     known = table.filter("id is not null and code is not null").select("id", "code").distinct()
     asked = queries.filter("id is not null and code is not null").select("id", "code").distinct()
@@ -118,51 +147,12 @@ def nearest(
     # The limit is applied in every map task before the rows of a code meet.
     firsts = known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k)
     distinct = stage(firsts.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
-    asked = stage(asked, "queries")
-    n_codes, n_asked = distinct.count(), asked.count()
-    blocks, groups = max(1, -(-n_codes // block)), max(1, -(-n_asked // group))
-    kind = dict(distinct.dtypes)["ids"]
-    none = F.lit(None).cast(kind)
-    cells = (
-        distinct.select(
-            F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int").alias("block"),
-            F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(None).cast("long").alias("id"), "code", "ids",
-        )
-        .unionByName(
-            asked.select(
-                F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-                F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("group"), "id", "code", none.alias("ids"),
-            )
-        )
-    )
-
-    def search(rows: pa.Table) -> pa.Table:
-        is_query = rows["id"].is_valid().to_numpy()
-        codes = rows["code"].to_numpy().view(np.uint64)
-        query_id, query_code = rows["id"].drop_null().to_numpy(), codes[is_query]
-        own = np.flatnonzero(~is_query)
-        out: tuple[list, list, list] = ([], [], [])
-        if len(own):
-            tables = Tables(codes[own])
-            ids = rows["ids"].take(pa.array(own)).combine_chunks()
-            offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
-            for at in range(0, len(query_code), STEP):
-                query, code, distance = tables.search(query_code[at : at + STEP], k)
-                size = offsets[code + 1] - offsets[code]
-                shift = np.cumsum(size) - size
-                member = flat[np.arange(int(size.sum())) + np.repeat(offsets[code] - shift, size)]
-                query, distance = np.repeat(query, size), np.repeat(distance, size)
-                rank = np.lexsort((member, distance, query))
-                query, distance, member = query[rank], distance[rank], member[rank]
-                starts = np.searchsorted(query, query)
-                best = np.arange(len(query)) - starts < k
-                out[0].append(query_id[at + query[best]])
-                out[1].append(member[best])
-                out[2].append(distance[best])
-        arrays = [pa.array(np.concatenate(p) if p else [], pa.int64()) for p in out]
-        return pa.table(arrays, names=["query_id", "neighbor_id", "distance"])
-
-    found = cells.groupBy("block", "group").applyInArrow(search, "query_id long, neighbor_id long, distance long")
+    n_codes = distinct.count()
+    size = min(block, max(least, -(-n_codes // partitions(table.sparkSession))))
+    blocks = max(1, -(-n_codes // size))
+    held = distinct.select(F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int").alias("block"), "code", "ids")
+    sent = stage(asked, "queries").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "code")
+    found = meet_blocks(held, sent, blocks, _Block, _answer(k), "query_id long, neighbor_id long, distance long")
     best = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "neighbor_id", F.col("distance").cast("int").alias("distance"))

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from landrecon.llm.common import give_back, partitions
+from landrecon.llm.common import give_back, meet_blocks, partitions
 from landrecon.session import stage
 from landrecon.sources.ids import number_rows
 
@@ -138,31 +138,6 @@ class _Block:
             )
 
 
-def _streamed(answer):
-    """A partition sorted by block, rows before anchors, as results of ``answer(block, anchors)``."""
-
-    def search(part):
-        current, held, block = None, [], None
-        for batch in part:
-            if not batch.num_rows:
-                continue
-            number, kind = batch["block"].to_numpy(), batch["kind"].to_numpy()
-            starts = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (kind[1:] != kind[:-1])])
-            for lo, hi in zip(starts, np.append(starts[1:], len(number))):
-                if number[lo] != current:
-                    current, held, block = number[lo], [], None
-                run = batch.slice(lo, hi - lo)
-                if kind[lo] == 0:
-                    held.append(run)
-                    continue
-                if block is None:
-                    block, held = _Block(pa.Table.from_batches(held)), []
-                yield from answer(block, run)
-        give_back()
-
-    return search
-
-
 def _groups(block: _Block, anchors: pa.RecordBatch):
     """Anchors of one length, few enough for a matrix against the block's rows of that length."""
     dims = anchors["dim"].to_numpy()
@@ -349,12 +324,10 @@ def mine(
             anchors.mapInArrow(visit(windows), f"{kinds}, visits array<int>")
             .withColumn("run", F.explode("visits"))
             .withColumn("block", F.explode(F.sequence(F.col("run") * step, F.least((F.col("run") + 1) * step, F.lit(blocks)) - 1)))
-            .withColumn("kind", F.lit(1)).drop("visits", "run")
+            .drop("visits", "run")
         )
-        held = indexed.select("id", "label", "x", "dim", "norm", "angles", "block", F.lit(0).alias("kind"))
-        both = held.unionByName(sent, allowMissingColumns=True)
-        dealt = both.repartition(blocks, "block").sortWithinPartitions("block", "kind")
-        return dealt.mapInArrow(_streamed(answer), schema)
+        held = indexed.select("id", "label", "x", "dim", "norm", "angles", "block")
+        return meet_blocks(held, sent, blocks, _Block, answer, schema)
 
     first = Window.partitionBy("aid").orderBy(F.col("score").desc(), "id")
     best = (

@@ -31,7 +31,7 @@ from landrecon.operators.lookups import attach
 from landrecon.session import stage
 
 COSINE = 0.93
-TABLES = 6
+TABLES = 10
 FUNCTIONS = 2
 SEED = 17
 BLOCK = 1024

@@ -85,3 +85,22 @@ def test_hadamard_keeps_lengths_and_is_its_own_inverse():
     x = np.random.default_rng(0).normal(size=(5, 32))
     assert np.allclose(vectors.hadamard(vectors.hadamard(x)), x)
     assert np.allclose(np.linalg.norm(vectors.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_recall_by_cosine():
+    """Of random pairs at a cosine, the share that meets in a bucket."""
+    draw = np.random.default_rng(3)
+    n, d = 20_000, 64
+    a = vectors.unit(draw.normal(size=(n, d)))
+    side = draw.normal(size=(n, d))
+    side = vectors.unit(side - (side * a).sum(axis=1, keepdims=True) * a)
+    for cosine, least in ((0.93, 0.9995), (0.95, 0.9999), (0.98, 1.0)):
+        b = cosine * a + np.sqrt(1 - cosine**2) * side
+        left, right = vectors.bucket_keys(a), vectors.bucket_keys(b)
+        met = np.zeros(n, dtype=bool)
+        for i in range(0, left.shape[1], 2):
+            for j in (i, i + 1):
+                for k in (i, i + 1):
+                    met |= left[:, j] == right[:, k]
+        print(f"cosine {cosine}: {met.mean():.5f}")
+        assert met.mean() >= least
