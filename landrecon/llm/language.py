@@ -6,7 +6,9 @@ of the centroid nearest by cosine. It is marked as rejected if it lies further o
 centroid's own members do.
 
 Document frequencies are counted over all rows to learn from. Centroids are clustered from at most
-``sample`` rows a language, the first by a hash of their id. Prediction reads nothing but the text.
+``sample`` ids a language, the first by a hash; where ids are repeated, from at most twice as many texts,
+the first in order. What reaches the driver is ``CENTROIDS`` vectors of ``BUCKETS`` numbers a language,
+so there should be no more than some hundreds of languages. Prediction reads nothing but the text.
 NULL texts and texts without a letter are ``und`` with score 0 and rejected, as is everything if
 there is no row to learn from. Rows with NULL language or id teach nothing. Repeated rows give one
 result each; columns other than those named are left out.

@@ -1,12 +1,12 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A text's terms are its lower-case words and the first letters of the longer ones, hashed. Screening
-keeps the terms whose presence goes with the label (likelihood ratio); the machine learns a weight
-per kept term and a factor vector whose products are the pairwise interactions, so that two terms
+keeps the terms whose presence goes with the label (likelihood ratio), of those in three or more fitted
+texts, and of these the ``TERMS`` with the largest ratio; the machine learns a weight per kept term and a factor vector whose products are the pairwise interactions, so that two terms
 together can weigh more, or less, than apart.
 
-The model is fitted on at most ``sample`` labelled rows, the first by a hash of their id. Whole
-texts are read, in fitting and in scoring; scoring reads nothing but the text. NULL and empty
+The model is fitted on the rows of at most ``sample`` labelled ids, the first by a hash; ids should not be
+repeated without bound, as all rows of a chosen one are taken. Whole texts are read, in fitting and in scoring; scoring reads nothing but the text. NULL and empty
 texts get the score of a text without any kept term. A document with several labels counts as
 toxic if one of them says so; labels other than 0 and 1 and NULL ids teach nothing. Without a
 labelled row of each class the score is 0. Repeated rows give one result each; columns other than
