@@ -29,8 +29,9 @@ from landrecon.session import stage
 
 BITS = 64
 SEGMENT_BITS = 16
-# Codes of a block at most, and at least where there are enough tasks for smaller ones.
-BLOCK, LEAST = 1 << 16, 1 << 12
+# Codes of a block at most, and at least where there are tasks for smaller ones: a query probes about as many
+# values in a small block as in a large one, so smaller blocks cost more in all.
+BLOCK, LEAST = 1 << 16, 1 << 14
 NEAREST = 10
 STEP = 64
 
