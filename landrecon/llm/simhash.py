@@ -1,17 +1,21 @@
 """SimHash near-duplicates by a byte-position inverted index with count filtering.
 
 Two fingerprints that differ in at most ``max_bits`` bits differ in at most that many of their
-eight bytes, so they share at least 8 - ``max_bits`` bytes at the same positions. The inverted
-index is laid out by what count filtering asks for: a posting list for every choice of that many
-positions and their bytes (28 lists per fingerprint at two bits). A pair that shares t positional
-bytes meets in C(t, 8 - max_bits) lists, a pair below the guaranteed minimum in none, so the tally
-is never less than needed and no pair is made to be thrown away by it. Single-byte posting lists
-would hold 1/256 of the corpus each, and their pairs would grow with its square.
-
-All members of a list agree but for ``max_bits`` bytes, so a list has at most 256 ** max_bits
-distinct fingerprints however many documents there are. Inside a list, pairs are verified by their
-Hamming distance, and only a link from each member to the first of its group leaves it: links grow
-with the number of fingerprints and not with the pairs. Copies share a fingerprint and enter once.
+eight bytes, so they share at least 8 - ``max_bits`` bytes at the same positions: the guaranteed
+minimum. The positions are taken in four twos, of which such a pair shares at least
+4 - ``max_bits`` whole. The inverted index has a posting list for every choice of that many twos
+and their bytes (6 lists of four bytes per fingerprint at two bits), so the pair meets in one.
+Lists of single bytes would hold 1/256 of the corpus each, and their pairs would grow with its square.
+
+In a list the positional bytes that a pair shares are tallied; pairs with fewer than the minimum go,
+those left are verified by their Hamming distance. Lists of more than ``SMALL_LIST`` fingerprints are
+counted beforehand and split, so that no list is too large for a task: they are laid out anew by all the
+bytes of the minimum, once each way to choose them. A pair with the minimum meets there too, its tally
+is the number of the list's bytes, and such a list has at most 256 ** ``max_bits`` distinct fingerprints
+however many documents there are.
+
+Only a link from each member to the first of its group leaves a list: links grow with the number of
+fingerprints and not with the pairs. Copies share a fingerprint and enter once.
 
 NULL and empty texts have no words and fingerprint zero; they link like any other. Rows with a
 NULL id take part and get their group's id. Repeated rows give one result each. Columns other than
@@ -25,9 +29,9 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from landrecon.llm.common import batches, texts
+from landrecon.llm.common import batches, partitions, texts, whole_groups
 from landrecon.llm.components import components
 from landrecon.operators.lookups import attach
 from landrecon.session import stage
@@ -36,7 +40,8 @@ SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
 BLOCK = 1 << 16
-# Lists up to this size are compared pair by pair, larger ones bit by bit; the result is the same.
+TWOS = [{0, 1}, {2, 3}, {4, 5}, {6, 7}]
+# Lists up to this size are tallied pair by pair, larger ones split and compared bit by bit.
 SMALL_LIST = 256
 
 
@@ -73,8 +78,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run_all, f"doc_id {dict(rows.dtypes)['doc_id']}, fp long")
 
 
+def _near(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
+    """Which pairs share the minimum of positional bytes and are verified; of arrays of one shape, or
+    of shapes that go together."""
+    differ = a ^ b
+    shared = (differ[..., None].view(np.uint8) == 0).sum(axis=-1)
+    near = shared >= 8 - max_bits
+    near[near] = np.bitwise_count(differ[near]) <= max_bits
+    return near
+
+
 def _firsts_small(values: np.ndarray, max_bits: int) -> np.ndarray:
-    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= max_bits
+    near = _near(values[:, None], values[None, :], max_bits)
     label = np.arange(len(values))
     while True:
         new = np.where(near, label[None, :], len(values)).min(axis=1)
@@ -102,71 +117,68 @@ def _firsts_large(values: np.ndarray, free: list[int], max_bits: int) -> np.ndar
         label = new
 
 
-def _first_of_group(values: np.ndarray, free: list[int], max_bits: int) -> np.ndarray:
-    """For each member of a list, the index of the first one reachable by verified pairs."""
-    if len(values) <= SMALL_LIST:
-        return _firsts_small(values, max_bits)
-    return _firsts_large(values, free, max_bits)
+def _mask(positions: set[int]) -> int:
+    mask = sum(255 << (8 * b) for b in positions)
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): verified links that join the distinct fingerprints ``fp`` into their groups."""
-    free_bytes = [list(c) for c in combinations(range(8), max_bits)]
-    masks = [(1 << 64) - 1 - sum(255 << (8 * b) for b in free) for free in free_bytes]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    entries = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(i).cast("byte").alias("positions"), F.col("fp").bitwiseAND(F.lit(m)).alias("bytes"))
-                for i, m in enumerate(signed)
-            ]
-        )
-    )
-    postings = (
-        distinct.select("fp", entries.alias("e"))
-        .select("fp", "e.positions", "e.bytes")
-        .repartition("positions", "bytes")
-        .sortWithinPartitions("positions", "bytes", "fp")
+def _postings(fp: Column, lists: list[tuple[int, set[int]]]) -> Column:
+    """(positions, bytes) of a fingerprint, for numbered choices of byte positions."""
+    return F.array(
+        *[
+            F.struct(F.lit(n).cast("int").alias("positions"), fp.bitwiseAND(F.lit(_mask(chosen))).alias("bytes"))
+            for n, chosen in lists
+        ]
     )
 
+
+def posting_lists(distinct: DataFrame, max_bits: int = MAX_BITS, small: int = SMALL_LIST) -> tuple[DataFrame, list[set[int]]]:
+    """(positions, bytes, fp), one row per list and member, and the byte positions by number. Lists by
+    twos come first; those with more than ``small`` members are replaced by lists of all bytes of the minimum."""
+    if not 0 <= max_bits < len(TWOS):
+        raise ValueError(f"max_bits must be 0 to {len(TWOS) - 1}")
+    short = [set().union(*c) for c in combinations(TWOS, len(TWOS) - max_bits)]
+    long = [set(c) for c in combinations(range(8), 8 - max_bits)]
+    choices = short + long
+    # All members of a long list are in every short list of its bytes; the first of these makes it.
+    made = [[(n, c) for n, c in enumerate(long, len(short)) if next(s for s in short if s <= c) is own] for own in short]
+    keys = ["positions", "bytes"]
+    fp = F.col("fp")
+    spread = distinct.select("fp").repartition(partitions(distinct.sparkSession), "fp")
+    listed = spread.select("fp", F.inline(_postings(fp, list(enumerate(short)))))
+    crowded = listed.groupBy(*keys).count().filter(F.col("count") > small).select(*keys)
+    kept = attach(listed, crowded, keys, "left_anti")
+    again = F.element_at(F.array(*[_postings(fp, m) for m in made]), F.col("positions") + 1)
+    split = attach(listed, crowded, keys, "left_semi").select("fp", F.inline(again))
+    return kept.unionByName(split).select(*keys, "fp"), choices
+
+
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, small: int = SMALL_LIST) -> DataFrame:
+    """(a, b): verified links that join the distinct fingerprints ``fp`` into their groups."""
+    lists, choices = posting_lists(distinct, max_bits, small)
+    free = [sorted(set(range(8)) - c) for c in choices]
+    dealt = lists.repartition("positions", "bytes").sortWithinPartitions("positions", "bytes", "fp")
+
     def verify(part):
-        def lists(positions, shared, fps):
-            """Links of complete lists, given as sorted columns."""
-            a, b = [], []
-            edge = np.flatnonzero((np.diff(positions) != 0) | (np.diff(shared) != 0)) + 1
-            begin, end = np.r_[0, edge], np.r_[edge, len(fps)]
+        for table, begin in whole_groups(part, ["positions", "bytes"]):
+            fps = table["fp"].to_numpy()
             values = fps.view(np.uint64)
-            two = begin[end - begin == 2]
-            near = two[np.bitwise_count(values[two] ^ values[two + 1]) <= max_bits]
-            a.append(fps[near + 1])
-            b.append(fps[near])
-            for lo, hi in zip(begin[end - begin > 2].tolist(), end[end - begin > 2].tolist()):
-                first = _first_of_group(values[lo:hi], free_bytes[positions[lo]], max_bits)
-                linked = np.flatnonzero(first != np.arange(hi - lo))
+            sizes = np.diff(np.append(begin, len(fps)))
+            two = begin[sizes == 2]
+            near = two[_near(values[two], values[two + 1], max_bits)]
+            a, b = [fps[near + 1]], [fps[near]]
+            positions = table["positions"].to_numpy()
+            for lo, n in zip(begin[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+                own = values[lo : lo + n]
+                first = _firsts_small(own, max_bits) if n <= small else _firsts_large(own, free[positions[lo]], max_bits)
+                linked = np.flatnonzero(first != np.arange(n))
                 a.append(fps[lo + linked])
                 b.append(fps[lo + first[linked]])
-            return pa.RecordBatch.from_pydict(
+            yield pa.RecordBatch.from_pydict(
                 {"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())}
             )
 
-        columns = None
-        for batch in part:
-            if not batch.num_rows:
-                continue
-            new = [batch[c].to_numpy(zero_copy_only=False) for c in ("positions", "bytes", "fp")]
-            columns = new if columns is None else [np.concatenate(c) for c in zip(columns, new)]
-            positions, shared, _ = columns
-            # The last list may go on in the next batch; a list has at most 256 ** max_bits rows.
-            last = np.flatnonzero((positions != positions[-1]) | (shared != shared[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if cut:
-                yield lists(*[c[:cut] for c in columns])
-                columns = [c[cut:] for c in columns]
-        if columns is not None:
-            yield lists(*columns)
-
-    found = postings.select("positions", "bytes", "fp").mapInArrow(verify, "a long, b long")
-    return found.distinct()
+    return dealt.mapInArrow(verify, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -174,7 +186,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits) and component_id, the smallest id of its group."""
     printed = stage(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    distinct = printed.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    distinct = stage(printed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     groups = components(links(distinct.select("fp"), max_bits))
     rooted = attach(distinct, groups.withColumnRenamed("node", "fp"), ["fp"]).select(
         "fp", "first_id", F.coalesce("component", "fp").alias("root")

@@ -2,8 +2,10 @@
 
 import random
 import re
+from itertools import combinations
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -47,7 +49,8 @@ def test_hash_is_the_engine_hash(spark):
     assert got % 2**64 == xxhash.xxh64_intdigest("one two é".encode(), 42)
 
 
-def test_links_find_every_group(spark):
+@pytest.mark.parametrize("max_bits,small", [(2, 256), (2, 4), (1, 256), (3, 64)])
+def test_links_find_every_group(spark, max_bits, small):
     draw = random.Random(1)
     prints = set()
     for _ in range(40):
@@ -60,9 +63,9 @@ def test_links_find_every_group(spark):
     prints |= {crowd ^ (draw.getrandbits(9) << 8) for _ in range(900)}  # one large list
     prints = sorted(prints)
     df = spark.createDataFrame([(p - 2**64 if p >> 63 else p,) for p in prints], "fp long")
-    found = components(simhash.links(df))
+    found = components(simhash.links(df, max_bits, small))
     got = {r.node % 2**64: r.component % 2**64 for r in found.collect()}
-    want = groups(prints, lambda i, j: (i ^ j).bit_count() <= 2)
+    want = groups(prints, lambda i, j: (i ^ j).bit_count() <= max_bits)
     def partition(mapping):
         sets = {}
         for i in prints:
@@ -72,6 +75,33 @@ def test_links_find_every_group(spark):
     assert partition(got) == partition(want)
 
 
+def test_pairs_are_tallied_before_they_are_verified():
+    draw = np.random.default_rng(4)
+    a = draw.integers(0, 1 << 64, 400, dtype=np.uint64)
+    b = a.copy()
+    for i in range(400):
+        for bit in draw.integers(0, 64, draw.integers(0, 5)).tolist():
+            b[i] ^= np.uint64(1 << bit)
+    want = [(int(x) ^ int(y)).bit_count() <= 2 for x, y in zip(a, b)]
+    assert simhash._near(a, b, 2).tolist() == want
+
+
+def test_a_pair_with_the_minimum_meets_in_some_list_and_crowded_lists_are_split(spark):
+    draw = random.Random(6)
+    base = draw.getrandbits(64) & ~(0xFFFF << 24)
+    crowd = {base | draw.getrandbits(16) << 24 for _ in range(500)} | {base ^ (1 << b) for b in range(64)}
+    prints = sorted(p - 2**64 if p >> 63 else p for p in crowd)
+    lists, choices = simhash.posting_lists(spark.createDataFrame([(p,) for p in prints], "fp long"), 2, 16)
+    held = {}
+    for r in lists.collect():
+        held.setdefault((r.positions, r.bytes), set()).add(r.fp)
+    assert all(len(m) <= 16 or len(choices[k]) == 6 for (k, _), m in held.items())
+    meet = {frozenset(p) for m in held.values() for p in combinations(sorted(m), 2)}
+    for a, b in combinations(prints, 2):
+        shared = sum((a ^ b) >> 8 * k & 255 == 0 for k in range(8))
+        assert shared < 6 or frozenset((a, b)) in meet
+
+
 def test_query_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
