@@ -22,18 +22,20 @@ buckets and answers are arrays in one row per block and bucket. The texts are sh
 Equality of strings is by fingerprints of 64 bits; runs are told apart by 64 bits of the sample and
 64 bits of the class. NULL text is read as empty; texts under
 ``length`` bytes stay whole. A NULL id counts as later than all others; rows with equal ids, such
-as repeated rows, do not remove each other's bytes. Columns other than id and text are left out.
+as repeated rows, and rows without an id do not remove each other's bytes. They are therefore dealt
+by their texts over as many blocks of one rank as their bytes ask for. Columns other than id and text are left out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import ceil, log2
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
@@ -49,6 +51,8 @@ DENSITY = 1 / 16
 
 BASE = 0x9E3779B97F4A7C15
 LAST_ID = np.iinfo(np.int64).max
+# What a row takes beside its text, where rows of one id are many.
+ROW_BYTES = 16
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -231,13 +235,38 @@ def _by_bucket(block: int, bucket: np.ndarray, entries: np.ndarray, kind: int) -
     }
 
 
+class Layout:
+    """Which block a row is in. Block numbers rise with the ids; blocks of one id share a rank."""
+
+    def __init__(self, bounds: list[int], heavy: dict[int, int] | None = None, without: int = 1):
+        self.bounds = np.array(bounds, dtype=np.int64)  # upper ids of the ranges but the last
+        self.widths = np.ones(len(bounds) + 2, dtype=np.int64)  # blocks of each range; NULL ids come last
+        for one, blocks in (heavy or {}).items():
+            self.widths[np.searchsorted(self.bounds, one)] = blocks
+        self.widths[-1] = without
+        self.first = np.cumsum(self.widths) - self.widths
+
+    def rank(self, block: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, block, side="right")
+
+    def column(self, doc_id: Column, draw: Column) -> Column:
+        @pandas_udf("int")
+        def locate(known: pd.Series, none: pd.Series, draws: pd.Series) -> pd.Series:
+            own = np.searchsorted(self.bounds, known.to_numpy())
+            own[none.to_numpy()] = len(self.widths) - 1
+            return pd.Series((self.first[own] + draws.to_numpy() % self.widths[own]).astype("int32"))
+
+        # a column with NULLs would come as floating-point numbers, which do not hold every id
+        return locate(F.coalesce(doc_id, F.lit(0).cast("long")), doc_id.isNull(), draw)
+
+
 _ROW = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("kind", pa.int8()), ("payload", pa.binary())])
 _ROW_DDL = "bucket int, block int, kind byte, payload binary"
 RUN, WINDOW, SETTLED = 1, 2, 3
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """Sort one bucket: for every entry of every block, has an earlier block the same one (low bit),
+def _answer(table: pa.Table, rank_of: Callable[[np.ndarray], np.ndarray] = lambda blocks: blocks) -> pa.Table:
+    """Sort one bucket: for every entry of every block, has a block of lower rank the same one (low bit),
     and has its sample another class (high bit, for runs). Answers of an earlier round pass through."""
     give_back()
     passing = table.filter(pa.compute.equal(table["kind"], SETTLED))
@@ -249,13 +278,14 @@ def _answer(table: pa.Table) -> pa.Table:
     sizes = np.array([len(p) for p in parts])
     entry = np.concatenate(parts)
     part = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
+    rank = rank_of(asked["block"].to_numpy())[part]
     order = np.lexsort(entry.T[::-1])
     e = entry[order]
     start = _starts(*e.T)
     counts = np.diff(np.append(start, len(e)))
-    first = np.repeat(part[order[start]], counts)
+    first = np.repeat(rank[order[start]], counts)
     bits = np.zeros((len(e), 2), dtype=np.uint8)
-    bits[order, 1] = part[order] > first
+    bits[order, 1] = rank[order] > first
     sample = e[start, 0]
     alone = np.ones(len(start), dtype=bool)
     same = sample[1:] == sample[:-1]
@@ -267,34 +297,31 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.concat_tables([asked, passing]) if passing.num_rows else asked
 
 
-def _block_bounds(lengths: DataFrame, block_bytes: int) -> tuple[list[int], int]:
-    """Upper ids of the blocks but the last, and the bytes in all. Quantiles of the ids are joined
-    until a block has its bytes; there are some four of them per block."""
+def _lay_out(lengths: DataFrame, block_bytes: int) -> tuple[Layout, int]:
+    """Ranges of ids that are the blocks, and the bytes in all. Quantiles of the ids are joined
+    until a block has its bytes; there are some four of them per block. An id whose rows are more
+    than a block is a range by itself, in several blocks; there are fewer such ids than blocks."""
     total, n = lengths.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("doc_id")).first()
+    by_id = lengths.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size") + ROW_BYTES).alias("size"))
+    heavy = {r[0]: ceil(r[1] / block_bytes) for r in by_id.filter((F.col("n") > 1) & (F.col("size") > block_bytes)).select("doc_id", "size").collect()}
+    without = heavy.pop(None, 1)
     fine = min(4 * ceil(total / block_bytes), n)
-    if fine < 2:
-        return [], total
-    steps = [i / fine for i in range(1, fine)]
-    # as many numbers as four times the blocks
-    marks = sorted(set(lengths.agg(F.percentile_approx("doc_id", steps, max(10_000, 20 * fine))).first()[0]))
-    within = _locate(marks)
-    sizes = {r[0]: r[1] for r in lengths.groupBy(within("doc_id")).agg(F.sum("size")).collect()}
-    bounds, held = [], 0
-    for i, mark in enumerate(marks):
-        held += sizes.get(i, 0)
-        if held >= block_bytes * 3 // 4:
-            bounds.append(mark)
-            held = 0
-    return bounds, total
-
-
-def _locate(bounds: list[int]):
-    @pandas_udf("int")
-    def locate(ids: pd.Series) -> pd.Series:
-        known = ids.fillna(LAST_ID).astype("int64")
-        return pd.Series(np.searchsorted(np.array(bounds, dtype=np.int64), known).astype("int32"))
-
-    return locate
+    bounds = []
+    if fine >= 2:
+        steps = [i / fine for i in range(1, fine)]
+        # as many numbers as four times the blocks
+        marks = sorted(set(lengths.agg(F.percentile_approx("doc_id", steps, max(10_000, 20 * fine))).first()[0]))
+        within = Layout(marks).column(F.col("doc_id"), F.lit(0).cast("long"))
+        sizes = {r[0]: r[1] for r in lengths.groupBy(within).agg(F.sum("size")).collect()}
+        held = 0
+        for i, mark in enumerate(marks):
+            held += sizes.get(i, 0)
+            if held >= block_bytes * 3 // 4:
+                bounds.append(mark)
+                held = 0
+    alone = {b for h in heavy for b in (h - 1, h) if b >= -LAST_ID}
+    bounds = sorted({*bounds, *alone})
+    return Layout(bounds, {h: heavy[h] for h in sorted(heavy)}, without), total
 
 
 def remove_repeats(
@@ -308,9 +335,11 @@ def remove_repeats(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *extra
     )
     lengths = stage(rows.select("doc_id", F.octet_length("text").cast("long").alias("size")), "lengths")
-    bounds, total = _block_bounds(lengths, block_bytes)
+    lay, total = _lay_out(lengths, block_bytes)
     bits = max(0, ceil(log2(max(1.0, total * DENSITY / bucket_entries))))
-    located = rows.withColumns({"text": F.col("text").cast("binary"), "block": _locate(bounds)("doc_id")})
+    located = rows.withColumns(
+        {"text": F.col("text").cast("binary"), "block": lay.column(F.col("doc_id"), F.xxhash64("text"))}
+    )
     blocks = located.groupBy("block")
     along = ["carried"] if carry else []
 
@@ -366,10 +395,13 @@ def remove_repeats(
         )
         return out.append_column("carried", nullable(moved["carried"])) if along else out
 
+    def answer(table: pa.Table) -> pa.Table:
+        return _answer(table, lay.rank)
+
     asked = blocks.applyInArrow(list_runs, _ROW_DDL)
-    answered = asked.groupBy("bucket").applyInArrow(_answer, _ROW_DDL)
+    answered = asked.groupBy("bucket").applyInArrow(answer, _ROW_DDL)
     open_asked = blocks.cogroup(answered.groupBy("block")).applyInArrow(list_windows, _ROW_DDL)
-    settled = open_asked.groupBy("bucket").applyInArrow(_answer, _ROW_DDL)
+    settled = open_asked.groupBy("bucket").applyInArrow(answer, _ROW_DDL)
     schema = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
     if carry:
         schema += f", carried {dict(rows.dtypes)['carried']}"

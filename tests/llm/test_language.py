@@ -1,5 +1,7 @@
 """Language identification: held-out accuracy, rejection, and the odd cases."""
 
+import math
+import re
 import zlib
 
 import numpy as np
@@ -43,6 +45,34 @@ def test_odd_rows(spark):
     assert sum(r.doc_id == 505 for r in got) == 2
 
 
+def test_predictions_against_a_plain_nearest_centroid(spark):
+    """Every prediction of a table, by dictionaries of n-grams, from the same fitted centroids."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(docs, language.fold(F.col("doc_id")) != 1)
+    languages, centres, least, idf = model
+    got = {r.doc_id: r for r in language.predict(docs, model).collect()}
+    for doc_id, text, _ in docs.collect():
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not words:
+            assert (got[doc_id].lang_pred, got[doc_id].score) == ("und", 0.0)
+            continue
+        data = f" {' '.join(words)} ".encode()
+        counts = {}
+        for n in (2, 3):
+            for i in range(len(data) - n + 1):
+                code = (int.from_bytes(data[i : i + n], "big") + n) * 2654435761 % 2**32 >> 32 - 13
+                counts[code] = counts.get(code, 0) + 1
+        weights = {c: k * idf[c] for c, k in counts.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        cosines = [sum(w * centre[c] for c, w in weights.items()) / norm for centre in centres]
+        best = max(cosines)
+        assert abs(got[doc_id].score - best) < 1e-9
+        near = [i for i, c in enumerate(cosines) if c > best - 1e-9]
+        assert got[doc_id].lang_pred in [languages[i] for i in near]
+        if all(abs(best - least[i]) > 1e-9 for i in near):
+            assert got[doc_id].rejected in [best < least[i] for i in near]
+
+
 def test_held_out_rows_teach_nothing(spark):
     turned = small(spark).withColumn("lang", F.when(language.fold(F.col("doc_id")) == 1, "xx").otherwise(F.col("lang")))
     plain = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(small(spark)).collect()}

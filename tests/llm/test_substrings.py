@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from landrecon.llm import queries, substrings
 
@@ -64,6 +65,25 @@ def test_against_brute_force(spark, seed, block_bytes, bucket_entries):
     assert sorted((r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in got) == sorted(want)
 
 
+def test_many_rows_without_an_id_or_of_one_id_spread_over_blocks(spark):
+    draw = random.Random(12)
+    lines = ["".join(draw.choice("abcdef ") for _ in range(60)) for _ in range(30)]
+    high = (1 << 60) + 1
+    ids = [None] * 10_000 + [high] * 3_000 + [high - 1, high + 1, high + 2, -5, 7, 8] * 20
+    docs = [(i, f"{k} " + draw.choice(lines) + draw.choice(lines)[: draw.randrange(60)]) for k, i in enumerate(ids)]
+    draw.shuffle(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    lengths = df.select("doc_id", F.octet_length("text").cast("long").alias("size"))
+    lay, _ = substrings._lay_out(lengths, 50_000)
+    dealt = df.withColumn("block", lay.column(F.col("doc_id"), F.xxhash64("text")))
+    sizes = {r[0]: r[1] for r in dealt.groupBy("block").agg(F.sum(F.octet_length("text"))).collect()}
+    assert max(sizes.values()) < 100_000 and len(sizes) > 20
+    got = substrings.remove_repeats(df, block_bytes=50_000, bucket_entries=2_000).collect()
+    late = 1 << 62
+    want = brute([(late if i is None else i, t.encode()) for i, t in docs])
+    assert sorted((late if r.doc_id is None else r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in got) == sorted(want)
+
+
 def test_nulls_repeats_long_and_clashing_columns(spark):
     long = "".join(random.Random(9).choice("abcdefgh ") for _ in range(300_000))
     passage = long[1000:1060]

@@ -1,7 +1,10 @@
 """The machine on pairwise labels, held-out accuracy of the query, and the odd cases."""
 
+import math
 import random
+import re
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -22,6 +25,21 @@ def test_pairs_are_learnt_that_no_additive_weight_can_express():
     assert np.mean([(machine.logit(r) > 0) == t for r, t in zip(rows, labels)]) > 0.99
 
 
+def test_scores_against_the_sum_over_explicit_pairs(spark):
+    """Every score of a table: bias, weights, and the product of factors for each pair of terms."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    machine = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"), lambda i: toxicity.fold(i) != 0)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, machine).collect()}
+    place = {t: i for i, t in enumerate(machine.terms)}
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        marks = {m for w in re.findall(r"\w+", (text or "").lower()) for m in [w, *(f"{w[:n]}*" for n in (4, 5) if len(w) > n)]}
+        at = sorted({place[t] for t in (zlib.crc32(m.encode()) % 2**20 for m in marks) if t in place})
+        logit = machine.bias + sum(machine.weights[i] for i in at)
+        logit += sum(sum(a * b for a, b in zip(machine.factors[i], machine.factors[j])) for i, j in combinations(at, 2))
+        assert abs(got[doc_id] - 1 / (1 + math.exp(-max(-30, min(30, logit))))) < 1e-9
+
+
 def docs_and_labels(spark):
     draw = random.Random(5)
     rows, labels = [], []
