@@ -57,6 +57,16 @@ def pair_join(
     )
 
 
+def detail_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of two detail tables, always by a shuffle.
+
+    Estimates decide on broadcasts before anything is counted. They take a table for the bytes of its
+    compressed files and an exploded row for one row, so that millions of rows can pass for a small
+    table and be gathered by the driver.
+    """
+    return left.join(right.hint("merge"), keys)
+
+
 def semi(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return attach(df, keys.select(*on), on, "left_semi")
 

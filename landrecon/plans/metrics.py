@@ -8,7 +8,7 @@ from landrecon.functions.rings import area_hectares
 from landrecon.functions.numbers import round2
 from landrecon.operators.aggregates import bucket_count, distinct_per_group
 from landrecon.operators.filters import area_mismatch
-from landrecon.operators.joins import semi
+from landrecon.operators.joins import detail_join, semi
 from landrecon.operators.lookups import attach
 from landrecon.operators.matching import repeated_side
 from landrecon.plans.reconcile import EXCLUDED
@@ -59,7 +59,7 @@ def flag_agreement(owners: DataFrame, renters: DataFrame) -> DataFrame:
     known = p.isin("Y", "N") & s.isin("Y", "N")
     outcome = F.when(p == s, F.concat(p, F.lit(" match"))).otherwise(F.concat(p, F.lit("-"), s, F.lit(" no match")))
     label = F.when(known, outcome).otherwise("Other")
-    combos = left.join(right, keys).select(*PARCEL_YEAR, "_p", "_s").distinct()
+    combos = detail_join(left, right, keys).select(*PARCEL_YEAR, "_p", "_s").distinct()
     return bucket_count(combos, label, "llo_flag_compare")
 
 
@@ -128,7 +128,7 @@ def digitised_mismatch(detail: DataFrame, shapes: DataFrame) -> DataFrame:
     regions = F.col("payment_region_1") + F.col("payment_region_2") + F.col("payment_region_3")
     gap = F.abs(F.col("calced_has") - F.col("digitised_area"))
     return (
-        detail.join(measured, PARCEL_YEAR)
+        detail_join(detail, measured, PARCEL_YEAR)
         .filter(gap != 0)
         .select(
             "hapar_id", "cg_hahol_id", "hahol_id", "year", "start_date", "calced_has",

@@ -3,7 +3,8 @@
 Declarations of a side are reduced to cells: one row per combination of what the metrics look at, with
 its number of rows. The merged table is reduced to one row per parcel, year and value of its parcel
 area, of a business or of a land use. Both reductions combine on the map side and are written once; the
-metrics are then made of cells, whose number does not grow with the rows of a parcel.
+metrics are then made of cells, whose number does not grow with the rows of a parcel. Joins of cells and
+of shapes go by a shuffle, whatever their estimated size (``joins.detail_join``).
 
 A report row has the metric, year and label where the metric has them, a count ``n`` and an ``area``.
 """
@@ -14,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from landrecon.operators.joins import detail_join
 from landrecon.operators.lookups import attach
 from landrecon.plans import metrics
 from landrecon.session import stage
@@ -66,7 +68,7 @@ def of_declarations(owners: DataFrame, renters: DataFrame, year: int) -> list[Da
     area = F.col("land_use_area") * F.col("n")
     parcels = owners.groupBy(*PY, "land_parcel_area").agg(F.sum("n").alias("n"), F.sum(area).alias("part"))
     totals = parcels.groupBy(*PY).agg(F.sum("part").alias("used"))
-    compared = attach(parcels, totals, PY, null_safe=True).withColumn(
+    compared = attach(parcels, totals.hint("merge"), PY, null_safe=True).withColumn(
         "label", F.when(F.col("land_parcel_area") > F.col("used"), "Parcel > LU").when(F.col("land_parcel_area") < F.col("used"), "Parcel < LU")
         .when(F.col("land_parcel_area") == F.col("used"), "Equal").otherwise("Other"),
     )
@@ -76,7 +78,7 @@ def of_declarations(owners: DataFrame, renters: DataFrame, year: int) -> list[Da
         return cells.filter(F.col("year") == year).groupBy("hapar_id", "land_parcel_area").agg(F.sum(area).alias("total"), F.sum("n").alias("rows"))
 
     left, right = yearly(owners).drop("land_parcel_area"), yearly(renters).drop("land_parcel_area").withColumnRenamed("rows", "other")
-    unlike = left.join(right, ["hapar_id", "total"]).filter("rows <> other").select("hapar_id").distinct()
+    unlike = detail_join(left, right, ["hapar_id", "total"]).filter("rows <> other").select("hapar_id").distinct()
     codes = owners.filter("land_use IS NOT NULL").groupBy(*PY, "land_use").agg(F.sum("n").alias("n"), F.sum(area).alias("area"))
     codes = codes.groupBy(*PY).agg(F.max("n").alias("most"), F.sum("area").alias("area")).filter("most > 1")
     areas = owners.select(*PY, "land_parcel_area").distinct().groupBy("hapar_id").count().filter("count > 1")
@@ -93,11 +95,11 @@ def of_merged(cells: DataFrame, digitised: DataFrame) -> list[DataFrame]:
     """M6 and M8 to M12, and the numbers of rows and of noted rows, from the cells of the merged table."""
     areas = cells.filter("kind = 'area'")
     totals = areas.groupBy(*PY).agg(F.sum("claim").alias("total"))
-    over = attach(areas.select(*PY, "area"), totals, PY, null_safe=True).withColumn("diff", F.col("total") - F.col("area")).filter("diff > 0")
-    digi = digitised.select(*PY, "digi_area").distinct()
+    over = attach(areas.select(*PY, "area"), totals.hint("merge"), PY, null_safe=True).withColumn("diff", F.col("total") - F.col("area")).filter("diff > 0")
+    digi = digitised.select(*PY, "digi_area").distinct().hint("merge")
     met = attach(digi, totals.select(*PY, F.lit(True).alias("met")), PY)
     gap = F.abs(F.col("area") - F.col("digi_area"))
-    banded = areas.join(digitised.select(*PY, "digi_area"), PY).withColumn(
+    banded = detail_join(areas, digitised.select(*PY, "digi_area"), PY).withColumn(
         "label", F.when(gap < 0.01, "< 0.01 difference").when((gap > 0.01) & (gap < 0.1), "< 0.1 difference").otherwise("> 0.1 difference")
     )
     distinct = cells.filter("kind <> 'area'").groupBy(*PY, "kind").agg(F.count(F.lit(1)).alias("values"))
