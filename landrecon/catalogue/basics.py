@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from landrecon.catalogue.derive import DECLARATION, YEAR_OUT, activity_sql, larger_sql, status_sql
 from landrecon.catalogue.registry import query
 from landrecon.functions import arrays, choice, numbers, text
-from landrecon.operators import filters, notes, rewrite
+from landrecon.operators import filters, joins, notes, rewrite
 from landrecon.operators.ranking import top_k
 from landrecon.plans.commons import ELIGIBLE_CLAMPED, ELIGIBLE_RECOMPUTED
 from landrecon.session import new_path, stage
@@ -390,7 +390,7 @@ def _(t):
        """SELECT d.hapar_id, d.year, p.claim_id FROM digitised d JOIN perm p ON p.hapar_id = d.hapar_id AND p.year = d.year
           WHERE round(digi_area, 2) <> land_parcel_area""")
 def _(t):
-    joined = t.perm.select("hapar_id", "year", "claim_id", "land_parcel_area").join(t.digitised, ["hapar_id", "year"])
+    joined = joins.detail_join(t.perm.select("hapar_id", "year", "claim_id", "land_parcel_area"), t.digitised, ["hapar_id", "year"])
     return filters.area_mismatch(joined, "digi_area", "land_parcel_area").select("hapar_id", "year", "claim_id")
 
 

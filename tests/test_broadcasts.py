@@ -27,3 +27,17 @@ def test_bands_of_the_report(spark, digitised, rows):
     assert broadcasts(bands) == 0
     found = rows(bands, "metric", "year", "label", "n")
     assert found == [("M9", 1996, "< 0.01 difference", 1), ("M9", 1996, "< 0.1 difference", 1), ("M9", 2000, "> 0.1 difference", 1)]
+
+
+def test_area_mismatch(spark, tmp_path):
+    """On a folder of its own: the declarations are many rows in a small file, and so are the parcels."""
+    from landrecon.catalogue import QUERIES
+
+    spark.range(1, 40).selectExpr("id AS p_partkey", "CAST(10 + id % 30 AS INT) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(1, 400).selectExpr(
+        "id AS l_orderkey", "id % 39 + 1 AS l_partkey", "id % 5 + 1 AS l_suppkey", "CAST(1 AS INT) AS l_linenumber", "CAST(20 + id % 4 AS DOUBLE) AS l_quantity",
+        "CAST(id AS DOUBLE) AS l_extendedprice", "0.02D AS l_discount", "0.01D AS l_tax", "'A' AS l_returnflag", "'F' AS l_linestatus",
+        "CAST('1996-05-01' AS TIMESTAMP_NTZ) AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["F6_area_mismatch"](spark, f"file://{tmp_path}")
+    assert broadcasts(found) == 0 and found.count() > 0
