@@ -86,7 +86,7 @@ def area_bands(final: DataFrame, shapes: DataFrame, strict: bool = True) -> Data
     if not strict:
         large = F.when(diff.isNotNull(), large).otherwise("unknown")
     declared = final.select(*PARCEL_YEAR, "land_parcel_area").distinct()
-    joined = declared.join(shapes.select(*PARCEL_YEAR, "digi_area"), PARCEL_YEAR)
+    joined = detail_join(declared, shapes.select(*PARCEL_YEAR, "digi_area"), PARCEL_YEAR)
     return joined.groupBy("year", band.otherwise(large).alias("digi_area_match")).agg(
         F.count(F.lit(1)).alias("n")
     )

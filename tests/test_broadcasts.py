@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from landrecon.plans import report
+from landrecon.plans import metrics, report
 
 YEARS = "explode(sequence(1995, 2001))"
 
@@ -41,3 +41,16 @@ def test_area_mismatch(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/lineitem.parquet")
     found = QUERIES["F6_area_mismatch"](spark, f"file://{tmp_path}")
     assert broadcasts(found) == 0 and found.count() > 0
+
+
+@pytest.fixture
+def final(spark):
+    return spark.sql("SELECT * FROM VALUES (1L, 1996, 10.05), (2L, 1996, 10.11), (3L, 2000, 99.00), (3L, 2001, NULL) AS t(hapar_id, year, land_parcel_area)")
+
+
+def test_area_bands(final, digitised, rows):
+    bands = metrics.area_bands(final, digitised)
+    assert broadcasts(bands) == 0
+    assert rows(bands, "year", "digi_area_match", "n") == [
+        (1996, "< 0.01 difference", 1), (1996, "> 0.1 difference", 1), (2000, "> 0.1 difference", 1), (2001, "> 0.1 difference", 1)
+    ]
