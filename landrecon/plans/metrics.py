@@ -145,7 +145,7 @@ def declared_vs_digitised(raw: DataFrame, shapes: DataFrame) -> DataFrame:
         .groupBy(*PARCEL_YEAR)
         .agg(F.sum("land_use_area").alias("declared"))
     )
-    joined = shapes.select(*PARCEL_YEAR, "digi_area").join(sums, PARCEL_YEAR)
+    joined = detail_join(shapes.select(*PARCEL_YEAR, "digi_area"), sums, PARCEL_YEAR)
     return area_mismatch(joined, "digi_area", "declared")
 
 

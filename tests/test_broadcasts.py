@@ -54,3 +54,10 @@ def test_area_bands(final, digitised, rows):
     assert rows(bands, "year", "digi_area_match", "n") == [
         (1996, "< 0.01 difference", 1), (1996, "> 0.1 difference", 1), (2000, "> 0.1 difference", 1), (2001, "> 0.1 difference", 1)
     ]
+
+
+def test_declared_vs_digitised(spark, digitised, rows):
+    raw = spark.sql("SELECT * FROM VALUES (1L, 1996, 4.00), (1L, 1996, 6.05), (2L, 1996, 7.00), (3L, 1996, 0.00) AS t(hapar_id, year, land_use_area)")
+    unlike = metrics.declared_vs_digitised(raw, digitised)
+    assert broadcasts(unlike) == 0
+    assert rows(unlike, "hapar_id", "year", "digi_area", "declared") == [(2, 1996, 10.1, 7.0)]
