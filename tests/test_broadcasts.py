@@ -61,3 +61,11 @@ def test_declared_vs_digitised(spark, digitised, rows):
     unlike = metrics.declared_vs_digitised(raw, digitised)
     assert broadcasts(unlike) == 0
     assert rows(unlike, "hapar_id", "year", "digi_area", "declared") == [(2, 1996, 10.1, 7.0)]
+
+
+def test_area_bands_inclusive(final, digitised, rows):
+    bands = metrics.area_bands(final, digitised, strict=False)
+    assert broadcasts(bands) == 0
+    assert rows(bands, "year", "digi_area_match", "n") == [
+        (1996, "< 0.01 difference", 2), (2000, "> 0.1 difference", 1), (2001, "unknown", 1)
+    ]
