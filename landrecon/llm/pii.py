@@ -6,9 +6,10 @@ characters and words around it). There are no labelled spans, so the labels are
 the base spans and variants of them as people write them (obfuscated emails, cards with dots,
 phones without the plus sign), in the context of the span; negative are candidates that cannot be
 of their kind however they are written (``_impossible``). Other candidates, which no rule decides,
-have no label: they take no part in the fit, and they alone are open to addition. The fit takes at
-most ``SAMPLE`` labelled examples, the first by a hash. Per kind, the threshold is the smallest at
-which the precision on examples left out of the fit reaches ``PRECISION``. Base spans always stay;
+have no label: they take no part in the fit, and they alone are open to addition. The fit takes all
+labelled examples: those with equal features, label and fold are counted and bear their number as a
+weight, which gives the trees that the single examples would. Per kind, the threshold is the smallest at
+which the precision on examples left out of the fit, all of them too, reaches ``PRECISION``. Base spans always stay;
 an open candidate at or over its threshold is added unless it overlaps a base span of its kind.
 The check digit, number ranges and digit counts that decide labels are no features, nor is the
 length, which tells the digit count. Every IP
@@ -62,7 +63,6 @@ AROUND = 24
 # Code points in which a text is cut up to be put together again without its spans.
 BLOCK = 1024
 
-SAMPLE = 20_000
 PRECISION = 0.99
 ROUNDS = 10
 DEPTH = 3
@@ -302,22 +302,21 @@ def _fold(frame: DataFrame) -> Column:
 
 def _fit(candidates: DataFrame):
     """(model, threshold per kind), or None where there are not both classes."""
-    order = [F.xxhash64("doc_id", "kind", "start", "end", F.lit(1)), "doc_id", "kind", "start", "variant"]
-    sample = stage(
-        candidates.filter("label IS NOT NULL").select(
-            "doc_id", "kind", "start", "end", F.col("label").cast("double").alias("label"), "features"
-        ).orderBy(*order).limit(SAMPLE),
-        "pii-sample",
-    ).withColumns({"x": array_to_vector("features"), "fold": F.lit(0)})
-    sample = sample.withColumn("fold", _fold(sample))
-    learn, rest = sample.filter("fold != 0"), sample.filter("fold = 0")
+    labelled = candidates.filter("label IS NOT NULL")
+    cells = stage(
+        labelled.select("kind", F.col("label").cast("double").alias("label"), "features", (_fold(labelled) == 0).alias("rest"))
+        .groupBy("kind", "label", "features", "rest").agg(F.count(F.lit(1)).cast("double").alias("n")),
+        "pii-cells",
+    ).withColumn("x", array_to_vector("features"))
+    learn, rest = cells.filter("NOT rest"), cells.filter("rest")
     classes = learn.agg(F.count_distinct("label")).first()[0]
     if classes < 2:
         return None
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(learn)
-    scored = model.transform(rest).select("kind", "label", F.floor(vector_to_array("probability")[1] * 100).alias("score"))
+    trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="n", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=1)
+    model = trees.fit(learn)
+    scored = model.transform(rest).select("kind", "label", "n", F.floor(vector_to_array("probability")[1] * 100).alias("score"))
     # At most a hundred rows a kind.
-    table = scored.groupBy("kind", "score").agg(F.sum("label").alias("good"), F.count("label").alias("n")).collect()
+    table = scored.groupBy("kind", "score").agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()
     thresholds = {}
     for number in range(len(KINDS)):
         own = [r for r in table if r["kind"] == number]

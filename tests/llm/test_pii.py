@@ -155,3 +155,26 @@ def test_long_local_parts_are_candidates(spark):
     text = "a" * 200 + " (at) corp (dot) com"
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert pii._scan(docs).selectExpr("candidates[0].end").first()[0] == len(text)
+
+
+def test_all_labelled_examples_are_fitted(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    real, weights = pii.GBTClassifier, []
+
+    class Recorded:
+        def __init__(self, **options):
+            self.trees, self.weight = real(**options), options["weightCol"]
+
+        def fit(self, rows):
+            weights.append(rows.agg(F.sum(self.weight)).first()[0])
+            return self.trees.fit(rows)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Recorded)
+    candidates = spark.range(30_000).selectExpr(
+        "id AS doc_id", "0 AS kind", "CAST(id AS INT) AS start", "CAST(id + 5 AS INT) AS end", "0 AS variant", "id % 3 = 0 AS label",
+        "array(CAST(id % 3 = 0 AS DOUBLE), CAST(id % 7 AS DOUBLE)) AS features",
+    )
+    model, thresholds = pii._fit(candidates)
+    assert weights == [candidates.filter(pii._fold(candidates) != 0).count()] and weights[0] > 20_000
+    assert thresholds.keys() == {0}
