@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from contextlib import nullcontext
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from landrecon.catalogue import derive
 from landrecon.functions.arrays import array_text
 from landrecon.functions.rings import rect_ring
+from landrecon.operators.joins import anti, semi
 from landrecon.operators.rewrite import one_sided
 from landrecon.plans import clean, commons, flags, reconcile
-from landrecon.session import ON_DROP, listing, stage, tune
+from landrecon.plans.chain import KEY, hot_parcels
+from landrecon.session import ON_DROP, co_located, listing, stage, tune
 from landrecon.sources.reference_lists import excluded_land_uses, land_use_rank
 
+# Bytes of the declarations' files for one bucket of the chain, where there is more than the shuffle partitions take.
+BUCKET_BYTES = 8 << 20
+
 
 def plain(df: DataFrame) -> DataFrame:
     """Report types only: decimals as doubles, dates and arrays as text."""
@@ -30,6 +37,75 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+class Chain:
+    """The steps D1 to D8 over declarations, each written once. With ``buckets`` these are dealt to as many
+    buckets by parcel and no later step shuffles; no parcel may then be too large for a task."""
+
+    def __init__(self, owners: DataFrame, renters: DataFrame, buckets: int | None = None):
+        self.owners, self.renters, self.buckets = owners, renters, buckets
+
+    def _in_place(self):
+        return nullcontext() if self.buckets is None else co_located(self.owners.sparkSession, KEY, self.buckets)
+
+    def _written(self, make: Callable[[], DataFrame], name: str) -> DataFrame:
+        with self._in_place():
+            return stage(make(), name)
+
+    def _cleaned(self, raw: DataFrame, identity: tuple[str, ...], mark: str) -> DataFrame:
+        dealt = raw if self.buckets is None else raw.repartition(self.buckets, KEY)
+        return self._written(lambda: clean.clean_declarations(dealt, identity, mark, derive.YEAR_OUT), "clean")
+
+    @cached_property
+    def perm_clean(self) -> DataFrame:
+        return self._cleaned(self.owners, clean.OWNER_IDENTITY, "P")
+
+    @cached_property
+    def seas_clean(self) -> DataFrame:
+        return self._cleaned(self.renters, clean.RENTER_IDENTITY, "S")
+
+    @cached_property
+    def perm_parcel(self) -> DataFrame:
+        return self._written(lambda: clean.repair_parcel_area(self.perm_clean), "parcel")
+
+    @cached_property
+    def seas_parcel(self) -> DataFrame:
+        return self._written(lambda: clean.repair_parcel_area(self.seas_clean), "parcel")
+
+    @cached_property
+    def perm(self) -> DataFrame:
+        return self._written(lambda: clean.repair_use_area(clean.repair_parcel_area(self.perm_clean), "owner"), "perm")
+
+    @cached_property
+    def seas(self) -> DataFrame:
+        return self._written(lambda: clean.repair_use_area(clean.repair_parcel_area(self.seas_clean), "user"), "seas")
+
+    @cached_property
+    def matched(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        with self._in_place():
+            return reconcile.match_owners_renters(self.perm, self.seas)
+
+    @property
+    def pairs(self) -> DataFrame:
+        return self.matched[0]
+
+    @property
+    def perm_left(self) -> DataFrame:
+        return self.matched[1]
+
+    @property
+    def seas_left(self) -> DataFrame:
+        return self.matched[2]
+
+    @cached_property
+    def final(self) -> DataFrame:
+        left, pairs = reconcile.one_sided_rows(self.perm_left, self.seas_left), reconcile.merge_pairs(self.pairs)
+        return self._written(lambda: reconcile.infer_and_equalise(left.unionByName(pairs)), "final")
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return self._written(lambda: flags.flag_errors(self.final, self.pairs), "flagged")
+
+
 class Tables:
     """The given tables and all domain tables derived from them."""
 
@@ -111,46 +187,64 @@ class Tables:
         key = F.concat(F.lit("L"), F.col("cg_hahol_id").cast("string"), F.lit("."), F.col("year").cast("string"))
         return commons.detail_totals(self.detail).withColumn("lpid_id", key)
 
-    # stages, each written once
+    # the chain, over all parcels
     @cached_property
+    def chains(self) -> list[Chain]:
+        """The steps of the parcels, dealt to buckets, and of those too large for that, if there are any."""
+        raw = [self.perm_raw, self.seas_raw]
+        hot = hot_parcels(*raw)
+        size = sum(size for name, size, _ in listing(self.spark, self.folder) if "/lineitem.parquet" in name)
+        buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
+        if hot.isEmpty():
+            return [Chain(*raw, buckets)]
+        return [Chain(*[anti(df, hot, [KEY]) for df in raw], buckets), Chain(*[semi(df, hot, [KEY]) for df in raw])]
+
+    def _of_chains(self, name: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [getattr(part, name) for part in self.chains])
+
+    @property
     def perm_clean(self) -> DataFrame:
-        return stage(clean.clean_declarations(self.perm_raw, clean.OWNER_IDENTITY, "P", derive.YEAR_OUT))
+        return self._of_chains("perm_clean")
 
-    @cached_property
+    @property
     def seas_clean(self) -> DataFrame:
-        return stage(clean.clean_declarations(self.seas_raw, clean.RENTER_IDENTITY, "S", derive.YEAR_OUT))
+        return self._of_chains("seas_clean")
 
-    @cached_property
+    @property
     def perm_parcel(self) -> DataFrame:
-        return stage(clean.repair_parcel_area(self.perm_clean))
+        return self._of_chains("perm_parcel")
 
-    @cached_property
+    @property
     def seas_parcel(self) -> DataFrame:
-        return stage(clean.repair_parcel_area(self.seas_clean))
+        return self._of_chains("seas_parcel")
 
-    @cached_property
+    @property
     def perm(self) -> DataFrame:
-        return stage(clean.repair_use_area(self.perm_parcel, "owner"))
+        return self._of_chains("perm")
 
-    @cached_property
+    @property
     def seas(self) -> DataFrame:
-        return stage(clean.repair_use_area(self.seas_parcel, "user"))
-
-    @cached_property
-    def matched(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return reconcile.match_owners_renters(self.perm, self.seas)
+        return self._of_chains("seas")
 
     @property
     def pairs(self) -> DataFrame:
-        return self.matched[0]
+        return self._of_chains("pairs")
 
     @property
     def perm_left(self) -> DataFrame:
-        return self.matched[1]
+        return self._of_chains("perm_left")
 
     @property
     def seas_left(self) -> DataFrame:
-        return self.matched[2]
+        return self._of_chains("seas_left")
+
+    @property
+    def final(self) -> DataFrame:
+        return self._of_chains("final")
+
+    @property
+    def flagged(self) -> DataFrame:
+        return self._of_chains("flagged")
 
     @property
     def sides(self) -> DataFrame:
@@ -158,17 +252,6 @@ class Tables:
         left = one_sided(self.perm, clean.MEASURES, "owner")
         return left.unionByName(one_sided(self.seas, clean.MEASURES, "user"))
 
-    @cached_property
-    def final(self) -> DataFrame:
-        merged = reconcile.one_sided_rows(self.perm_left, self.seas_left).unionByName(
-            reconcile.merge_pairs(self.pairs)
-        )
-        return stage(reconcile.infer_and_equalise(merged))
-
-    @cached_property
-    def flagged(self) -> DataFrame:
-        return stage(flags.flag_errors(self.final, self.pairs))
-
     @cached_property
     def commons_built(self) -> DataFrame:
         return stage(commons.build_commons(self.share, self.lpid, self.grazing_shape))
