@@ -12,6 +12,7 @@ from landrecon.catalogue import derive
 from landrecon.functions.arrays import array_text
 from landrecon.functions.rings import rect_ring
 from landrecon.operators.joins import anti, semi
+from landrecon.operators.matching import drop_weaker_pairs
 from landrecon.operators.rewrite import one_sided
 from landrecon.plans import clean, commons, flags, reconcile
 from landrecon.plans.chain import KEY, hot_parcels
@@ -88,6 +89,12 @@ class Chain:
     def pairs(self) -> DataFrame:
         return self.matched[0]
 
+    @cached_property
+    def best_pairs(self) -> DataFrame:
+        """Pairs but the weaker ones. A claim's id names its parcel."""
+        narrow = self.pairs.select(KEY, "claim_id", "tier", "owner_claim_id", "user_claim_id", "owner_land_leased_out")
+        return self._written(lambda: drop_weaker_pairs(narrow, within=(KEY,)), "best-pairs")
+
     @property
     def perm_left(self) -> DataFrame:
         return self.matched[1]
@@ -230,6 +237,10 @@ class Tables:
     def pairs(self) -> DataFrame:
         return self._of_chains("pairs")
 
+    @property
+    def best_pairs(self) -> DataFrame:
+        return self._of_chains("best_pairs")
+
     @property
     def perm_left(self) -> DataFrame:
         return self._of_chains("perm_left")

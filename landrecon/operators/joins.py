@@ -107,15 +107,16 @@ def exists_delete(df: DataFrame, originals: DataFrame, keys: list[str], cond: Co
 
 
 def either_in(
-    df: DataFrame, columns: dict[str, Column], listed: DataFrame, listed_col: str
+    df: DataFrame, columns: dict[str, Column], listed: DataFrame, listed_col: str, within: tuple[str, ...] = ()
 ) -> DataFrame:
     """Rows where any of the named expressions is on the list. One lookup per expression, no OR
-    in a join condition, so each is an ordinary hash join."""
-    keys = listed.select(F.col(listed_col)).filter(F.col(listed_col).isNotNull()).distinct()
+    in a join condition, so each is an ordinary hash join. ``within`` names columns that a row and
+    its entries on the list share."""
+    keys = listed.select(*within, F.col(listed_col)).filter(F.col(listed_col).isNotNull()).distinct()
     marked = df
     for name, expr in columns.items():
-        probe = keys.select(F.col(listed_col).alias(f"_v_{name}"), F.lit(True).alias(f"_in_{name}"))
-        marked = attach(marked.withColumn(f"_v_{name}", expr), probe, [f"_v_{name}"])
+        probe = keys.select(*within, F.col(listed_col).alias(f"_v_{name}"), F.lit(True).alias(f"_in_{name}"))
+        marked = attach(marked.withColumn(f"_v_{name}", expr), probe, [*within, f"_v_{name}"])
     found = reduce(lambda a, b: a | b, [F.coalesce(f"_in_{n}", F.lit(False)) for n in columns])
     return marked.filter(found).select(*df.columns)
 

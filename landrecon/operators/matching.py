@@ -109,20 +109,21 @@ def prune_pairs(pairs: DataFrame, tier: int, rule: Column) -> DataFrame:
     return delete_where(pairs, (F.col("tier") == tier) & rule)
 
 
-def drop_superseded(pairs: DataFrame, weak: int, strong: int, row_id: str = "claim_id") -> DataFrame:
-    """Drop weak pairs of any row that has a strong pair."""
+def drop_superseded(
+    pairs: DataFrame, weak: int, strong: int, row_id: str = "claim_id", within: tuple[str, ...] = ()
+) -> DataFrame:
+    """Drop weak pairs of any row that has a strong pair. ``within`` names keys that all pairs of a row share."""
     good = pairs.filter(F.col("tier") == strong)
-    claims = good.select(F.col(f"owner_{row_id}").alias("_claim")).unionByName(
-        good.select(F.col(f"user_{row_id}").alias("_claim"))
-    )
+    claims = good.select(*within, F.explode(F.array(f"owner_{row_id}", f"user_{row_id}")).alias("_claim"))
     weak_pairs = pairs.filter(F.col("tier") == weak)
     hit = either_in(
         weak_pairs,
         {"owner": F.col(f"owner_{row_id}"), "user": F.col(f"user_{row_id}")},
         claims,
         "_claim",
+        within,
     )
-    return anti(pairs, hit, [row_id])
+    return anti(pairs, hit, [*within, row_id])
 
 
 def repeated_side(pairs: DataFrame, side: str, row_id: str = "claim_id", more_than: int = 1) -> DataFrame:
@@ -132,21 +133,21 @@ def repeated_side(pairs: DataFrame, side: str, row_id: str = "claim_id", more_th
     return semi(pairs, often, [key])
 
 
-def drop_weaker_pairs(pairs: DataFrame, row_id: str = "claim_id") -> DataFrame:
-    """Keep the best evidence per renter claim.
+def drop_weaker_pairs(pairs: DataFrame, row_id: str = "claim_id", within: tuple[str, ...] = ()) -> DataFrame:
+    """Keep the best evidence per renter claim. ``within`` names keys that all pairs of a claim share.
 
     1. A tier-4 pair goes if either of its rows has a tier-1 pair.
     2. Of a renter claim with several pairs, the tier-4 pairs go.
     3. Of a renter claim that still has several pairs, those go that are not tier 1 and whose
        owner does not lease out.
     """
-    better = stage(drop_superseded(pairs, 4, 1, row_id), "pairs")
-    key = f"user_{row_id}"
-    per_claim = better.groupBy(key).agg(
+    better = stage(drop_superseded(pairs, 4, 1, row_id, within), "pairs")
+    keys = [*within, f"user_{row_id}"]
+    per_claim = better.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count(F.when(F.col("tier") != 4, 1)).alias("_left"),
     )
-    counted = attach(better, per_claim, [key])
+    counted = attach(better, per_claim, keys)
     step2 = (F.col("_n") > 1) & (F.col("tier") == 4)
     still = F.when(F.col("_n") > 1, F.col("_left")).otherwise(F.col("_n")) > 1
     step3 = still & (F.col("tier") != 1) & (F.col("owner_land_leased_out") == "N")

@@ -8,6 +8,7 @@ import pytest
 
 from landrecon import session
 from landrecon.catalogue import derive, tables
+from landrecon.operators import matching
 from landrecon.plans import chain
 
 
@@ -34,11 +35,12 @@ def test_no_step_shuffles_after_the_first(spark, folder, monkeypatch):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        flagged = tables.Tables(spark, folder).flagged
+        t = tables.Tables(spark, folder)
+        flagged, best = t.flagged, t.best_pairs
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     shuffled = [name for name, plan in written if re.search(r"\bExchange\b", plan)]
-    assert shuffled == ["clean", "clean"] and len(written) >= 9 and flagged.count() > 0
+    assert shuffled == ["clean", "clean"] and len(written) >= 11 and flagged.count() > 0 and best.count() > 0
 
 
 @pytest.mark.parametrize("hot_rows", [100, 10**9])
@@ -50,3 +52,11 @@ def test_hot_parcels_give_the_same_rows(spark, folder, monkeypatch, hot_rows):
         want = want.select(got.columns)
         assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     assert t.perm_parcel.count() >= t.perm.count() > 0
+
+
+@pytest.mark.parametrize("hot_rows", [100, 10**9])
+def test_weaker_pairs_go_within_the_parcel(spark, folder, monkeypatch, hot_rows):
+    monkeypatch.setattr(tables, "hot_parcels", lambda *raw: chain.hot_parcels(*raw, hot_rows=hot_rows))
+    t = tables.Tables(spark, folder)
+    got, want = t.best_pairs.select("claim_id", "tier"), matching.drop_weaker_pairs(t.pairs).select("claim_id", "tier")
+    assert t.pairs.count() > got.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
