@@ -20,7 +20,7 @@ from landrecon.session import ON_DROP, co_located, listing, stage, tune
 from landrecon.sources.reference_lists import excluded_land_uses, land_use_rank
 
 # Bytes of the declarations' files for one bucket of the chain, where there is more than the shuffle partitions take.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -112,6 +112,9 @@ class Chain:
     def flagged(self) -> DataFrame:
         return self._written(lambda: flags.flag_errors(self.final, self.pairs), "flagged")
 
+    def commons_flagged(self, detail: DataFrame) -> DataFrame:
+        return self._written(lambda: commons.flag_commons_fields(self.flagged, detail), "iacs-flagged")
+
 
 class Tables:
     """The given tables and all domain tables derived from them."""
@@ -284,7 +287,8 @@ class Tables:
 
     @cached_property
     def linked(self) -> tuple[DataFrame, DataFrame]:
-        return commons.cross_link(self.flagged, self.commons, self.detail)
+        marked = reduce(DataFrame.unionByName, [part.commons_flagged(self.detail) for part in self.chains])
+        return commons.link_flagged(marked, self.commons, self.detail)
 
 
 ON_DROP.append(Tables._known.clear)

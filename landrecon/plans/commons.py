@@ -216,5 +216,11 @@ def cross_link(
     iacs: DataFrame, commons: DataFrame, detail: DataFrame, strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(merged table with commons flags, commons table with the copied claims)."""
-    flagged = stage(flag_commons_fields(iacs, detail), "iacs-flagged")
+    return link_flagged(stage(flag_commons_fields(iacs, detail), "iacs-flagged"), commons, detail, strict)
+
+
+def link_flagged(
+    flagged: DataFrame, commons: DataFrame, detail: DataFrame, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``cross_link`` of rows that bear the commons flags and are written."""
     return flagged, commons.unionByName(copy_to_commons(flagged, detail, commons, strict))
