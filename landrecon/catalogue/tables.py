@@ -48,13 +48,13 @@ class Chain:
     def _in_place(self):
         return nullcontext() if self.buckets is None else co_located(self.owners.sparkSession, KEY, self.buckets)
 
-    def _written(self, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    def written(self, make: Callable[[], DataFrame], name: str) -> DataFrame:
         with self._in_place():
             return stage(make(), name)
 
     def _cleaned(self, raw: DataFrame, identity: tuple[str, ...], mark: str) -> DataFrame:
         dealt = raw if self.buckets is None else raw.repartition(self.buckets, KEY)
-        return self._written(lambda: clean.clean_declarations(dealt, identity, mark, derive.YEAR_OUT), "clean")
+        return self.written(lambda: clean.clean_declarations(dealt, identity, mark, derive.YEAR_OUT), "clean")
 
     @cached_property
     def perm_clean(self) -> DataFrame:
@@ -66,19 +66,19 @@ class Chain:
 
     @cached_property
     def perm_parcel(self) -> DataFrame:
-        return self._written(lambda: clean.repair_parcel_area(self.perm_clean), "parcel")
+        return self.written(lambda: clean.repair_parcel_area(self.perm_clean), "parcel")
 
     @cached_property
     def seas_parcel(self) -> DataFrame:
-        return self._written(lambda: clean.repair_parcel_area(self.seas_clean), "parcel")
+        return self.written(lambda: clean.repair_parcel_area(self.seas_clean), "parcel")
 
     @cached_property
     def perm(self) -> DataFrame:
-        return self._written(lambda: clean.repair_use_area(clean.repair_parcel_area(self.perm_clean), "owner"), "perm")
+        return self.written(lambda: clean.repair_use_area(clean.repair_parcel_area(self.perm_clean), "owner"), "perm")
 
     @cached_property
     def seas(self) -> DataFrame:
-        return self._written(lambda: clean.repair_use_area(clean.repair_parcel_area(self.seas_clean), "user"), "seas")
+        return self.written(lambda: clean.repair_use_area(clean.repair_parcel_area(self.seas_clean), "user"), "seas")
 
     @cached_property
     def matched(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -93,7 +93,7 @@ class Chain:
     def best_pairs(self) -> DataFrame:
         """Pairs but the weaker ones. A claim's id names its parcel."""
         narrow = self.pairs.select(KEY, "claim_id", "tier", "owner_claim_id", "user_claim_id", "owner_land_leased_out")
-        return self._written(lambda: drop_weaker_pairs(narrow, within=(KEY,)), "best-pairs")
+        return self.written(lambda: drop_weaker_pairs(narrow, within=(KEY,)), "best-pairs")
 
     @property
     def perm_left(self) -> DataFrame:
@@ -106,14 +106,14 @@ class Chain:
     @cached_property
     def final(self) -> DataFrame:
         left, pairs = reconcile.one_sided_rows(self.perm_left, self.seas_left), reconcile.merge_pairs(self.pairs)
-        return self._written(lambda: reconcile.infer_and_equalise(left.unionByName(pairs)), "final")
+        return self.written(lambda: reconcile.infer_and_equalise(left.unionByName(pairs)), "final")
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return self._written(lambda: flags.flag_errors(self.final, self.pairs), "flagged")
+        return self.written(lambda: flags.flag_errors(self.final, self.pairs), "flagged")
 
     def commons_flagged(self, detail: DataFrame) -> DataFrame:
-        return self._written(lambda: commons.flag_commons_fields(self.flagged, detail), "iacs-flagged")
+        return self.written(lambda: commons.flag_commons_fields(self.flagged, detail), "iacs-flagged")
 
 
 class Tables:
@@ -207,8 +207,13 @@ class Tables:
         buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
         if hot.isEmpty():
             return [Chain(*raw, buckets)]
+        hot = F.broadcast(hot)  # each has more than HOT_ROWS declarations, so there are few
         return [Chain(*[anti(df, hot, [KEY]) for df in raw], buckets), Chain(*[semi(df, hot, [KEY]) for df in raw])]
 
+    def in_place(self, make: Callable[[Chain], DataFrame], name: str) -> DataFrame:
+        """What is made of the chain's rows where they lie, all parcels put together."""
+        return reduce(DataFrame.unionByName, [part.written(lambda part=part: make(part), name) for part in self.chains])
+
     def _of_chains(self, name: str) -> DataFrame:
         return reduce(DataFrame.unionByName, [getattr(part, name) for part in self.chains])
 

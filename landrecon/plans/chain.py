@@ -44,7 +44,7 @@ def run_chain(
     spark = owners.sparkSession
     hot = hot_parcels(owners, renters, hot_rows)
     number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    usual = [anti(df, hot, [KEY]) for df in (owners, renters)]
+    usual = [anti(df, F.broadcast(hot), [KEY]) for df in (owners, renters)]  # few: each has more than hot_rows rows
     with co_located(spark, KEY, number):
         flagged, pairs = run_steps(*[deal(df, "declarations") for df in usual], year_out)
     if hot.isEmpty():
