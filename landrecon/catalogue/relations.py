@@ -32,8 +32,12 @@ def _(t):
 @query("J2_tiered_match", "SELECT claim_id, hapar_id, year, tier, owner_land_use, user_land_use FROM pairs_all", big="tier")
 def _(t):
     kept = [*FOUR, "claim_id", "land_leased_out", "bps_claimed_area"]
-    pairs = matching.tiered_match(t.perm.select(*kept), t.seas.select(*kept), reconcile.match_tiers())
-    return pairs.select("claim_id", *PY, F.col("tier").cast("bigint").alias("tier"), "owner_land_use", "user_land_use")
+
+    def pairs(of):
+        found = matching.tiered_match(of.perm.select(*kept), of.seas.select(*kept), reconcile.match_tiers())
+        return found.select("claim_id", *PY, F.col("tier").cast("bigint").alias("tier"), "owner_land_use", "user_land_use")
+
+    return t.in_place(pairs, "tiers")
 
 
 @query("J3_tier_guard",
@@ -42,7 +46,7 @@ def _(t):
 def _(t):
     kept = [*FOUR, "claim_id", "land_leased_out", "bps_claimed_area"]
     first = [matching.Tier("first", tuple(FOUR), reconcile.leasing_guard())]
-    return matching.tiered_match(t.perm.select(*kept), t.seas.select(*kept), first).select("claim_id")
+    return t.in_place(lambda of: matching.tiered_match(of.perm.select(*kept), of.seas.select(*kept), first).select("claim_id"), "tier")
 
 
 @query("J4_pairs_unique", "SELECT tier, count(*) AS n, count(DISTINCT claim_id) AS n_distinct FROM pairs GROUP BY tier", big="tier n n_distinct")
@@ -53,15 +57,24 @@ def _(t):
 
 @query("J5_remove_matched", "SELECT claim_id FROM perm_left UNION ALL SELECT claim_id FROM seas_left")
 def _(t):
-    left = matching.remove_matched(t.perm.select("claim_id"), t.pairs, "claim_id", "owner")
-    return left.unionByName(matching.remove_matched(t.seas.select("claim_id"), t.pairs, "claim_id", "user"))
+    def left(of):
+        """A claim's id names its parcel."""
+        claims = [("owner", of.perm), ("user", of.seas)]
+        sides = [matching.remove_matched(df.select("hapar_id", "claim_id"), of.pairs, "claim_id", side, ("hapar_id",)) for side, df in claims]
+        return sides[0].unionByName(sides[1]).select("claim_id")
+
+    return t.in_place(left, "left")
 
 
 @query("J6_prune_pairs", "SELECT claim_id FROM pairs WHERE tier = 4")
 def _(t):
     kept = [*FOUR, "claim_id", "land_leased_out", "bps_claimed_area"]
-    pairs = matching.tiered_match(t.perm.select(*kept), t.seas.select(*kept), reconcile.match_tiers())
-    return matching.prune_pairs(pairs, 4, reconcile.implausible_pair()).filter("tier = 4").select("claim_id")
+
+    def pairs(of):
+        found = matching.tiered_match(of.perm.select(*kept), of.seas.select(*kept), reconcile.match_tiers())
+        return matching.prune_pairs(found, 4, reconcile.implausible_pair()).filter("tier = 4").select("claim_id")
+
+    return t.in_place(pairs, "tier-4")
 
 
 @query("J7_semi_join", "SELECT claim_id FROM perm WHERE (hapar_id, year) IN (SELECT (hapar_id, year) FROM seas)")

@@ -60,3 +60,36 @@ def test_weaker_pairs_go_within_the_parcel(spark, folder, monkeypatch, hot_rows)
     t = tables.Tables(spark, folder)
     got, want = t.best_pairs.select("claim_id", "tier"), matching.drop_weaker_pairs(t.pairs).select("claim_id", "tier")
     assert t.pairs.count() > got.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_no_step_broadcasts_what_it_takes_for_small(spark, folder, monkeypatch):
+    """Lookups of rows that lie together are joined where they lie, whatever their estimated size."""
+    from landrecon.catalogue import QUERIES
+
+    plans, inner = [], session.stage
+
+    def recorded(df, name="stage"):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return inner(df, name)
+
+    for module in ("catalogue.tables", "operators.joins", "operators.matching", "plans.clean", "plans.reconcile"):
+        monkeypatch.setattr(f"landrecon.{module}.stage", recorded)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("J2_tiered_match", "J3_tier_guard", "J5_remove_matched", "J6_prune_pairs"):
+        assert QUERIES[name](spark, folder).count() > 0
+    assert tables.Tables.of(spark, folder).flagged.count() > 0
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+    assert [name for name, plan in plans if "BroadcastExchange" in plan] == []
+    assert [name for name, plan in plans if re.search(r"\bExchange\b", plan)] == ["clean", "clean"]
+
+
+def test_unmatched_claims_are_those_without_a_pair(spark, folder, monkeypatch):
+    from landrecon.catalogue import QUERIES
+
+    monkeypatch.setattr(tables, "hot_parcels", lambda *raw: chain.hot_parcels(*raw, hot_rows=100))
+    t = tables.Tables.of(spark, folder)
+    assert len(t.chains) == 2
+    got = QUERIES["J5_remove_matched"](spark, folder)
+    left = matching.remove_matched(t.perm.select("claim_id"), t.pairs, "claim_id", "owner")
+    want = left.unionByName(matching.remove_matched(t.seas.select("claim_id"), t.pairs, "claim_id", "user"))
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
