@@ -8,8 +8,8 @@ meet are extended to all windows around them, and these are compared as texts, s
 item of fewer words is its own single fingerprint; for the lengths that such items have, and only those,
 documents keep all fingerprints.
 
-The fingerprints of the documents meet the distinct ones of the benchmark in a semi-join; only the
-places that are left travel on. Each distinct window has a number, and a document finds a window at most
+The fingerprints of the documents meet the distinct ones of the benchmark in a lookup; only the
+places that are found, and one row with its number of words for each document, travel on. Each distinct window has a number, and a document finds a window at most
 once a place, however many items have it. Lists of items are made once for every distinct set of windows
 and not for each document. All lookups are ``attach`` joins: a fingerprint or window that a third of the
 documents hold can be split over tasks, and a benchmark that Spark measures as small is broadcast.
@@ -132,25 +132,25 @@ def contamination(
     numbered = stage(number_rows(members.select("window", "length").distinct(), ["window", "length"], "number"), "windows")
 
     def all_prints(w: Column) -> Column:
-        return F.concat(winnowed(w, span, gram), *[whole_prints(w, n) for n in short])
+        # Beside the fingerprints, one entry for the document itself: its place tells its number of words, its
+        # print only spreads it.
+        itself = F.array(_print(-1 - F.size(w).cast("long"), F.xxhash64(*key)))
+        return F.concat(itself, winnowed(w, span, gram), *[whole_prints(w, n) for n in short])
 
     met = attach(
         docs.select(*key, F.explode(let(words("text"), all_prints)).alias("p")).select(*key, "p.place", "p.print"),
-        prints, ["print"], "left_semi",
+        prints.withColumn("met", F.lit(True)), ["print"],
     )
-    places = stage(met.groupBy(*key).agg(F.collect_set("place").alias("places")), "places")
-    none = F.array().cast("array<bigint>")
-    read = attach(docs, places, key, null_safe=True).select(
-        *key,
-        let(words("text"), lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            _windows_around(w, F.coalesce("places", none), span, gram).alias("windows"),
-        )).alias("r"),
-    )
-    base = stage(read.select(*key, "r.n_words", "r.windows"), "words")
+    seen = stage(met.filter("met or place < 0").select(*key, "place"), "places")
+    base = seen.filter("place < 0").select(*key, (-1 - F.col("place")).alias("n_words"))
+    places = stage(seen.filter("place >= 0").groupBy(*key).agg(F.collect_set("place").alias("places")), "met")
+    # Only documents that meet the benchmark are split into words again.
+    read = attach(docs, places, key, "inner", null_safe=True).select(
+        *key, let(words("text"), lambda w: _windows_around(w, F.col("places"), span, gram)).alias("windows")
+    )
 
     found = (
-        base.filter(F.size("windows") > 0).select(*key, F.explode("windows").alias("o"))
+        read.select(*key, F.explode("windows").alias("o"))
         .select(*key, "o.place", "o.window", F.pmod("o.place", F.lit(LENGTHS)).cast("int").alias("length")).distinct()
     )
     hits = attach(found, numbered, ["window", "length"], "inner")
@@ -168,7 +168,7 @@ def contamination(
     )
     known = attach(by_document, stage(listed, "lists"), ["numbers"]).drop("numbers")
     zero = F.lit(0).cast("long")
-    return attach(base.select(*key, "n_words"), known, key, null_safe=True).select(
+    return attach(base, known, key, null_safe=True).select(
         "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("items", F.lit("")).alias("items"),
     )

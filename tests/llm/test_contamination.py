@@ -77,6 +77,20 @@ def test_hot_passage(spark):
     assert run(spark, docs, items) == brute(docs, items)
 
 
+def test_texts_that_meet_no_item_are_split_once(spark, monkeypatch):
+    plans, inner = {}, contamination.stage
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return inner(df, name)
+
+    monkeypatch.setattr(contamination, "stage", recorded)
+    words = " ".join(f"w{i}" for i in range(12))
+    assert run(spark, [(1, words), (2, "clean text"), (2, "clean text")], [(1, words)]) == [(1, 12, 12, 1, "1"), (2, 2, 0, 0, ""), (2, 2, 0, 0, "")]
+    assert [name for name, plan in plans.items() if "regexp_extract_all" in plan] == ["items", "places", "hits"]
+    assert "Join Inner" in plans["hits"] and "LeftOuter" not in plans["hits"]
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     plan = contamination.contamination(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
