@@ -5,8 +5,9 @@ keeps the terms whose presence goes with the label (likelihood ratio), of those
 texts, and of these the ``TERMS`` with the largest ratio; the machine learns a weight per kept term and a factor vector whose products are the pairwise interactions, so that two terms
 together can weigh more, or less, than apart.
 
-The model is fitted on the rows of at most ``sample`` labelled ids, the first by a hash; ids should not be
-repeated without bound, as all rows of a chosen one are taken. Whole texts are read, in fitting and in scoring; scoring reads nothing but the text. NULL and empty
+The model is fitted on the rows of all labelled ids. Equal examples (the same kept terms and label) are counted and
+dealt to blocks; every step sums the gradients of the blocks, which stay with the executors, so that only the model
+travels. What fits one block is fitted by the driver. Whole texts are read, in fitting and in scoring; scoring reads nothing but the text. NULL and empty
 texts get the score of a text without any kept term. A document with several labels counts as
 toxic if one of them says so; labels other than 0 and 1 and NULL ids teach nothing. Without a
 labelled row of each class the score is 0. Repeated rows give one result each; columns other than
@@ -15,6 +16,7 @@ those named are left out.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Callable
@@ -22,11 +24,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from landrecon.llm.common import batches, nullable, texts
+from landrecon.session import stage
 
-SAMPLE = 20_000
+# Different examples of a block, about.
+BLOCK = 20_000
 BUCKETS = 1 << 20
 PREFIXES = (4, 5)
 # Terms must be this many times likelier (as a log-likelihood ratio) to depend on the label than not.
@@ -81,34 +86,45 @@ class Machine:
         return float(self.bias + self.weights[positions].sum() + pairs / 2)
 
 
-def fit_machine(rows: list[list[int]], labels: np.ndarray, n_terms: int, factors: int = FACTORS):
-    """Bias, weights and factors for rows of term positions, by full-batch Adam on the log loss."""
-    size = np.array([len(r) for r in rows])
-    row = np.repeat(np.arange(len(rows)), size)
-    col = np.array([t for r in rows for t in r], dtype=np.int64)
-    rate = labels.mean()
+def example_block(rows: list[list[int]], labels, counts=None) -> tuple[np.ndarray, ...]:
+    """Examples as arrays: positions of terms with the row they stand in, labels, and how often each row counts."""
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    col = np.array([t for r in rows for t in r], dtype=np.int32)
+    return row, col, np.array(labels, dtype=float), np.array([1] * len(rows) if counts is None else counts, dtype=float)
+
+
+def block_gradients(block: tuple, bias: np.ndarray, weights: np.ndarray, vectors: np.ndarray) -> list[np.ndarray]:
+    """Gradients of the log loss, summed over the block, by bias, weights and factors."""
+    row, col, labels, counts = block
+    n_terms, factors = vectors.shape
+
+    def by_row(values):
+        return np.bincount(row, weights=values, minlength=len(labels))
+
+    own = vectors[col]
+    total = np.stack([by_row(own[:, f]) for f in range(factors)], axis=1)
+    squares = by_row((own**2).sum(axis=1))
+    logit = bias + by_row(weights[col]) + ((total**2).sum(axis=1) - squares) / 2
+    error = counts * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels)
+    each = error[row]
+    pull = each[:, None] * (total[row] - own)
+    return [
+        np.array([error.sum()]),
+        np.bincount(col, weights=each, minlength=n_terms),
+        np.stack([np.bincount(col, weights=pull[:, f], minlength=n_terms) for f in range(factors)], axis=1),
+    ]
+
+
+def descend(gradients: Callable[..., list[np.ndarray]], n: int, rate: float, n_terms: int, factors: int = FACTORS):
+    """Bias, weights and factors by full-batch Adam, from the gradients summed over all ``n`` examples."""
     bias = np.array([np.log(rate / (1 - rate))])
     weights = np.zeros(n_terms)
     vectors = np.random.default_rng(0).normal(0, 0.05, (n_terms, factors))
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (bias, weights, vectors)]
-
-    def by_row(values):
-        return np.bincount(row, weights=values, minlength=len(rows))
-
     for step in range(1, STEPS + 1):
-        own = vectors[col]
-        total = np.stack([by_row(own[:, f]) for f in range(factors)], axis=1)
-        squares = by_row((own**2).sum(axis=1))
-        logit = bias + by_row(weights[col]) + ((total**2).sum(axis=1) - squares) / 2
-        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels) / len(rows)
-        each = error[row]
-        pull = each[:, None] * (total[row] - own)
-        grads = [
-            np.array([error.sum()]),
-            np.bincount(col, weights=each, minlength=n_terms) + PENALTY * weights,
-            np.stack([np.bincount(col, weights=pull[:, f], minlength=n_terms) for f in range(factors)], axis=1)
-            + PENALTY * vectors,
-        ]
+        grads = [g / n for g in gradients(bias, weights, vectors)]
+        grads[1] += PENALTY * weights
+        grads[2] += PENALTY * vectors
         for param, grad, m in zip((bias, weights, vectors), grads, moments):
             m[0] += 0.1 * (grad - m[0])
             m[1] += 0.001 * (grad**2 - m[1])
@@ -116,6 +132,40 @@ def fit_machine(rows: list[list[int]], labels: np.ndarray, n_terms: int, factors
     return float(bias[0]), weights, vectors
 
 
+def fit_machine(rows: list[list[int]], labels: np.ndarray, n_terms: int, factors: int = FACTORS):
+    """Bias, weights and factors for rows of term positions, on the log loss."""
+    block = example_block(rows, labels)
+    return descend(lambda *model: block_gradients(block, *model), len(rows), labels.mean(), n_terms, factors)
+
+
+def fit_examples(examples: DataFrame, n: dict[int, int], n_terms: int, block: int = BLOCK):
+    """The same for a table of toxic, terms and n, how often the example occurs; ``n`` by label."""
+    blocks = max(1, math.ceil(examples.count() / block))
+    dealt = (
+        examples.withColumn("block", F.pmod(F.xxhash64("toxic", "terms"), F.lit(blocks)))
+        .groupBy("block").agg(F.sort_array(F.collect_list(F.struct("toxic", "terms", "n"))).alias("rows"))
+    )
+
+    def unpack(row):
+        return example_block(*[[r[c] for r in row["rows"]] for c in ("terms", "toxic", "n")])
+
+    size, rate = n[0] + n[1], n[1] / (n[0] + n[1])
+    if blocks == 1:
+        only = unpack(dealt.first())
+        return descend(lambda *model: block_gradients(only, *model), size, rate, n_terms)
+    written = stage(dealt, "toxicity-blocks")
+    held = written.coalesce(blocks).rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def gradients(*model):
+        of_blocks = held.map(lambda part: block_gradients(part, *model))
+        return of_blocks.treeReduce(lambda a, b: [x + y for x, y in zip(a, b)])
+
+    try:
+        return descend(gradients, size, rate, n_terms)
+    finally:
+        held.unpersist()
+
+
 def _likelihood_ratio(pos, neg, n_pos, n_neg):
     """G statistic of presence against label, per term."""
     table = np.array([[pos, n_pos - pos], [neg, n_neg - neg]], dtype=float)
@@ -124,31 +174,26 @@ def _likelihood_ratio(pos, neg, n_pos, n_neg):
         return 2 * np.nansum(np.where(table > 0, table * np.log(table / expected), 0), axis=(0, 1))
 
 
-def train(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Column], sample: int = SAMPLE) -> Machine | None:
+def train(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Column], block: int = BLOCK) -> Machine | None:
     """Fit on the labelled rows that ``learn_from`` (a condition on the id) admits."""
     rated = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
         .filter(F.col("toxic").isin(0, 1) & learn_from(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
-    first = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def read(part):
         terms = _Terms()
 
         def run(batch):
             found = [text_terms(t, terms) for t in batch["text"].to_pylist()]
-            return pa.RecordBatch.from_pydict(
-                {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": pa.array(found, pa.list_(pa.int32()))}
-            )
+            return pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "terms": pa.array(found, pa.list_(pa.int32()))})
 
         return batches(part, run)
 
-    # The sample has at most ``sample`` rows of two numbers.
-    labelled = texts(docs).join(F.broadcast(first), "doc_id").select("doc_id", "text", "toxic")
-    kind = dict(labelled.dtypes)["doc_id"]
-    rows = labelled.mapInArrow(read, f"doc_id {kind}, toxic int, terms array<int>")
-    n = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    labelled = texts(docs).join(rated, "doc_id").select("text", "toxic")
+    rows = stage(labelled.mapInArrow(read, "toxic int, terms array<int>"), "toxicity-terms")
+    n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not n.get(0) or not n.get(1):
         return None
     counts = (
@@ -175,18 +220,13 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Col
     def reduce_terms(part):
         def run(batch):
             found = [[place[t] for t in ts if t in place] for ts in batch["terms"].to_pylist()]
-            return pa.RecordBatch.from_pydict(
-                {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": pa.array(found, pa.list_(pa.int32()))}
-            )
+            return pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "terms": pa.array(found, pa.list_(pa.int32()))})
 
         return batches(part, run)
 
-    # At most ``sample`` rows, with kept terms only.
-    fitted = sorted(
-        ((r["toxic"], r["terms"]) for r in rows.mapInArrow(reduce_terms, f"doc_id {kind}, toxic int, terms array<int>").collect())
-    )
-    target = np.array([toxic for toxic, _ in fitted], dtype=float)
-    return Machine(terms, *fit_machine([t for _, t in fitted], target, len(terms)))
+    kept = rows.mapInArrow(reduce_terms, "toxic int, terms array<int>")
+    examples = stage(kept.groupBy("toxic", "terms").agg(F.count(F.lit(1)).alias("n")), "toxicity-examples")
+    return Machine(terms, *fit_examples(examples, n, len(terms), block))
 
 
 def score(docs: DataFrame, machine: Machine | None, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:

@@ -66,6 +66,26 @@ def test_planted_word_is_found_on_held_out_rows(spark):
         assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) == known[r.doc_id]
 
 
+def test_all_labelled_rows_are_fitted_in_blocks(spark, monkeypatch):
+    """Several blocks, rows of one example among them, give the machine of all rows together."""
+    docs, labels, _ = docs_and_labels(spark)
+    same = spark.range(500, 560).selectExpr("id AS doc_id", "'nastyword again' AS text")
+    docs, labels = docs.unionByName(same), labels.unionByName(same.selectExpr("doc_id", "CAST(1 AS INT) AS toxic"))
+    seen, inner = [], toxicity.fit_examples
+
+    def recorded(examples, n, *rest):
+        seen.append((examples.count(), examples.agg(F.sum("n")).first()[0], sum(n.values())))
+        return inner(examples, n, *rest)
+
+    monkeypatch.setattr(toxicity, "fit_examples", recorded)
+    monkeypatch.setattr(toxicity, "STEPS", 40)
+    machines = [toxicity.train(docs, labels, lambda i: i >= 0, block=block) for block in (2, 20_000)]
+    assert seen[0] == seen[1] and 4 < seen[0][0] < 460 and seen[0][1:] == (460, 460)
+    assert machines[0].terms == machines[1].terms
+    for got, want in zip((machines[0].bias, machines[0].weights, machines[0].factors), (machines[1].bias, machines[1].weights, machines[1].factors)):
+        assert np.allclose(got, want, atol=1e-9)
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels, _ = docs_and_labels(spark)
     turned = labels.withColumn("toxic", F.when(toxicity.fold(F.col("doc_id")) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
