@@ -7,7 +7,7 @@ together can weigh more, or less, than apart.
 
 The model is fitted on the rows of all labelled ids. Equal examples (the same kept terms and label) are counted and
 dealt to blocks; every step sums the gradients of the blocks, which stay with the executors, so that only the model
-travels. What fits one block is fitted by the driver. Whole texts are read, in fitting and in scoring; scoring reads nothing but the text. NULL and empty
+and one gradient a task travel, and nothing is shuffled. What fits one block is fitted by the driver. Whole texts are read, in fitting and in scoring; scoring reads nothing but the text. NULL and empty
 texts get the score of a text without any kept term. A document with several labels counts as
 toxic if one of them says so; labels other than 0 and 1 and NULL ids teach nothing. Without a
 labelled row of each class the score is 0. Repeated rows give one result each; columns other than
@@ -32,6 +32,8 @@ from landrecon.session import stage
 
 # Different examples of a block, about.
 BLOCK = 20_000
+# Places summed at a time.
+PIECE = 1 << 15
 BUCKETS = 1 << 20
 PREFIXES = (4, 5)
 # Terms must be this many times likelier (as a log-likelihood ratio) to depend on the label than not.
@@ -87,32 +89,39 @@ class Machine:
 
 
 def example_block(rows: list[list[int]], labels, counts=None) -> tuple[np.ndarray, ...]:
-    """Examples as arrays: positions of terms with the row they stand in, labels, and how often each row counts."""
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    col = np.array([t for r in rows for t in r], dtype=np.int32)
-    return row, col, np.array(labels, dtype=float), np.array([1] * len(rows) if counts is None else counts, dtype=float)
+    """Examples as arrays: how many terms each has and their positions; the same entries in order of position, by how
+    many examples have it and which; labels, and how often each row counts. Every step reads them: types are short."""
+    lengths = np.array([len(r) for r in rows], dtype=np.int32)
+    col = np.fromiter((t for r in rows for t in r), np.int32, lengths.sum())
+    col = col.astype(np.min_scalar_type(col.max(initial=0)))
+    row = np.repeat(np.arange(len(rows), dtype=np.min_scalar_type(len(rows))), lengths)[np.argsort(col, kind="stable")]
+    counts = np.ones(len(rows)) if counts is None else np.array(counts, dtype=float)
+    return lengths, col, np.bincount(col).astype(np.int32), row, np.array(labels, dtype=float), counts
+
+
+def _sums(tables: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Of each table the sums of its values at so many places each, one after the other; 0 for none. Done in pieces
+    that stay in a core's cache."""
+    found, some = np.zeros((len(tables), len(lengths))), np.flatnonzero(lengths)
+    starts = np.append((np.cumsum(lengths, dtype=np.int64) - lengths)[some], len(at))
+    cuts = np.unique(np.append(np.searchsorted(starts[:-1], np.arange(0, len(at), PIECE)), len(some)))
+    for first, last in zip(cuts[:-1], cuts[1:]):
+        here = at[starts[first] : starts[last]].astype(np.intp)
+        for values, sums in zip(tables, found):
+            sums[some[first:last]] = np.add.reduceat(values.take(here), starts[first:last] - starts[first])
+    return found
 
 
 def block_gradients(block: tuple, bias: np.ndarray, weights: np.ndarray, vectors: np.ndarray) -> list[np.ndarray]:
     """Gradients of the log loss, summed over the block, by bias, weights and factors."""
-    row, col, labels, counts = block
-    n_terms, factors = vectors.shape
-
-    def by_row(values):
-        return np.bincount(row, weights=values, minlength=len(labels))
-
-    own = vectors[col]
-    total = np.stack([by_row(own[:, f]) for f in range(factors)], axis=1)
-    squares = by_row((own**2).sum(axis=1))
-    logit = bias + by_row(weights[col]) + ((total**2).sum(axis=1) - squares) / 2
+    lengths, col, copies, row, labels, counts = block
+    # The products of all pairs, less those of a factor with itself, which go with the weights.
+    alone, *total = _sums(np.vstack([weights - (vectors**2).sum(axis=1) / 2, vectors.T]), col, lengths)
+    logit = bias + alone + sum(t**2 for t in total) / 2
     error = counts * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels)
-    each = error[row]
-    pull = each[:, None] * (total[row] - own)
-    return [
-        np.array([error.sum()]),
-        np.bincount(col, weights=each, minlength=n_terms),
-        np.stack([np.bincount(col, weights=pull[:, f], minlength=n_terms) for f in range(factors)], axis=1),
-    ]
+    pull = np.zeros((1 + len(total), len(weights)))
+    pull[:, : len(copies)] = _sums(error * np.vstack([np.ones_like(error), *total]), row, copies)
+    return [np.array([error.sum()]), pull[0], (pull[1:] - vectors.T * pull[0]).T]
 
 
 def descend(gradients: Callable[..., list[np.ndarray]], n: int, rate: float, n_terms: int, factors: int = FACTORS):
@@ -154,11 +163,13 @@ def fit_examples(examples: DataFrame, n: dict[int, int], n_terms: int, block: in
         only = unpack(dealt.first())
         return descend(lambda *model: block_gradients(only, *model), size, rate, n_terms)
     written = stage(dealt, "toxicity-blocks")
-    held = written.coalesce(blocks).rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+    # A task sums the blocks it holds, so that a step sends no more than one gradient a core.
+    tasks = min(blocks, examples.sparkSession.sparkContext.defaultParallelism)
+    held = written.rdd.map(unpack).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
     def gradients(*model):
         of_blocks = held.map(lambda part: block_gradients(part, *model))
-        return of_blocks.treeReduce(lambda a, b: [x + y for x, y in zip(a, b)])
+        return of_blocks.reduce(lambda a, b: [x + y for x, y in zip(a, b)])
 
     try:
         return descend(gradients, size, rate, n_terms)
@@ -191,7 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Col
 
         return batches(part, run)
 
-    labelled = texts(docs).join(rated, "doc_id").select("text", "toxic")
+    # Without the hint the labels would be broadcast or not by their size, which grows with the texts.
+    labelled = texts(docs).join(rated.hint("merge"), "doc_id").select("text", "toxic")
     rows = stage(labelled.mapInArrow(read, "toxic int, terms array<int>"), "toxicity-terms")
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not n.get(0) or not n.get(1):

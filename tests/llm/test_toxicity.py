@@ -86,6 +86,52 @@ def test_all_labelled_rows_are_fitted_in_blocks(spark, monkeypatch):
         assert np.allclose(got, want, atol=1e-9)
 
 
+def test_gradients_against_explicit_pairs():
+    """Rows without a term, terms of no row and repeated examples among them."""
+    rows, labels, counts = [[0, 2], [], [1, 2, 4], [2]], [1, 0, 0, 1], [1, 3, 2, 5]
+    draw = np.random.default_rng(3)
+    bias, weights, vectors = draw.normal(size=1), draw.normal(size=6), draw.normal(size=(6, 4))
+
+    def loss(bias, weights, vectors):
+        logits = [bias[0] + sum(weights[r]) + sum(vectors[i] @ vectors[j] for i, j in combinations(r, 2)) for r in rows]
+        return sum(n * (math.log1p(math.exp(z)) - y * z) for n, z, y in zip(counts, logits, labels))
+
+    model = (bias, weights, vectors)
+    for at, got in enumerate(toxicity.block_gradients(toxicity.example_block(rows, labels, counts), *model)):
+        for i in np.ndindex(got.shape):
+            up, down = ([p.copy() for p in model] for _ in range(2))
+            up[at][i] += 1e-6
+            down[at][i] -= 1e-6
+            assert abs(got[i] - (loss(*up) - loss(*down)) / 2e-6) < 1e-6
+
+
+def test_a_step_shuffles_nothing_and_has_one_gradient_a_task(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    examples = spark.range(60).selectExpr("CAST(id % 2 AS INT) AS toxic", "array(CAST(id AS INT), 60) AS terms", "1L AS n").localCheckpoint()
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    inner = toxicity.descend
+
+    def marked(*args):
+        context.setJobGroup("steps", "steps")
+        try:
+            return inner(*args)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+
+    monkeypatch.setattr(toxicity, "descend", marked)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else one partition has all these few
+    try:
+        toxicity.fit_examples(examples, {0: 30, 1: 30}, 61, block=2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    jobs = tracker.getJobIdsForGroup("steps")
+    assert len(jobs) == 3
+    for job in jobs:
+        stages = tracker.getJobInfo(job).stageIds
+        assert len(stages) == 1
+        assert tracker.getStageInfo(stages[0]).numTasks <= context.defaultParallelism
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels, _ = docs_and_labels(spark)
     turned = labels.withColumn("toxic", F.when(toxicity.fold(F.col("doc_id")) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
