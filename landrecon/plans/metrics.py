@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from landrecon.functions.rings import area_hectares
 from landrecon.functions.numbers import round2
@@ -12,6 +12,7 @@ from landrecon.operators.joins import detail_join, semi
 from landrecon.operators.lookups import attach
 from landrecon.operators.matching import repeated_side
 from landrecon.plans.reconcile import EXCLUDED
+from landrecon.session import layout
 
 PARCEL_YEAR = ["hapar_id", "year"]
 
@@ -21,6 +22,9 @@ def _cells(df: DataFrame, measure: Column) -> DataFrame:
     cells = df.groupBy(*PARCEL_YEAR, "land_parcel_area").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(measure).alias("_part")
     )
+    if layout(PARCEL_YEAR) is not None:
+        # A join in which NULLs match would not take the cells where they lie; a window does, and no parcel is large.
+        return cells.withColumn("total", F.sum("_part").over(Window.partitionBy(*PARCEL_YEAR)))
     totals = cells.groupBy(*PARCEL_YEAR).agg(F.sum("_part").alias("total"))
     return attach(cells, totals, PARCEL_YEAR, null_safe=True)
 

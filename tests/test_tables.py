@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from landrecon import session
 from landrecon.catalogue import derive, tables
@@ -93,3 +94,35 @@ def test_unmatched_claims_are_those_without_a_pair(spark, folder, monkeypatch):
     left = matching.remove_matched(t.perm.select("claim_id"), t.pairs, "claim_id", "owner")
     want = left.unionByName(matching.remove_matched(t.seas.select("claim_id"), t.pairs, "claim_id", "user"))
     assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("hot_rows", [100, 10**9])
+def test_totals_of_parcels_are_taken_where_the_rows_lie(spark, folder, monkeypatch, hot_rows):
+    """Flags by parcel, overclaims and area comparison: no shuffle or broadcast of what is told from a parcel's rows,
+    and the results of the whole tables."""
+    from landrecon.catalogue import QUERIES
+    from landrecon.plans import flags, metrics
+
+    names = {"E2_several_owners": "flag", "E3_parcel_sums_differ": "flag", "E7_repeated_owner_claim": "flag", "E11_claim_above_parcel": "flag",
+             "M1_parcel_vs_use": "parcel-vs-use", "M10_overclaims": "overclaims"}
+    monkeypatch.setattr(tables, "hot_parcels", lambda *raw: chain.hot_parcels(*raw, hot_rows=hot_rows))
+    monkeypatch.setattr(tables.Tables, "_known", {})
+    plans, inner = [], session.stage
+
+    def recorded(df, name="stage"):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return inner(df, name)
+
+    monkeypatch.setattr(tables, "stage", recorded)
+    t = tables.Tables.of(spark, folder)
+    whole = {n: flags.flag_errors(t.final, t.pairs, only=[n.split("_")[0]]).select("claim_id", "error_log") for n in names if n[0] == "E"}
+    whole |= {"M1_parcel_vs_use": metrics.parcel_vs_use(t.perm), "M10_overclaims": metrics.overclaims(t.final)}
+    for name, step in names.items():
+        plans.clear()
+        got, want = QUERIES[name](spark, folder), whole[name]
+        assert [n for n, _ in plans] == [step] * len(t.chains)
+        if len(t.chains) == 1:
+            # Rows are counted by label in the end.
+            assert "BroadcastExchange" not in plans[0][1] and len(re.findall(r"\bExchange\b", plans[0][1])) == (step == "parcel-vs-use")
+        want = tables.plain(want).select([F.col(c).cast(got.schema[c].dataType) for c in got.columns])
+        assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
