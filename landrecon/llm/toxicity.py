@@ -18,16 +18,18 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from landrecon.llm.common import batches, nullable, texts
+from landrecon.llm.common import batches, cached, nullable, texts
 from landrecon.session import stage
 
 # Different examples of a block, about.
@@ -44,8 +46,11 @@ STEPS = 600
 RATE = 0.05
 PENALTY = 1e-5
 REMEMBERED_WORDS = 300_000
+# Words of no more letters than this are hashed side by side, of about so many characters of text at a time.
+SHORT = 24
+CHARACTERS = 1 << 18
 
-_words = re.compile(r"\w+").findall
+_gap = re.compile(r"\W").search
 
 
 def word_terms(word: str, buckets: int = BUCKETS) -> list[int]:
@@ -55,24 +60,125 @@ def word_terms(word: str, buckets: int = BUCKETS) -> list[int]:
 
 
 class _Terms(dict):
-    """word -> its terms, as positions in the kept ones if given; forgets when it grows large."""
-
-    def __init__(self, kept: dict[int, int] | None = None):
-        super().__init__()
-        self.kept = kept
+    """word -> its terms; forgets when it grows large."""
 
     def __missing__(self, word):
         if len(self) >= REMEMBERED_WORDS:
             self.clear()
-        terms = word_terms(word)
-        if self.kept is not None:
-            terms = [self.kept[t] for t in terms if t in self.kept]
-        self[word] = found = tuple(terms)
+        self[word] = found = word_terms(word)
         return found
 
 
-def text_terms(text: str, terms: _Terms) -> list[int]:
-    return sorted({t for word in set(_words(text.lower())) for t in terms[word]})
+def _letters() -> np.ndarray:
+    """Of every code point whether it stands in words."""
+    inside = np.zeros(sys.maxunicode + 1, dtype=bool)
+    for run in re.finditer(r"\w+", "".join(map(chr, range(sys.maxunicode + 1)))):
+        inside[run.start() : run.end()] = True
+    return inside
+
+
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+def _spell(state: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """CRC-32 states (not yet inverted) after one more letter each, as UTF-8 has it."""
+    table = cached(("toxicity-crc",), _crc_table)
+
+    def step(state, byte):
+        return table.take((state ^ byte) & 255) ^ (state >> 8)
+
+    wide = np.flatnonzero(letters > 127)
+    if not len(wide):
+        return step(state, letters)
+    first, of = letters.copy(), letters[wide]
+    first[wide] = np.where(of < 0x800, 0xC0 | of >> 6, np.where(of < 0x10000, 0xE0 | of >> 12, 0xF0 | of >> 18))
+    state = step(state, first)
+    for least, shift in ((0x10000, 12), (0x800, 6), (0x80, 0)):
+        more = wide[of >= least]
+        state[more] = step(state[more], 0x80 | letters[more] >> shift & 63)
+    return state
+
+
+def _marked(lowered: list[str], terms: _Terms) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of all words of the texts, with repeats, and the text that each stands in. Short words are hashed
+    letter by letter, all at a time; the others one by one."""
+    joined = "\n".join(["", *lowered, ""])
+    points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+    inside = cached(("toxicity-letters",), _letters).take(points)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    begins = np.cumsum([1, *(len(t) + 1 for t in lowered)])
+    text = np.repeat(np.arange(len(lowered)), np.diff(np.searchsorted(starts, begins)))
+
+    long, short = np.flatnonzero(sizes > SHORT), np.flatnonzero(sizes <= SHORT)
+    short = short[np.argsort(SHORT - sizes[short].astype(np.uint8), kind="stable")]  # longest first
+    at, size, state = starts[short], sizes[short], np.full(len(short), 0xFFFFFFFF, dtype=np.uint32)
+    words, hashes = [], []
+    for n in range(size.max(initial=0)):
+        longer = np.count_nonzero(size > n)
+        if n in PREFIXES:
+            words.append(short[:longer])
+            hashes.append(~_spell(state[:longer], np.full(longer, ord("*"), dtype=np.uint32)))
+        state[:longer] = _spell(state[:longer], points.take(at[:longer] + n))
+    others = [terms[joined[i : i + n]] for i, n in zip(starts[long].tolist(), sizes[long].tolist())]
+    words += [short, np.repeat(long, [len(o) for o in others])]
+    hashes = np.concatenate([*hashes, ~state]) % BUCKETS
+    hashes = np.append(hashes.astype(np.int64), np.fromiter(chain.from_iterable(others), np.int64))
+    return hashes, text[np.concatenate(words)]
+
+
+def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """The texts in lower case, some at a time, long ones cut between words; and which text each piece is of."""
+    which, some, size = [], [], 0
+    for i, text in enumerate(texts):
+        text, end = text.lower(), 0
+        while end < len(text):
+            begin, gap = end, _gap(text, end + CHARACTERS)
+            end = gap.start() if gap else len(text)
+            which.append(i)
+            some.append(text[begin:end])
+            size += end - begin
+            if size >= CHARACTERS:
+                yield which, some
+                which, some, size = [], [], 0
+    if some:
+        yield which, some
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
+
+
+def places(kept: list[int]) -> np.ndarray:
+    """Of every term its position in those kept, -1 for none."""
+    place = np.full(BUCKETS, -1, dtype=np.int32)
+    place[np.array(kept, dtype=np.int64)] = np.arange(len(kept))
+    return place
+
+
+def text_terms(texts: list[str], terms: _Terms, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """How many different terms each text has, and these in order, text by text; of the kept terms the positions, if
+    places are given."""
+    found = [np.zeros(0, dtype=np.int64)]
+    for which, some in _pieces(texts):
+        hashes, piece = _marked(some, terms)
+        if place is not None:
+            hashes = place.take(hashes)
+            piece, hashes = piece[hashes >= 0], hashes[hashes >= 0]
+        found.append(_distinct(np.array(which)[piece] * BUCKETS + hashes))
+    each = _distinct(np.concatenate(found))
+    return np.bincount(each // BUCKETS, minlength=len(texts)), (each % BUCKETS).astype(np.int32)
+
+
+def lists(lengths: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    """Values as lists of so many each."""
+    offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
 
 
 @dataclass
@@ -101,23 +207,30 @@ def example_block(rows: list[list[int]], labels, counts=None) -> tuple[np.ndarra
 
 def _sums(tables: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Of each table the sums of its values at so many places each, one after the other; 0 for none. Done in pieces
-    that stay in a core's cache."""
-    found, some = np.zeros((len(tables), len(lengths))), np.flatnonzero(lengths)
+    that stay in a core's cache, two tables at a time as the two parts of a complex number."""
+    pairs = np.zeros((-(-len(tables) // 2), tables.shape[1]), dtype=complex)
+    pairs.real, pairs.imag[: len(tables) // 2] = tables[::2], tables[1::2]
+    found, some = np.zeros((len(pairs), len(lengths)), dtype=complex), np.flatnonzero(lengths)
     starts = np.append((np.cumsum(lengths, dtype=np.int64) - lengths)[some], len(at))
     cuts = np.unique(np.append(np.searchsorted(starts[:-1], np.arange(0, len(at), PIECE)), len(some)))
     for first, last in zip(cuts[:-1], cuts[1:]):
         here = at[starts[first] : starts[last]].astype(np.intp)
-        for values, sums in zip(tables, found):
+        for values, sums in zip(pairs, found):
             sums[some[first:last]] = np.add.reduceat(values.take(here), starts[first:last] - starts[first])
-    return found
+    return np.stack([found.real, found.imag], axis=1).reshape(2 * len(found), len(lengths))[: len(tables)]
+
+
+def logits(col: np.ndarray, lengths: np.ndarray, bias, weights: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, list]:
+    """Of examples with so many terms each, at these positions; and the sums of their terms' factors."""
+    # The products of all pairs, less those of a factor with itself, which go with the weights.
+    alone, *total = _sums(np.vstack([weights - (vectors**2).sum(axis=1) / 2, vectors.T]), col, lengths)
+    return bias + alone + sum(t**2 for t in total) / 2, total
 
 
 def block_gradients(block: tuple, bias: np.ndarray, weights: np.ndarray, vectors: np.ndarray) -> list[np.ndarray]:
     """Gradients of the log loss, summed over the block, by bias, weights and factors."""
     lengths, col, copies, row, labels, counts = block
-    # The products of all pairs, less those of a factor with itself, which go with the weights.
-    alone, *total = _sums(np.vstack([weights - (vectors**2).sum(axis=1) / 2, vectors.T]), col, lengths)
-    logit = bias + alone + sum(t**2 for t in total) / 2
+    logit, total = logits(col, lengths, bias, weights, vectors)
     error = counts * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels)
     pull = np.zeros((1 + len(total), len(weights)))
     pull[:, : len(copies)] = _sums(error * np.vstack([np.ones_like(error), *total]), row, copies)
@@ -163,8 +276,9 @@ def fit_examples(examples: DataFrame, n: dict[int, int], n_terms: int, block: in
         only = unpack(dealt.first())
         return descend(lambda *model: block_gradients(only, *model), size, rate, n_terms)
     written = stage(dealt, "toxicity-blocks")
-    # A task sums the blocks it holds, so that a step sends no more than one gradient a core.
-    tasks = min(blocks, examples.sparkSession.sparkContext.defaultParallelism)
+    # A task sums the blocks it holds, so that a step sends no more than one gradient a core. To begin a task costs
+    # about as much as a block's gradient, in every step; so none has a single block where there are more.
+    tasks = min(math.ceil(blocks / 2), examples.sparkSession.sparkContext.defaultParallelism)
     held = written.rdd.map(unpack).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
     def gradients(*model):
@@ -197,8 +311,8 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Col
         terms = _Terms()
 
         def run(batch):
-            found = [text_terms(t, terms) for t in batch["text"].to_pylist()]
-            return pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "terms": pa.array(found, pa.list_(pa.int32()))})
+            found = lists(*text_terms(batch["text"].to_pylist(), terms))
+            return pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "terms": found})
 
         return batches(part, run)
 
@@ -227,12 +341,16 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Col
 
     best = counts.mapInArrow(screen, "term int, ratio double").orderBy(F.desc("ratio"), "term").limit(TERMS)
     terms = [r["term"] for r in best.collect()]  # at most TERMS
-    place = {t: i for i, t in enumerate(terms)}
 
     def reduce_terms(part):
+        place = places(terms)
+
         def run(batch):
-            found = [[place[t] for t in ts if t in place] for ts in batch["terms"].to_pylist()]
-            return pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "terms": pa.array(found, pa.list_(pa.int32()))})
+            lengths = batch["terms"].value_lengths().to_numpy()
+            found = place[batch["terms"].flatten().to_numpy()]
+            row = np.repeat(np.arange(len(lengths)), lengths)[found >= 0]
+            found = lists(np.bincount(row, minlength=len(lengths)), found[found >= 0])
+            return pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "terms": found})
 
         return batches(part, run)
 
@@ -249,11 +367,12 @@ def score(docs: DataFrame, machine: Machine | None, keep: list[str] | None = Non
     rows = docs.select(F.struct(*keep).alias("kept"), F.coalesce(text_col, F.lit("")).alias("text"))
 
     def run_all(part):
-        terms = _Terms({t: i for i, t in enumerate(machine.terms)})
+        terms, place = _Terms(), places(machine.terms)
 
         def run(batch):
-            logits = np.array([machine.logit(text_terms(t, terms)) for t in batch["text"].to_pylist()])
-            scores = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+            lengths, positions = text_terms(batch["text"].to_pylist(), terms, place)
+            logit, _ = logits(positions, lengths, machine.bias, machine.weights, machine.factors)
+            scores = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
             return pa.RecordBatch.from_pydict({"kept": nullable(batch["kept"]), "score": pa.array(scores, pa.float64())})
 
         return batches(part, run)

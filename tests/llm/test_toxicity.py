@@ -170,3 +170,50 @@ def test_held_out_accuracy_of_the_query(spark, sf, least):
         .first()
     )
     assert right >= least and clean <= 0.01
+
+
+@pytest.mark.parametrize("characters", [1, 60, 1 << 18])
+def test_terms_of_a_batch_against_words_one_by_one(monkeypatch, characters):
+    """Letters of one to four bytes, digits and marks between words, long words, repeats, and texts without a word; in
+    pieces of one text and of several."""
+    monkeypatch.setattr(toxicity, "CHARACTERS", characters)
+    scripts = " ".join(chr(c) + "abc" + chr(c) * 3 for c in [*range(0x7D, 0x900), 0xFFFD, 0x10000, 0x1D518, 0x20000, 0x10FFFF])
+    texts = ["", "\n", "a", "ΑΣ ΟΔΟΣ İstanbul ÉCOLE École", "x" * 24 + " " + "y" * 25 + " " + "é" * 300, "ab*c abcd abcde abcdef abcdé", "_ 5 ١٢٣", scripts, "日本語のテキスト", ""]
+    want = [sorted({t for w in re.findall(r"\w+", x.lower()) for t in toxicity.word_terms(w)}) for x in texts]
+    kept = sorted({t for terms in want for t in terms[::3]}, reverse=True)
+    for some, expected in ((texts, want), ([], []), ([""], [[]])):
+        lengths, found = toxicity.text_terms(some, toxicity._Terms())
+        assert toxicity.lists(lengths, found).to_pylist() == expected
+        lengths, found = toxicity.text_terms(some, toxicity._Terms(), toxicity.places(kept))
+        assert toxicity.lists(lengths, found).to_pylist() == [sorted(kept.index(t) for t in terms if t in kept) for terms in expected]
+
+
+def test_short_words_are_not_hashed_one_by_one(monkeypatch):
+    """Else a text's time goes with its new words."""
+    seen, inner = [], toxicity.word_terms
+    monkeypatch.setattr(toxicity, "word_terms", lambda word: seen.append(word) or inner(word))
+    lengths, _ = toxicity.text_terms([f"wörter{i} words{i} {'w' * 40}" for i in range(50)], toxicity._Terms())
+    assert len(lengths) == 50 and seen == ["w" * 40]
+
+
+def test_a_task_of_a_step_holds_more_than_one_block(spark, monkeypatch):
+    """To begin it costs as much as a block's gradient, in every step."""
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    examples = spark.range(60).selectExpr("CAST(id % 2 AS INT) AS toxic", "array(CAST(id AS INT), 60) AS terms", "1L AS n").localCheckpoint()
+    context, inner = spark.sparkContext, toxicity.descend
+
+    def marked(*args):
+        context.setJobGroup("pairs", "pairs")
+        try:
+            return inner(*args)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+
+    monkeypatch.setattr(toxicity, "descend", marked)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else one partition has all these few
+    try:
+        toxicity.fit_examples(examples, {0: 30, 1: 30}, 61, block=15)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    tracker = context.statusTracker()
+    assert [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("pairs") for s in tracker.getJobInfo(j).stageIds] == [2, 2]
