@@ -34,6 +34,8 @@ from landrecon.session import stage
 
 # Different examples of a block, about.
 BLOCK = 20_000
+# Terms of which an example's are summed once for all examples that have the same.
+TOGETHER = 6
 # Places summed at a time.
 PIECE = 1 << 15
 BUCKETS = 1 << 20
@@ -194,15 +196,33 @@ class Machine:
         return float(self.bias + self.weights[positions].sum() + pairs / 2)
 
 
-def example_block(rows: list[list[int]], labels, counts=None) -> tuple[np.ndarray, ...]:
-    """Examples as arrays: how many terms each has and their positions; the same entries in order of position, by how
-    many examples have it and which; labels, and how often each row counts. Every step reads them: types are short."""
-    lengths = np.array([len(r) for r in rows], dtype=np.int32)
-    col = np.fromiter((t for r in rows for t in r), np.int32, lengths.sum())
+def _both_ways(lengths: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, ...]:
+    """How many entries each row has and their positions; the same in order of position, by how many rows have it and
+    which. Every step reads them: types are short."""
     col = col.astype(np.min_scalar_type(col.max(initial=0)))
-    row = np.repeat(np.arange(len(rows), dtype=np.min_scalar_type(len(rows))), lengths)[np.argsort(col, kind="stable")]
+    row = np.repeat(np.arange(len(lengths), dtype=np.min_scalar_type(len(lengths))), lengths)[np.argsort(col, kind="stable")]
+    return lengths.astype(np.int32), col, np.bincount(col).astype(np.int32), row
+
+
+def example_block(rows: list[list[int]], labels, counts=None) -> tuple[np.ndarray, ...]:
+    """Examples, of different terms each, as arrays: their patterns both ways, the patterns' terms both ways, labels, and
+    how often each row counts. A pattern is what an example has of some terms that are about as frequent."""
+    lengths = np.array([len(r) for r in rows], dtype=np.int64)
+    term = np.fromiter(chain.from_iterable(rows), np.int64, lengths.sum())
+    often = np.argsort(-np.bincount(term), kind="stable")
+    rank, n_terms = np.argsort(often), max(1, len(often))
+    row, place = divmod(np.sort(np.repeat(np.arange(len(rows)), lengths) * n_terms + rank[term]), n_terms)
+    first = np.flatnonzero(np.diff(row * n_terms + place // TOGETHER, prepend=-1))
+    has = np.add.reduceat(1 << place % TOGETHER, first)
+    patterns, col = np.unique((place[first] // TOGETHER << TOGETHER) + has, return_inverse=True)
+    at, bit = np.nonzero(patterns[:, None] >> np.arange(TOGETHER) & 1)
+    member = often[(patterns[at] >> TOGETHER) * TOGETHER + bit]
     counts = np.ones(len(rows)) if counts is None else np.array(counts, dtype=float)
-    return lengths, col, np.bincount(col).astype(np.int32), row, np.array(labels, dtype=float), counts
+    return (
+        *_both_ways(np.bincount(row[first], minlength=len(rows)), col),
+        *_both_ways(np.bincount(at, minlength=len(patterns)), member),
+        np.array(labels, dtype=float), counts,
+    )
 
 
 def _sums(tables: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -220,20 +240,21 @@ def _sums(tables: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray
     return np.stack([found.real, found.imag], axis=1).reshape(2 * len(found), len(lengths))[: len(tables)]
 
 
-def logits(col: np.ndarray, lengths: np.ndarray, bias, weights: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, list]:
-    """Of examples with so many terms each, at these positions; and the sums of their terms' factors."""
+def logits(add: Callable[[np.ndarray], np.ndarray], bias, weights: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, list]:
+    """Of examples, given what adds up tables by term for each; and the sums of their terms' factors."""
     # The products of all pairs, less those of a factor with itself, which go with the weights.
-    alone, *total = _sums(np.vstack([weights - (vectors**2).sum(axis=1) / 2, vectors.T]), col, lengths)
+    alone, *total = add(np.vstack([weights - (vectors**2).sum(axis=1) / 2, vectors.T]))
     return bias + alone + sum(t**2 for t in total) / 2, total
 
 
 def block_gradients(block: tuple, bias: np.ndarray, weights: np.ndarray, vectors: np.ndarray) -> list[np.ndarray]:
     """Gradients of the log loss, summed over the block, by bias, weights and factors."""
-    lengths, col, copies, row, labels, counts = block
-    logit, total = logits(col, lengths, bias, weights, vectors)
+    lengths, col, copies, row, sizes, members, uses, patterns, labels, counts = block
+    logit, total = logits(lambda tables: _sums(_sums(tables, members, sizes), col, lengths), bias, weights, vectors)
     error = counts * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels)
     pull = np.zeros((1 + len(total), len(weights)))
-    pull[:, : len(copies)] = _sums(error * np.vstack([np.ones_like(error), *total]), row, copies)
+    of_patterns = _sums(error * np.vstack([np.ones_like(error), *total]), row, copies)
+    pull[:, : len(uses)] = _sums(of_patterns, patterns, uses)
     return [np.array([error.sum()]), pull[0], (pull[1:] - vectors.T * pull[0]).T]
 
 
@@ -371,7 +392,7 @@ def score(docs: DataFrame, machine: Machine | None, keep: list[str] | None = Non
 
         def run(batch):
             lengths, positions = text_terms(batch["text"].to_pylist(), terms, place)
-            logit, _ = logits(positions, lengths, machine.bias, machine.weights, machine.factors)
+            logit, _ = logits(lambda t: _sums(t, positions, lengths), machine.bias, machine.weights, machine.factors)
             scores = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
             return pa.RecordBatch.from_pydict({"kept": nullable(batch["kept"]), "score": pa.array(scores, pa.float64())})
 

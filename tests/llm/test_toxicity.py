@@ -196,6 +196,18 @@ def test_short_words_are_not_hashed_one_by_one(monkeypatch):
     assert len(lengths) == 50 and seen == ["w" * 40]
 
 
+def test_terms_that_come_together_are_summed_once():
+    """Patterns of an example are far fewer than its terms, and have these and no others."""
+    draw = random.Random(4)
+    rows = [[t for t in draw.sample(range(40), 40) if draw.random() < 0.4] for _ in range(300)] + [[], [45]]
+    lengths, col, copies, row, sizes, members, uses, patterns, *_ = toxicity.example_block(rows, [0] * 302)
+    assert len(col) == len(row) < 0.5 * sum(map(len, rows))
+    of_patterns = np.split(members, np.cumsum(sizes)[:-1])
+    got = [[*np.concatenate([of_patterns[c] for c in cols])] if len(cols) else [] for cols in np.split(col, np.cumsum(lengths)[:-1])]
+    assert [sorted(g) for g in got] == [sorted(r) for r in rows]
+    assert copies.sum() == len(col) and uses.sum() == len(members) == len(patterns)
+
+
 def test_a_task_of_a_step_holds_more_than_one_block(spark, monkeypatch):
     """To begin it costs as much as a block's gradient, in every step."""
     monkeypatch.setattr(toxicity, "STEPS", 2)
