@@ -14,7 +14,7 @@ from landrecon.functions.rings import rect_ring
 from landrecon.operators.joins import anti, semi
 from landrecon.operators.matching import drop_weaker_pairs
 from landrecon.operators.rewrite import one_sided
-from landrecon.plans import clean, commons, flags, reconcile
+from landrecon.plans import clean, commons, flags, ownership, reconcile
 from landrecon.plans.chain import KEY, hot_parcels
 from landrecon.session import ON_DROP, co_located, listing, stage, tune
 from landrecon.sources.reference_lists import excluded_land_uses, land_use_rank
@@ -115,6 +115,15 @@ class Chain:
     def commons_flagged(self, detail: DataFrame) -> DataFrame:
         return self.written(lambda: commons.flag_commons_fields(self.flagged, detail), "iacs-flagged")
 
+    def linked(self, detail: DataFrame) -> DataFrame:
+        """The rows with their commons flags, as what is made of them in place takes them: not written where they lie
+        by parcel, as each use reads few of their columns."""
+        return self.commons_flagged(detail) if self.buckets is None else commons.flag_commons_fields(self.flagged, detail)
+
+    def commons_parcels(self, linked: DataFrame) -> DataFrame:
+        """The list of parcels that are commons fields, written since the rows are read again to be compared with it."""
+        return stage(ownership.commons_parcels(linked), "commons-parcels")
+
 
 class Tables:
     """The given tables and all domain tables derived from them."""
@@ -271,14 +280,19 @@ class Tables:
         left = one_sided(self.perm, clean.MEASURES, "owner")
         return left.unionByName(one_sided(self.seas, clean.MEASURES, "user"))
 
+    def _build_commons(self) -> DataFrame:
+        return commons.build_commons(self.share, self.lpid, self.grazing_shape)
+
     @cached_property
     def commons_built(self) -> DataFrame:
-        return stage(commons.build_commons(self.share, self.lpid, self.grazing_shape))
+        return stage(self._build_commons())
 
     @cached_property
     def commons_cleaned(self) -> tuple[DataFrame, DataFrame]:
-        done, members = commons.clean_commons(self.commons_built)
-        return stage(done), stage(members)
+        """The cleaned commons, written, and the members of their merged rows. Cleaning writes the built rows itself
+        once they are held to their grazing's area."""
+        done, members = commons.clean_commons(self._build_commons())
+        return stage(done), members
 
     @cached_property
     def commons_logged(self) -> DataFrame:
@@ -290,8 +304,19 @@ class Tables:
     def commons(self) -> DataFrame:
         return self.commons_cleaned[0]
 
+    def linked_in_place(self, make: Callable[[Chain, DataFrame], DataFrame], name: str) -> DataFrame:
+        """What is made of the rows with their commons flags where they lie. The flags come from the commons' fields,
+        not from the table of the commons."""
+        return self.in_place(lambda part: make(part, part.linked(self.detail)), name)
+
+    @cached_property
+    def commons_claims(self) -> DataFrame:
+        """The claims on commons fields, which are copied to the commons."""
+        return self.linked_in_place(lambda _, linked: commons.commons_claims(linked), "commons-claims")
+
     @cached_property
     def linked(self) -> tuple[DataFrame, DataFrame]:
+        """Both tables of the cross-link, whole."""
         marked = reduce(DataFrame.unionByName, [part.commons_flagged(self.detail) for part in self.chains])
         return commons.link_flagged(marked, self.commons, self.detail)
 

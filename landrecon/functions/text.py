@@ -16,8 +16,15 @@ def pipe_concat(*parts: Column) -> Column:
 
 
 def split_part(text: Column, separator: str, n: int) -> Column:
-    """n-th part, counted from 1; empty text if there are fewer parts."""
-    return F.split_part(text, F.lit(separator), F.lit(n))
+    """n-th part, counted from 1; empty text if there are fewer parts. Searched for as it stands, since
+    Spark's own ``split_part`` takes every text apart by a regular expression."""
+    if n < 1 or not separator:
+        return F.split_part(text, F.lit(separator), F.lit(n))
+    if n == 1:
+        return F.substring_index(text, separator, 1)
+    at = F.locate(separator, text)
+    rest = F.substring(text, at + len(separator), F.length(text))
+    return F.when(at > 0, split_part(rest, separator, n - 1)).when(at == 0, F.lit(""))
 
 
 def first_chars(text: Column, n: int) -> Column:

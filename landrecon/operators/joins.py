@@ -25,7 +25,7 @@ def pair_join(
     one of the keys, with the hot ones set apart, are joined where they lie.
     """
     if layout(keys) is not None:
-        return left.join(right, keys)
+        return left.join(right.hint("shuffle_hash"), keys)
     size = F.count(F.lit(1))
     edge = int(hot_pairs**0.5) or 1
     slices = {

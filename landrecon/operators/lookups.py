@@ -49,6 +49,8 @@ def attach(
 
 
 def _attach_in_place(detail: DataFrame, lookup: DataFrame, keys: list[str], how: str, null_safe: bool) -> DataFrame:
+    """A bucket is small enough for its lookup to be hashed, so that the detail need not be sorted."""
+    lookup = lookup.hint("shuffle_hash")
     if not null_safe:
         return detail.join(lookup, keys, how)
     marked = lookup.select([F.col(c).alias(f"_key_{c}" if c in keys else c) for c in lookup.columns])

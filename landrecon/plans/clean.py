@@ -9,7 +9,7 @@ from landrecon.operators.lookups import attach, fill_from_peer, update_from
 from landrecon.operators.notes import noted
 from landrecon.operators.ranking import dedupe
 from landrecon.operators.rewrite import align_to, clamp_to, fill_from
-from landrecon.session import stage
+from landrecon.session import layout, stage
 from landrecon.sources.ids import prefix_id
 
 # Columns that must agree for two declarations to be copies of each other. The
@@ -126,10 +126,15 @@ def use_area_donors(df: DataFrame) -> DataFrame:
 def repair_use_area(df: DataFrame, side: str) -> DataFrame:
     """Missing use area: single claims, other years; then claims are held to the parcel and the
     use area to the claim; rows still without use area go."""
-    singles = stage(fill_single_claims(df), f"{side}-singles")
+    singles = fill_single_claims(df)
+    if layout(df.columns) is not None:  # read again where the rows lie; only the few donors are written
+        donors = stage(use_area_donors(singles), f"{side}-donors")
+    else:
+        singles = stage(singles, f"{side}-singles")
+        donors = use_area_donors(singles)
     area = F.col("land_use_area")
     other_year = update_from(
-        singles, use_area_donors(singles), ["hapar_id", "land_use"], "land_use_area", "_donor",
+        singles, donors, ["hapar_id", "land_use"], "land_use_area", "_donor",
         area.isNull() | (area == 0), "change_note", USE_FROM_OTHER_YEAR,
     )
     clamped = clamp_to(

@@ -11,7 +11,7 @@ from landrecon.operators.filters import delete_where
 from landrecon.operators.lookups import attach
 from landrecon.operators.notes import amount_note, change, logged, logged_amount, note_digits_exceed, noted
 from landrecon.operators.rewrite import clamp_to, clear_flag, recompute
-from landrecon.session import stage
+from landrecon.session import dealt, stage
 
 HOLDING_YEAR = ["cg_hahol_id", "year"]
 SHARE_IDENTITY = [
@@ -156,7 +156,7 @@ def clean_commons(
 
 def flag_commons_fields(iacs: DataFrame, detail: DataFrame) -> DataFrame:
     """EC3 and EC4: the parcel is a commons field, with or without a claim of its own."""
-    fields = detail.select("hapar_id", "year").distinct().withColumn("_field", F.lit(True))
+    fields = dealt(detail.select("hapar_id", "year")).distinct().withColumn("_field", F.lit(True))
     field = F.coalesce("_field", F.lit(False))
     claimed = F.coalesce(
         (F.col("owner_bps_claimed_area") != 0) | (F.col("user_bps_claimed_area") != 0),
@@ -167,6 +167,11 @@ def flag_commons_fields(iacs: DataFrame, detail: DataFrame) -> DataFrame:
     return marked.withColumn("error_log", noted("error_log", field, text)).drop("_field")
 
 
+def commons_claims(iacs: DataFrame) -> DataFrame:
+    """The rows that ``copy_to_commons`` copies."""
+    return iacs.filter(F.col("error_log").like("%this is a commons field %"))
+
+
 def copy_to_commons(
     iacs: DataFrame, detail: DataFrame, commons: DataFrame, strict: bool = False
 ) -> DataFrame:
@@ -175,7 +180,7 @@ def copy_to_commons(
     ``strict`` keeps a slip of the source: a renter's main holding stands in for the
     renter's holding.
     """
-    claims = iacs.filter(F.col("error_log").like("%this is a commons field %"))
+    claims = commons_claims(iacs)
     members = detail.select("cg_hahol_id", "hapar_id", "year").distinct()
     grazings = commons.select(
         "cg_hahol_id", "commons_area", "lpid_bps_eligible_area", "year"

@@ -15,7 +15,7 @@ from landrecon.operators.matching import Tier, prune_pairs, remove_matched, tier
 from landrecon.operators.notes import merge_notes, noted, noted_all
 from landrecon.operators.rewrite import one_sided
 from landrecon.plans.clean import MEASURES
-from landrecon.session import stage
+from landrecon.session import layout, stage
 from landrecon.sources.reference_lists import EXCLUDED_LAND_USES
 
 EXCLUDED = tuple(EXCLUDED_LAND_USES)
@@ -193,7 +193,9 @@ def equalise_parcel_area(final: DataFrame) -> DataFrame:
 
 
 def infer_and_equalise(merged: DataFrame) -> DataFrame:
-    return equalise_parcel_area(stage(drop_empty_exclusions(infer_outsiders(merged)), "merged"))
+    """Rows that lie together are read again, for their areas alone, which costs less than to write them first."""
+    kept = drop_empty_exclusions(infer_outsiders(merged))
+    return equalise_parcel_area(kept if layout(kept.columns) is not None else stage(kept, "merged"))
 
 
 def reconcile(owners: DataFrame, renters: DataFrame) -> tuple[DataFrame, DataFrame]:
