@@ -276,7 +276,7 @@ def _(t):
           ON c.cg_hahol_id = d.cg_hahol_id AND c.year = l.year WHERE l.error_log LIKE '%this is a commons field %'""",
        double="bps_claimed_area commons_area lpid_bps_eligible_area")
 def _(t):
-    copied = commons.copy_to_commons(t.linked[0], t.detail, t.commons)
+    copied = commons.copy_to_commons(t.commons_claims, t.detail, t.commons)
     return copied.select("id", "cg_hahol_id", "year", "mlc_hahol_id", "share_hahol_id", "bps_claimed_area", "commons_area", "lpid_bps_eligible_area", "land_use")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landrecon import session
 from landrecon.catalogue import QUERIES, derive, tables
 from landrecon.functions.text import split_part
-from landrecon.plans import chain, clean, largest_use, ownership, reconcile
+from landrecon.plans import chain, clean, commons, largest_use, ownership, reconcile
 from test_tables import folder  # noqa: F401
 
 
@@ -70,6 +70,21 @@ def test_linked_rows_are_read_where_they_lie(spark, linked_folder, monkeypatch,
     same(results["D11_largest_claim"], largest_use.largest_claim(rows, t.rank))
 
 
+@pytest.mark.parametrize("hot_rows", [100, 10**9])
+def test_the_cross_link_copies_the_claims_on_fields(spark, linked_folder, monkeypatch, written, hot_rows):
+    monkeypatch.setattr(tables, "hot_parcels", lambda *raw: chain.hot_parcels(*raw, hot_rows=hot_rows))
+    monkeypatch.setattr(tables.Tables, "_known", {})
+    t = tables.Tables.of(spark, linked_folder)
+    copies, both = QUERIES["J25_copy_to_commons"](spark, linked_folder), QUERIES["D14_cross_link"](spark, linked_folder)
+    names = [n for n, _ in written]
+    assert names.count("commons-clamped") == 1 and names.count("commons-claims") == len(t.chains)
+    rows, grazings = t.linked
+    same(copies, commons.copy_to_commons(rows, t.detail, t.commons))
+    assert copies.count() > 0
+    left = rows.select(F.lit("iacs").alias("side"), F.col("claim_id").alias("id"), "year", "error_log")
+    same(both, left.unionByName(grazings.select(F.lit("commons").alias("side"), "id", "year", "error_log")))
+
+
 def test_merged_rows_do_not_move(spark, folder, monkeypatch, written):  # noqa: F811
     monkeypatch.setattr(tables.Tables, "_known", {})
     t = tables.Tables.of(spark, folder)
